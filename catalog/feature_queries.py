@@ -12,6 +12,7 @@ from catalog.roles import SEGMENTS, sql
 from prospectra.ml.stages import EncodeCategorical, ImputeMissing, OneHotFrequent, ScaleFeatures
 from prospectra.operators.split import split_by_hash, split_stratified
 from prospectra.plans.training import feature_stages
+from prospectra.sources import materialize
 
 HASH_SQL = "md5(CAST(id AS VARCHAR) || ':42')"
 SPLIT_SQL = f"CASE WHEN substr({HASH_SQL}, 1, 8) < '33333333' THEN 'test' ELSE 'train' END"
@@ -114,6 +115,7 @@ _SCALED = ["ALEXA_RANK", "total_actions", "days_active", "activity_frequency"]
 
 def _scaled(spark, d, method: str, exclude: list[str] | None = None):
     rows = prepared(spark, d).select("id", *[F.col(c).cast("double").alias(c) for c in _SCALED])
+    rows = materialize(rows, "scaled")  # fit and transform both read it
     model = ScaleFeatures(method, _SCALED, exclude).fit(rows)
     return rounded(model.transform(rows))
 
@@ -216,7 +218,7 @@ _FEATURE_STAGES_EXTRA = (
     ),
 )
 def feature_stages_query(spark, d):
-    rows = split_inputs(spark, d)
+    rows = materialize(split_inputs(spark, d), "inputs")  # every stage reads it
     train = rows.where("split = 'train'")
     staged = Pipeline(stages=feature_stages(train)).fit(train).transform(rows)
     return rounded(staged.drop("features", "is_customer"))

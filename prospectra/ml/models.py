@@ -32,7 +32,7 @@ _DEFAULTS = {
         "penalty": "l2",
         "l1_ratio": 0.5,
         "max_iter": 1000,
-        "tol": 1e-8,
+        "tol": 1e-6,
         "fit_intercept": True,
         "class_weight": None,
         "random_state": 42,

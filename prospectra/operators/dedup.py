@@ -7,12 +7,15 @@ rows per key, so a key that holds a large part of the table is never gathered in
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prospectra.functions import completeness, named
 from prospectra.operators.prefix import dense_number
+from prospectra.sources.scratch import materialize
 
 STRATEGIES = ("most_complete", "first", "last")
 
@@ -65,25 +68,16 @@ def distinct_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def dup_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every row of a duplicated key, led by `_duplicate_group`: 0, 1, 2, ... in key order.
 
-    A key with a NULL part is reported without a number. The rows meet their group number in a join
-    on the key; adaptive execution splits that join where one key holds very many rows.
+    A key with a NULL part is reported without a number. The numbered keys are written to scratch,
+    so that Spark knows how many they are when it plans their join with the rows: few are broadcast,
+    many are joined by shuffle, where adaptive execution splits a key that holds very many rows.
     """
     names = list(keys)
-    duplicated = duplicated_keys(df, names).drop("n_rows")
-    complete = F.lit(True)
-    for name in names:
-        complete = complete & named(name).isNotNull()
-    numbered = dense_number(duplicated.where(complete), names, "_duplicate_group")
-    unnumbered = duplicated.where(~complete).withColumn(
-        "_duplicate_group", F.lit(None).cast("bigint")
-    )
-    groups = numbered.unionByName(unnumbered).select(
-        *[named(k).alias(f"_key_{i}") for i, k in enumerate(names)], "_duplicate_group"
-    )
-    match = F.lit(True)
-    for i, name in enumerate(names):
-        match = match & df[f"`{name}`"].eqNullSafe(groups[f"_key_{i}"])
-    return df.join(groups, match).select("_duplicate_group", *[df[f"`{c}`"] for c in df.columns])
+    numbered = dense_number(duplicated_keys(df, names).drop("n_rows"), names, "_duplicate_group")
+    as_key = {name: f"_key_{i}" for i, name in enumerate(names)}
+    groups = materialize(numbered.withColumnsRenamed(as_key), "duplicated-keys")
+    match = reduce(and_, [named(name).eqNullSafe(F.col(key)) for name, key in as_key.items()])
+    return df.join(groups, match).select("_duplicate_group", *[named(c) for c in df.columns])
 
 
 def dup_sample(groups: DataFrame, keys: Sequence[str], order_column: str, n: int = 10) -> DataFrame:

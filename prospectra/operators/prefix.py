@@ -1,28 +1,26 @@
 """Running totals over a global order, without a global window.
 
-A window without partitions would run in one task. Here the ordered rows are cut into ranges, the
-window runs inside each range, and the totals of the ranges before it are added. The range bounds
-come from a uniform sample of the keys: those with the smallest hashes. That makes them a function
-of the data alone, so a recomputed task cuts its rows exactly as before.
+A window without partitions would run in one task. Here the rows are range-partitioned by the order
+key, the window runs inside each range, and the totals of the ranges before it are added. The rows
+with their range are written to scratch in between: the table is read once however often the result
+is used, and a lost executor cannot move the borders of the ranges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from prospectra.functions import named
+from prospectra.sources.scratch import materialize
 
-_SAMPLES_PER_RANGE = 16
-_MAX_RANGES = 512
-
-
-def _range_count(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(partitions, _MAX_RANGES))
+# Also the bound of the broadcast table of range totals, together with the number of groups.
+_MAX_RANGES = 10_000
 
 
 def running_totals(
@@ -31,69 +29,57 @@ def running_totals(
     sum_columns: Sequence[str],
     group_columns: Sequence[str] = (),
     descending: bool = False,
-    ranges: int | None = None,
 ) -> DataFrame:
     """Add `cum_<c>`: the sum of `c` over all rows up to and including this one, per group.
 
-    `df` has one row per group and order key. Groups are few by contract (labels, column names):
-    the table of range totals, which is broadcast, has at most ranges + groups rows. One group may
-    hold all rows; the ranges cut through groups.
+    `df` has one row per group and order key, so the ranges come out even. Groups are few by
+    contract (labels, column names); one group may hold all rows, the ranges cut through groups.
     """
-    n = ranges or _range_count(df)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups = list(group_columns) or ["_all"]
     rows = df if group_columns else df.withColumn("_all", F.lit(0))
-    cut = rows.withColumn("_bounds", _range_bounds(rows, [*groups, *order_columns], n))
-    key = _key([*groups, *order_columns])
-    cut = cut.withColumn("_range", F.size(F.filter("_bounds", lambda bound: bound < key))).drop("_bounds")
+    keys = [named(c) for c in [*groups, *order_columns]]
+    ranged = rows.repartitionByRange(min(partitions, _MAX_RANGES), *keys).withColumn(
+        "_range", F.spark_partition_id()
+    )
+    order = [named(c).desc() if descending else named(c).asc() for c in order_columns]
+    inside = (
+        Window.partitionBy(*groups, "_range")
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    within = materialize(
+        ranged.withColumns({f"cum_{c}": F.sum(named(c)).over(inside) for c in sum_columns}),
+        "running-totals",
+    )
 
-    totals = cut.groupBy(*groups, "_range").agg(
+    totals = within.groupBy(*groups, "_range").agg(
         *[F.sum(named(c)).alias(f"_total_{c}") for c in sum_columns]
     )
-    range_order = F.desc("_range") if descending else F.asc("_range")
-    earlier = Window.partitionBy(*groups).orderBy(range_order).rowsBetween(
-        Window.unboundedPreceding, -1
+    earlier = (
+        Window.partitionBy(*groups)
+        .orderBy(F.desc("_range") if descending else F.asc("_range"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = totals.select(
         *groups,
         "_range",
-        *[F.coalesce(F.sum(f"_total_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sum_columns],
-    )
-
-    order = [named(c).desc() if descending else named(c).asc() for c in order_columns]
-    inside = Window.partitionBy(*groups, "_range").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    running = cut.join(F.broadcast(offsets), [*groups, "_range"])
-    return running.select(
-        *[named(c) for c in df.columns],
         *[
-            (F.col(f"_before_{c}") + F.sum(named(c)).over(inside)).alias(f"cum_{c}")
+            F.coalesce(F.sum(f"_total_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}")
             for c in sum_columns
         ],
     )
-
-
-def _key(columns: Sequence[str]) -> Column:
-    return F.struct(*[named(c) for c in columns])
-
-
-def _range_bounds(rows: DataFrame, columns: Sequence[str], n: int) -> Column:
-    """Sorted array of n - 1 keys, a scalar subquery over at most n * 16 sampled keys."""
-    keys = rows.select(_key(columns).alias("key"))
-    sample = keys.orderBy(F.xxhash64("key"), "key").limit(n * _SAMPLES_PER_RANGE)
-    in_order = sample.agg(F.sort_array(F.collect_list("key")).alias("sampled"))
-    size = F.size("sampled")
-    # Every (size / n)-th sampled key, so that few keys still make n even ranges.
-    bounds = F.filter(
-        "sampled",
-        lambda _, i: (F.floor((i + 1) * n / size) > F.floor(i * n / size)) & (i + 1 < size),
+    # One row per range and group: at most _MAX_RANGES + the number of groups.
+    placed = within.join(F.broadcast(offsets), [*groups, "_range"])
+    return placed.select(
+        *[named(c) for c in df.columns],
+        *[(F.col(f"_before_{c}") + F.col(f"cum_{c}")).alias(f"cum_{c}") for c in sum_columns],
     )
-    return in_order.select(bounds.alias("bounds")).scalar()
 
 
 def dense_number(keys: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    """Number distinct keys 0, 1, 2, ... in key order."""
-    numbered = running_totals(keys.withColumn("_one", F.lit(1)), columns, ["_one"])
-    return numbered.select(
-        *[named(c) for c in keys.columns], (F.col("cum__one") - 1).cast("bigint").alias(name)
-    )
+    """Number distinct keys 0, 1, 2, ... in key order; a key with a NULL part gets no number."""
+    complete = reduce(and_, [named(c).isNotNull() for c in columns])
+    numbered = running_totals(keys.withColumn("_one", complete.cast("int")), columns, ["_one"])
+    number = F.when(complete, F.col("cum__one") - 1).cast("bigint")
+    return numbered.select(*[named(c) for c in keys.columns], number.alias(name))

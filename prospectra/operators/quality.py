@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prospectra.functions import in_set, named, numeric_columns, parse_timestamp, prefix_columns
-from prospectra.operators.usage import orphan_usage_ids
 from prospectra.sources.schemas import (
     ACTION_COLUMNS,
     EMPLOYEE_RANGES,
@@ -102,26 +101,14 @@ def timestamp_rules(df: DataFrame, column: str = "WHEN_TIMESTAMP") -> list[Rule]
     return [Rule("ts_parseable", column, parsed.isNull())]
 
 
+def empty_rules(df: DataFrame) -> list[Rule]:
+    """Missing values per column; a column is empty where they make up all rows."""
+    return [Rule("empty_column", c, named(c).isNull()) for c in df.columns]
+
+
 def empty_columns(df: DataFrame) -> DataFrame:
     """Columns without a single value, from one pass."""
-    counted = df.agg(
-        F.count("*").alias("_rows"),
-        *[F.count(named(c)).alias(f"_{i}") for i, c in enumerate(df.columns)],
-    )
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("filled"))
-            for i, c in enumerate(df.columns)
-        ]
-    )
-    empty = counted.select("_rows", F.inline(rows)).where(F.col("filled") == 0)
-    return empty.select(
-        F.lit("empty_column").alias("rule"),
-        F.lit("warning").alias("severity"),
-        "column",
-        F.col("_rows").alias("n_violations"),
-        F.when(F.col("_rows") > 0, 100.0).otherwise(0.0).alias("pct"),
-    )
+    return check_rules(df, empty_rules(df)).where(F.col("pct") == 100)
 
 
 def unique_violations(df: DataFrame, keys: Sequence[str], severity: str) -> DataFrame:
@@ -139,15 +126,10 @@ def unique_violations(df: DataFrame, keys: Sequence[str], severity: str) -> Data
 
 def orphan_violations(usage: DataFrame, companies: DataFrame) -> DataFrame:
     """Usage ids that no company has, percent of the usage ids."""
-    ids = usage.where(F.col("id").isNotNull()).agg(F.count_distinct("id").alias("n"))
-    orphans = orphan_usage_ids(usage, companies).agg(F.count("*").alias("n_violations"))
-    return orphans.select(
-        F.lit("orphan_usage").alias("rule"),
-        F.lit("error").alias("severity"),
-        F.lit("id").alias("column"),
-        "n_violations",
-        F.coalesce(F.try_divide(F.col("n_violations") * 100.0, ids.scalar()), F.lit(0.0)).alias("pct"),
-    )
+    ids = usage.select("id").where(F.col("id").isNotNull()).distinct()
+    known = companies.select("id").distinct().withColumn("known", F.lit(True))
+    orphans = Rule("orphan_usage", "id", F.col("known").isNull(), severity="error")
+    return check_rules(ids.join(known, "id", "left"), [orphans])
 
 
 def share_within(report: DataFrame, limit_pct: float) -> DataFrame:
@@ -194,10 +176,12 @@ def validate(df: DataFrame, table: str) -> DataFrame:
         rules += rank_rules(df) + range_rules(df)
     if table == "usage_actions":
         rules += action_rules(df)
-    if rules:
-        report = report.unionByName(check_rules(df, rules))
-    found = F.col("rule").isin("missing_column", "unexpected_column", "type_mismatch")
-    return report.unionByName(empty_columns(df)).where(found | (F.col("n_violations") > 0))
+    report = report.unionByName(check_rules(df, rules + empty_rules(df)))
+    from_schema = F.col("rule").isin("missing_column", "unexpected_column", "type_mismatch")
+    empty = F.col("rule") == "empty_column"
+    return report.where(
+        from_schema | (empty & (F.col("pct") == 100)) | (~empty & (F.col("n_violations") > 0))
+    )
 
 
 def require_valid(df: DataFrame, table: str) -> DataFrame:

@@ -1,20 +1,23 @@
 """Exact quantiles and modes of whole columns.
 
 The built-in `percentile`, `median` and `mode` hold every distinct value of a column in the memory
-of one task. Here the distinct values stay spread over the executors as a table of value counts,
-and running counts over its order tell which value stands at which rank.
+of one task. Here a quantile takes two passes that move next to nothing: a sketch brackets it, then
+the rows are counted per side of the bracket and per value inside it. A mode counts the values with
+a shuffle that keeps them spread over the executors.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from prospectra.functions import named
 from prospectra.operators.prefix import running_totals
 
+_SKETCH_ACCURACY = 10_000
+
 
 def value_counts(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
     """(column, value, n) over the values of all named columns; NULL and NaN are not values."""
@@ -38,26 +41,101 @@ def column_quantiles(
 ) -> DataFrame:
     """(column, quantiles): linear interpolation between the neighbouring ranks, as pandas does.
 
-    Exact by default. With an `accuracy`, the built-in sketch answers in one pass without moving
-    the values, with a rank error of at most 1 / accuracy.
+    Exact by default; columns without a value are left out. With an `accuracy`, only the sketch is
+    taken, in a single pass and with a rank error of at most 1 / accuracy.
     """
     if accuracy is not None:
-        sketches = [
+        sketch = _sketch(df, columns, list(probabilities), accuracy)
+        return sketch.where(F.col("total") > 0).select("column", "quantiles")
+    # What is collected below is a few numbers per column.
+    brackets = _brackets(df, columns, probabilities)
+    rows = _interpolated(_bracket_counts(df, brackets), probabilities) if brackets else []
+    missed = [row["column"] for row in rows if None in row["quantiles"]]
+    if missed:
+        # The sketch strayed further than it promises: count every value of those columns.
+        whole = {c: [(float("-inf"), float("inf"))] for c in missed}
+        rows = [row for row in rows if row["column"] not in missed]
+        rows += _interpolated(_bracket_counts(df, whole), probabilities)
+    return df.sparkSession.createDataFrame(
+        [(row["column"], row["quantiles"]) for row in rows],
+        "column string, quantiles array<double>",
+    )
+
+
+def _number(name: str) -> Column:
+    return F.nanvl(named(name).cast("double"), F.lit(None).cast("double"))
+
+
+def _sketch(
+    df: DataFrame, columns: Sequence[str], probabilities: list[float], accuracy: int
+) -> DataFrame:
+    """(column, total, quantiles) from one pass over all columns."""
+    sketches = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.count(_number(c)).alias("total"),
+            F.percentile_approx(_number(c), probabilities, accuracy).alias("quantiles"),
+        )
+        for c in columns
+    ]
+    return df.agg(F.array(*sketches).alias("rows")).select(F.inline("rows"))
+
+
+def _brackets(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+) -> dict[str, list[tuple[float, float]]]:
+    """Per column, disjoint ascending intervals that should hold the quantiles.
+
+    Two sketch errors wide on either side. What reaches the driver is two numbers per quantile.
+    """
+    slack = 2.0 / _SKETCH_ACCURACY
+    ends = [end for p in probabilities for end in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    brackets = {}
+    for row in _sketch(df, columns, ends, _SKETCH_ACCURACY).where("total > 0").collect():
+        merged: list[tuple[float, float]] = []
+        for low, high in sorted(zip(row["quantiles"][::2], row["quantiles"][1::2])):
+            if merged and low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        brackets[row["column"]] = merged
+    return brackets
+
+
+def _bracket_counts(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """(column, place, value, n): rows per value inside the intervals, rows per gap between them.
+
+    Places ascend with the values: 0 below the first interval, 1 inside it, 2 after it, and so on;
+    the gaps, at even places, have no value. Rows are counted in the tasks that read them.
+    """
+    parts = []
+    for name, intervals in brackets.items():
+        value = _number(name)
+        place = sum(
+            ((value >= low).cast("int") + (value > high).cast("int") for low, high in intervals),
+            F.lit(0),
+        )
+        parts.append(
             F.struct(
-                F.lit(c).alias("column"),
-                F.percentile_approx(
-                    F.nanvl(named(c).cast("double"), F.lit(None)), list(probabilities), accuracy
-                ).alias("quantiles"),
+                F.lit(name).alias("column"),
+                place.alias("place"),
+                F.when(place % 2 == 1, value).alias("value"),
             )
-            for c in columns
-        ]
-        return df.agg(F.array(*sketches).alias("rows")).select(F.inline("rows"))
-
-    counts = value_counts(df, columns)
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    ranked = running_totals(counts, ["value"], ["n"], ["column"]).join(
-        F.broadcast(totals), "column"
+        )
+    return (
+        df.select(F.inline(F.array(*parts)))
+        .where(F.col("place").isNotNull())
+        .groupBy("column", "place", "value")
+        .agg(F.count("*").alias("n"))
     )
+
+
+def _interpolated(counts: DataFrame, probabilities: Sequence[float]) -> list[Row]:
+    """(column, quantiles) rows; a quantile whose ranks fall into a gap is None."""
+    ranked = running_totals(counts, ["place", "value"], ["n"], ["column"])
+    # One row per column.
+    totals = ranked.groupBy("column").agg(F.max("cum_n").alias("total"))
+    ranked = ranked.join(F.broadcast(totals), "column")
     low, high = [], []
     for p in probabilities:
         place = F.lit(float(p)) * (F.col("total") - 1)
@@ -72,7 +150,7 @@ def column_quantiles(
         place = F.lit(float(p)) * (F.col("total") - 1)
         a, b = F.col("low")[i], F.col("high")[i]
         interpolated.append(a + (b - a) * (place - F.floor(place)))
-    return at_ranks.select("column", F.array(*interpolated).alias("quantiles"))
+    return at_ranks.select("column", F.array(*interpolated).alias("quantiles")).collect()
 
 
 def column_modes(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:

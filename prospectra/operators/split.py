@@ -39,17 +39,33 @@ def split_stratified(
 ) -> DataFrame:
     """Add `split` with exact quotas: of each class, the round(share * n) smallest hashes are test.
 
+    The last hash of each quota is found first, by jobs that read the key and the label only; the
+    rows themselves are not moved, each compares its hash with the one of its class.
+    """
+    cut = F.lit(None).cast("string")
+    for value, last in _quota_ends(df, test_share, seed, key, label).items():
+        cut = F.when(named(label) == value, last).otherwise(cut)
+    # A class without a test quota has no cut.
+    test = F.coalesce(split_hash(named(key), seed) <= cut, F.lit(False))
+    return df.withColumn("split", F.when(test, "test").otherwise("train"))
+
+
+def _quota_ends(
+    df: DataFrame, test_share: float, seed: int, key: str, label: str
+) -> dict[int, str]:
+    """Per class of the binary label, the largest hash within the quota.
+
     A histogram over the first hash digits tells in which cell a quota ends; only the rows of that
-    cell are ranked. The rows themselves are not moved: each compares its hash with the last one of
-    the quota, a scalar subquery per class of the binary label.
+    cell are ranked.
     """
-    hashed = df.select(named(label).alias("label"), split_hash(named(key), seed).alias("hash"))
+    hashed = df.where(named(label).isin(0, 1)).select(
+        named(label).alias("label"), split_hash(named(key), seed).alias("hash")
+    )
     cell = F.conv(F.substring("hash", 1, _PREFIX), 16, 10).cast("int")
     cells = hashed.groupBy("label", cell.alias("cell")).agg(F.count("*").alias("n"))
-    # At most 65,536 rows per label from here on.
+    # At most 65,536 rows per label from here on, and one per label in the end.
     in_order = Window.partitionBy("label").orderBy("cell")
-    whole = Window.partitionBy("label")
-    quota = F.floor(F.sum("n").over(whole) * F.lit(test_share) + 0.5)
+    quota = F.floor(F.sum("n").over(Window.partitionBy("label")) * F.lit(test_share) + 0.5)
     ends = (
         cells.select(
             "label", "cell", "n", F.sum("n").over(in_order).alias("cum"), quota.alias("quota")
@@ -60,14 +76,7 @@ def split_stratified(
     last_cell = hashed.withColumn("cell", cell).join(F.broadcast(ends), ["label", "cell"])
     rank = F.row_number().over(Window.partitionBy("label").orderBy("hash"))
     cuts = last_cell.withColumn("rank", rank).where(F.col("rank") == F.col("take"))
-
-    def cut_of(value: int) -> Column:
-        # No cut exists for a class without a test quota.
-        return cuts.where(F.col("label") == value).agg(F.max("hash").alias("hash")).scalar()
-
-    cut = F.when(named(label) == 1, cut_of(1)).otherwise(cut_of(0))
-    test = F.coalesce(split_hash(named(key), seed) <= cut, F.lit(False))
-    return df.withColumn("split", F.when(test, "test").otherwise("train"))
+    return {row["label"]: row["hash"] for row in cuts.select("label", "hash").collect()}
 
 
 def with_folds(df: DataFrame, folds: int = 5, seed: int = 42, key: str = "id") -> DataFrame:

@@ -84,11 +84,11 @@ def feature_stages(columns: DataFrame, config: TrainingConfig | None = None) ->
 def train(dataset: DataFrame, config: TrainingConfig | None = None) -> TrainingResult:
     """Fit on the train rows of `dataset` (see `prepare_dataset`), evaluate on its test rows.
 
-    The split table is written to scratch once; all later passes, of which the fit needs many, start
-    from its files and not from the raw tables.
+    The dataset is written to scratch once; all later passes, of which the fit needs many, start from
+    its files and not from the raw tables.
     """
     config = config or TrainingConfig()
-    rows = materialize(split_stratified(dataset, config.test_share, config.seed), "split")
+    rows = split_stratified(materialize(dataset, "dataset"), config.test_share, config.seed)
     train_rows, test_rows = rows.where("split = 'train'"), rows.where("split = 'test'")
 
     features = Pipeline(stages=feature_stages(train_rows, config)).fit(train_rows)
