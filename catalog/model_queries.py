@@ -67,7 +67,7 @@ def _fit(rows, stages: list, model_type: str, **hyperparameters) -> PipelineMode
 # Rates per industry -----------------------------------------------------------------------------
 
 _NOT_INDUSTRY = ["id", "is_customer", "split"]
-_RATE_SETTINGS = {"penalty": None, "class_weight": "balanced", "tol": 1e-8}
+_RATE_SETTINGS = {"penalty": None, "class_weight": "balanced"}
 
 
 def _industry_rows(spark, d):
@@ -209,7 +209,7 @@ def _usage_flag_model(spark, d) -> PipelineModel:
     def fit():
         rows = materialize(_usage_flag_rows(spark, d), "usage-flag")
         stages = [AssembleFeatures(["id", "is_customer"])]
-        return _fit(rows, stages, "logistic_regression", penalty=None, tol=1e-8)
+        return _fit(rows, stages, "logistic_regression", penalty=None)
 
     return _fitted(spark, d, "usage-flag", fit)
 

@@ -24,7 +24,7 @@ def cross_validate(
     seed: int = 42,
     label: str = LABEL,
     key: str = "id",
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> DataFrame:
     """ROC-AUC per fold, with mean and population deviation over the folds.
 
