@@ -54,8 +54,8 @@ def duplicated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than one row, and their number of rows."""
     return (
         df.groupBy(*[named(k) for k in keys])
-        .agg(F.count("*").alias("n_rows"))
-        .where(F.col("n_rows") > 1)
+        .agg(F.count("*").alias("_n_rows"))
+        .where(F.col("_n_rows") > 1)
     )
 
 
@@ -73,7 +73,7 @@ def dup_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     many are joined by shuffle, where adaptive execution splits a key that holds very many rows.
     """
     names = list(keys)
-    numbered = dense_number(duplicated_keys(df, names).drop("n_rows"), names, "_duplicate_group")
+    numbered = dense_number(duplicated_keys(df, names).drop("_n_rows"), names, "_duplicate_group")
     as_key = {name: f"_key_{i}" for i, name in enumerate(names)}
     groups = materialize(numbered.withColumnsRenamed(as_key), "duplicated-keys")
     match = reduce(and_, [named(name).eqNullSafe(F.col(key)) for name, key in as_key.items()])

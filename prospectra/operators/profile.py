@@ -30,11 +30,11 @@ def profile_shape(df: DataFrame) -> DataFrame:
 
 def profile_duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every column: count and percent."""
-    distinct = df.groupBy(*[named(c) for c in df.columns]).agg(F.count("*").alias("n"))
-    surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
+    distinct = df.groupBy(*[named(c) for c in df.columns]).agg(F.count("*").alias("_n"))
+    surplus = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
     return distinct.agg(
         surplus.alias("n_duplicate_rows"),
-        F.coalesce(F.try_divide(surplus * 100.0, F.sum("n")), F.lit(0.0)).alias(
+        F.coalesce(F.try_divide(surplus * 100.0, F.sum("_n")), F.lit(0.0)).alias(
             "pct_duplicate_rows"
         ),
     )

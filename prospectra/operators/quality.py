@@ -113,14 +113,14 @@ def empty_columns(df: DataFrame) -> DataFrame:
 
 def unique_violations(df: DataFrame, keys: Sequence[str], severity: str) -> DataFrame:
     """Surplus rows of a key, NULL keys included; counted per key before any row is moved."""
-    per_key = df.groupBy(*[named(k) for k in keys]).agg(F.count("*").alias("n"))
-    surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
+    per_key = df.groupBy(*[named(k) for k in keys]).agg(F.count("*").alias("_n"))
+    surplus = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
     return per_key.agg(
         F.lit("unique").alias("rule"),
         F.lit(severity).alias("severity"),
         F.lit(",".join(keys)).alias("column"),
         surplus.alias("n_violations"),
-        F.coalesce(F.try_divide(surplus * 100.0, F.sum("n")), F.lit(0.0)).alias("pct"),
+        F.coalesce(F.try_divide(surplus * 100.0, F.sum("_n")), F.lit(0.0)).alias("pct"),
     )
 
 

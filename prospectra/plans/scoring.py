@@ -12,7 +12,8 @@ from prospectra.ml.models import classifier_of, importances, input_columns
 from prospectra.operators.ranking import top_prospects
 from prospectra.operators.requests import valid_requests
 
-_MODEL_COLUMNS = ("features", "rawPrediction", "probability", "prediction")
+# Names that models and the functions below write; in input rows they are stale and dropped.
+_OUTPUTS = ("features", "rawPrediction", "probability", "prediction", "confidence")
 
 
 def predict(model: PipelineModel, rows: DataFrame, return_proba: bool = True) -> DataFrame:
@@ -20,7 +21,7 @@ def predict(model: PipelineModel, rows: DataFrame, return_proba: bool = True) ->
 
     Columns of `rows` that carry the names of model outputs are replaced.
     """
-    kept = [named(c) for c in rows.columns if c not in _MODEL_COLUMNS]
+    kept = [named(c) for c in rows.columns if c not in _OUTPUTS]
     return _scored(model, rows).select(*kept, *_prediction_columns(return_proba))
 
 
@@ -102,7 +103,7 @@ def _scored(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
     The feature stages replace columns, so the originals travel in a struct beside them.
     """
-    rows = rows.drop(*_MODEL_COLUMNS)
+    rows = rows.drop(*_OUTPUTS)
     original = F.struct(*[named(c) for c in rows.columns])
     scored = model.transform(rows.withColumn("_row", original))
     return scored.select(
