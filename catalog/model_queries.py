@@ -228,7 +228,7 @@ _FLAG_EXTRA = """flags AS (SELECT id, is_customer AS y, total_actions > 0 AS use
     ),
 )
 def feature_importance_query(spark, d):
-    return rounded(feature_importance(_usage_flag_model(spark, d), _usage_flag_rows(spark, d)), 4)
+    return rounded(feature_importance(_usage_flag_model(spark, d)), 4)
 
 
 @query(
@@ -257,6 +257,43 @@ def explain_row(spark, d):
 
 # Trees ------------------------------------------------------------------------------------------
 
+# Trees deep enough to give every value of their only input a leaf of its own.
+_SATURATED = {
+    "logistic_regression": {"penalty": None, "class_weight": "balanced"},
+    "random_forest": {
+        "n_estimators": 3,
+        "bootstrap": False,
+        "max_features": None,
+        "max_depth": 12,
+        "class_weight": "balanced",
+    },
+    "xgboost": {"n_estimators": 3, "learning_rate": 0.3, "max_depth": 12, "scale_pos_weight": 1.5},
+    "lightgbm": {"n_estimators": 3, "learning_rate": 0.1, "num_leaves": 4096, "is_unbalance": True},
+}
+
+
+def _range_rows(spark, d):
+    return companies(spark, d).select("id", "is_customer", "EMPLOYEE_RANGE")
+
+
+def _range_model(spark, d, model_type: str, settings: dict) -> PipelineModel:
+    """Of the company size rank alone."""
+
+    def fit():
+        stages = [RangeOrdinal(), AssembleFeatures(["id", "is_customer"])]
+        return _fit(materialize(_range_rows(spark, d), "ranges"), stages, model_type, **settings)
+
+    return _fitted(spark, d, f"range-{model_type}", fit)
+
+
+def _by_rank(scored, column: str):
+    return (
+        RangeOrdinal()
+        .transform(scored)
+        .groupBy("employee_range_ordinal")
+        .agg(F.count("*").alias("n"), F.max(column).alias(column))
+    )
+
 
 @query(
     "train_random_forest",
@@ -267,71 +304,85 @@ def explain_row(spark, d):
     ),
 )
 def train_random_forest(spark, d):
-    rows = companies(spark, d).select("id", "is_customer", "EMPLOYEE_RANGE")
+    settings = _SATURATED["random_forest"] | {"class_weight": None}
+    model = _range_model(spark, d, "random_forest", settings)
+    return _by_rank(predict(model, _range_rows(spark, d)), "prediction")
 
-    def fit():
-        stages = [RangeOrdinal(), AssembleFeatures(["id", "is_customer"])]
-        return _fit(
-            materialize(rows, "forest"),
-            stages,
-            "random_forest",
-            n_estimators=3,
-            bootstrap=False,
-            max_features=None,
-            max_depth=12,
-        )
 
-    scored = predict(_fitted(spark, d, "forest", fit), rows)
-    ordinal = RangeOrdinal().transform(scored)
-    return ordinal.groupBy("employee_range_ordinal").agg(
-        F.count("*").alias("n"), F.max("prediction").alias("prediction")
-    )
+# A boosted score starts at 2r - 1, r being the weighted rate of a leaf, and each further tree adds
+# the learning rate times the leaf's mean residual of the log loss.
+_RESIDUAL = "(r * 4 / (1 + exp(2 * {0})) - (1 - r) * 4 / (1 + exp(-2 * {0})))"
+_BOOSTED = f"""leaves AS (SELECT {RANGE_CASE} AS employee_range_ordinal, count(*) AS n,
+        CAST(sum(is_customer) AS DOUBLE) AS pos, CAST(sum(1 - is_customer) AS DOUBLE) AS neg
+        FROM companies GROUP BY 1),
+    types AS (SELECT 'xgboost' AS model_type, CAST(1.5 AS DOUBLE) AS w, CAST(0.3 AS DOUBLE) AS rate
+        UNION ALL SELECT 'lightgbm', sum(neg) / sum(pos), 0.1 FROM leaves),
+    round1 AS (SELECT *, 2 * r - 1 AS f1 FROM (SELECT *, w * pos / (w * pos + neg) AS r FROM leaves, types)),
+    round2 AS (SELECT *, f1 + rate * {_RESIDUAL.format('f1')} AS f2 FROM round1),
+    round3 AS (SELECT *, f2 + rate * {_RESIDUAL.format('f2')} AS f3 FROM round2)"""
 
 
-_SMALL_TREES = {
-    "random_forest": {"n_estimators": 20, "max_depth": 6, "class_weight": "balanced"},
-    "xgboost": {"n_estimators": 10, "learning_rate": 0.3, "max_depth": 4, "scale_pos_weight": 1.5},
-    "lightgbm": {"n_estimators": 10, "learning_rate": 0.1, "num_leaves": 15, "is_unbalance": True},
-    "logistic_regression": {"C": 1.0, "class_weight": "balanced"},
-}
+@query(
+    "train_boosted",
+    sql(
+        "SELECT model_type, employee_range_ordinal, n, round(1 / (1 + exp(-2 * f3)), 4) AS probability "
+        "FROM round3",
+        "companies",
+        extra=_BOOSTED,
+    ),
+)
+def train_boosted(spark, d):
+    rates = None
+    for model_type in ("xgboost", "lightgbm"):
+        model = _range_model(spark, d, model_type, _SATURATED[model_type])
+        rate = _by_rank(predict(model, _range_rows(spark, d)), "probability")
+        rate = rate.withColumn("model_type", F.lit(model_type))
+        rates = rate if rates is None else rates.unionByName(rate)
+    return rounded(rates, 4)
 
 
-def _full_model(spark, d, model_type: str) -> PipelineModel:
-    def fit():
-        rows = materialize(split_inputs(spark, d).where("split = 'train'"), "train")
-        return _fit(rows, feature_stages(rows), model_type, **_SMALL_TREES[model_type])
+@query(
+    "model_factory",
+    sql(
+        "SELECT model_type, grp AS industry, n, CASE WHEN w * pos > neg THEN 1 ELSE 0 END AS prediction FROM ("
+        "SELECT COALESCE(INDUSTRY, 'Other') AS grp, count(*) AS n, sum(is_customer) AS pos, "
+        "sum(1 - is_customer) AS neg FROM companies GROUP BY 1), types",
+        "companies",
+        extra="types AS (SELECT unnest(['logistic_regression', 'random_forest', 'lightgbm']) AS model_type, "
+        "CAST(sum(1 - is_customer) AS DOUBLE) / sum(is_customer) AS w FROM companies "
+        "UNION ALL SELECT 'xgboost', 1.5)",
+    ),
+)
+def model_factory(spark, d):
+    """Predicted class per industry, by every type of model."""
+    rows = companies(spark, d).select("id", "is_customer", "INDUSTRY")
+    classes = None
+    for model_type in MODEL_TYPES:
+
+        def fit(model_type=model_type):
+            stages = [OneHotFrequent(), AssembleFeatures(["id", "is_customer"])]
+            train = materialize(rows, "industries")
+            return _fit(train, stages, model_type, **_SATURATED[model_type])
 
-    return _fitted(spark, d, f"full-{model_type}", fit)
+        scored = predict(_fitted(spark, d, f"industry-{model_type}", fit), rows)
+        found = scored.groupBy(F.coalesce("INDUSTRY", F.lit("Other")).alias("industry")).agg(
+            F.count("*").alias("n"), F.max("prediction").alias("prediction")
+        )
+        found = found.withColumn("model_type", F.lit(model_type))
+        classes = found if classes is None else classes.unionByName(found)
+    return classes
 
 
 @query("train_logistic_l2")
 def train_logistic_l2(spark, d):
-    model = _full_model(spark, d, "logistic_regression")
-    return feature_importance(model, role(spark, d, "customers"))
-
-
-@query("train_boosted")
-def train_boosted(spark, d):
-    rows = role(spark, d, "customers")
-    parts = [
-        feature_importance(_full_model(spark, d, t), rows).withColumn("model_type", F.lit(t))
-        for t in ("xgboost", "lightgbm")
-    ]
-    return parts[0].unionByName(parts[1])
+    """Importances of the standard model over all stages; SQL has no way to minimise its loss."""
 
+    def fit():
+        rows = materialize(split_inputs(spark, d).where("split = 'train'"), "train")
+        settings = {"C": 1.0, "class_weight": "balanced"}
+        return _fit(rows, feature_stages(rows), "logistic_regression", **settings)
 
-@query("model_factory")
-def model_factory(spark, d):
-    """ROC-AUC on the test rows of every model type."""
-    test = split_inputs(spark, d).where("split = 'test'")
-    areas = None
-    for model_type in MODEL_TYPES:
-        scored = predict(_full_model(spark, d, model_type), test)
-        area = roc_auc(scored, "is_customer", "probability").withColumn(
-            "model_type", F.lit(model_type)
-        )
-        areas = area if areas is None else areas.unionByName(area)
-    return areas
+    return feature_importance(_fitted(spark, d, "standard", fit))
 
 
 # Evaluation -------------------------------------------------------------------------------------

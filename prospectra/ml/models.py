@@ -14,7 +14,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prospectra.functions import named
@@ -237,8 +237,7 @@ def importances(fitted: Model) -> list[tuple[str, float]]:
     return [(name, float(value)) for name, value in zip(names, values, strict=True)]
 
 
-def feature_importance(fitted: Model, df: DataFrame) -> DataFrame:
-    """Importances as a table, one row per model input; `df` only lends its session."""
-    return df.sparkSession.createDataFrame(
-        importances(fitted), "feature string, importance double"
-    )
+def feature_importance(fitted: Model) -> DataFrame:
+    """Importances as a table, one row per model input."""
+    spark = SparkSession.active()
+    return spark.createDataFrame(importances(fitted), "feature string, importance double")

@@ -109,7 +109,7 @@ def train(dataset: DataFrame, config: TrainingConfig | None = None) -> TrainingR
         rows=rows,
         predictions=predictions,
         metrics=all_metrics(scored, config.threshold, LABEL, "probability"),
-        importance=feature_importance(model, rows),
+        importance=feature_importance(model),
         cross_validation=folds,
     )
 
