@@ -20,8 +20,9 @@ from prospectra.ml.stages import (
     ScaleFeatures,
 )
 from prospectra.operators.cleaning import LABEL, NON_FEATURES
-from prospectra.operators.runs import all_metrics, metrics_table
+from prospectra.operators.runs import metrics_table
 from prospectra.operators.split import split_stratified
+from prospectra.plans.evaluation import Evaluation, evaluate
 from prospectra.plans.scoring import predict
 from prospectra.sources.scratch import materialize
 from prospectra.sources.writers import append_metrics, write_importance, write_splits
@@ -52,7 +53,7 @@ class TrainingResult:
     model: PipelineModel
     rows: DataFrame
     predictions: DataFrame
-    metrics: DataFrame
+    evaluation: Evaluation
     importance: DataFrame
     cross_validation: DataFrame | None
 
@@ -103,12 +104,11 @@ def train(dataset: DataFrame, config: TrainingConfig | None = None) -> TrainingR
 
     model = PipelineModel(stages=[*features.stages, fitted])
     predictions = predict(model, test_rows)
-    scored = predictions.select("id", LABEL, "probability")
     return TrainingResult(
         model=model,
         rows=rows,
         predictions=predictions,
-        metrics=all_metrics(scored, config.threshold, LABEL, "probability"),
+        evaluation=evaluate(predictions, config.threshold),
         importance=feature_importance(model),
         cross_validation=folds,
     )
@@ -119,7 +119,7 @@ def save_artifacts(result: TrainingResult, path: str, run_id: str, run_time: str
     result.model.write().overwrite().save(f"{path}/model")
     write_splits(result.rows, f"{path}/splits")
     write_importance(result.importance, f"{path}/feature_importance")
-    append_metrics(metrics_table(result.metrics, run_id, run_time), f"{path}/metrics")
+    append_metrics(metrics_table(result.evaluation.metrics, run_id, run_time), f"{path}/metrics")
 
 
 def load_model(path: str) -> PipelineModel:

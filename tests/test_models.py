@@ -92,8 +92,7 @@ def test_model_factory_translates_settings():
 def test_every_type_learns(spark, model_type):
     small = {} if model_type == "logistic_regression" else {"n_estimators": 5, "max_depth": 3}
     result = train(requests_frame(spark), TrainingConfig(model_type, small, folds=0))
-    metrics = result.metrics.first()
-    assert metrics["roc_auc"] > 0.7
+    assert result.evaluation.metrics.first()["roc_auc"] > 0.7
     importance = {r["feature"]: r["importance"] for r in result.importance.collect()}
     assert max(importance, key=importance.get) in ("total_actions", "industry_a")
     assert "is_customer" not in importance and "id" not in importance
@@ -146,6 +145,18 @@ def test_explanations(spark, result):
     assert 1 / (1 + np.exp(-total)) == pytest.approx(every["probability"])
 
 
+def test_evaluation_tables_agree(result):
+    tables, n = result.evaluation, result.predictions.count()
+    report = {r["row"]: r for r in tables.report.collect()}
+    assert report["accuracy"]["support"] == n == tables.histogram.agg(F.sum("n")).first()[0]
+    assert report["accuracy"]["f1"] == pytest.approx(tables.metrics.first()["accuracy"])
+    assert sum(r["predicted_0"] + r["predicted_1"] for r in tables.confusion.collect()) == n
+    assert tables.best_threshold.first()["value"] >= tables.metrics.first()["f1"]
+    assert tables.roc.count() == tables.precision_recall.count()
+    contacts = sum(r["predicted_1"] for r in tables.confusion.collect())
+    assert tables.business.first()["total_contacts"] == contacts
+
+
 def test_artifacts(spark, result, tmp_path):
     path = str(tmp_path / "run")
     save_artifacts(result, path, "run_1", "2024-01-01 00:00:00")
@@ -156,7 +167,7 @@ def test_artifacts(spark, result, tmp_path):
     splits = spark.read.parquet(f"{path}/splits")
     assert splits.count() == 400 and "target" in splits.columns
     metrics = {r["metric"]: r["value"] for r in spark.read.parquet(f"{path}/metrics").collect()}
-    assert metrics["roc_auc"] == pytest.approx(result.metrics.first()["roc_auc"])
+    assert metrics["roc_auc"] == pytest.approx(result.evaluation.metrics.first()["roc_auc"])
 
 
 def test_requests_batch_and_stream_agree(spark, result, tmp_path):
