@@ -21,7 +21,7 @@ from prospectra.functions import (
     safe_ratio,
 )
 from prospectra.operators.usage import usage_window
-from prospectra.sources.schemas import EMPLOYEE_RANGES
+from prospectra.schemas import EMPLOYEE_RANGES
 
 
 @query("parse_ts_strict", "SELECT event_id, CAST(CAST(ts AS VARCHAR) AS TIMESTAMP) AS ts FROM events")

@@ -7,6 +7,7 @@ unbagged forest over a single input predicts the majority per value.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from catalog.function_queries import RANGE_CASE
 from catalog.registry import query, rounded
 from catalog.roles import role, sql
 from prospectra.ml.evaluation import cross_validate
+from prospectra.ml.foreign import FunctionModel
 from prospectra.ml.models import MODEL_TYPES, create_model, feature_importance
 from prospectra.ml.stages import AssembleFeatures, OneHotFrequent, RangeOrdinal
 from prospectra.operators.curves import average_precision, pr_curve, roc_auc, roc_curve
@@ -385,6 +387,32 @@ def train_logistic_l2(spark, d):
     return feature_importance(_fitted(spark, d, "standard", fit))
 
 
+# A model from outside Spark ------------------------------------------------------------------
+
+
+def _outside_score(matrix):
+    """A fixed logistic score of rank and label rank."""
+    return 1.0 / (1.0 + np.exp(0.5 - matrix[:, 0] / 1e6 - 0.1 * matrix[:, 1]))
+
+
+@query(
+    "custom_model",
+    sql(
+        "SELECT id, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction, round(p, 6) AS probability, "
+        "round(greatest(p, 1 - p), 6) AS confidence FROM (SELECT id, "
+        f"1 / (1 + exp(0.5 - COALESCE(ALEXA_RANK, 0) / CAST(1000000 AS DOUBLE) - 0.1 * {RANGE_CASE})) AS p "
+        "FROM companies)",
+        "companies",
+    ),
+)
+def custom_model(spark, d):
+    rank = F.coalesce("ALEXA_RANK", F.lit(0)).cast("double").alias("ALEXA_RANK")
+    rows = companies(spark, d).select("id", rank, "EMPLOYEE_RANGE")
+    stages = Pipeline(stages=[RangeOrdinal(), AssembleFeatures(["id"])]).fit(rows).stages
+    model = PipelineModel(stages=[*stages, FunctionModel(_outside_score)])
+    return rounded(predict_with_ids(model, rows))
+
+
 # Evaluation -------------------------------------------------------------------------------------
 
 

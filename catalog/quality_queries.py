@@ -29,7 +29,7 @@ from prospectra.operators.quality import (
     unique_violations,
     validate,
 )
-from prospectra.sources.schemas import EMPLOYEE_RANGES, USAGE_OBJECTS
+from prospectra.schemas import EMPLOYEE_RANGES, USAGE_OBJECTS
 
 _RANGES = ", ".join(f"'{name}'" for name in EMPLOYEE_RANGES)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from prospectra.operators.usage import USAGE_FEATURES
-from prospectra.sources.schemas import EMPLOYEE_RANGES, USAGE_OBJECTS
+from prospectra.schemas import EMPLOYEE_RANGES, USAGE_OBJECTS
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 _EVENT_TYPES = dict(zip(USAGE_OBJECTS, ["view", "signup", "purchase", "click"]))

@@ -15,6 +15,7 @@ from prospectra.functions.scalars import (
     range_ordinal,
     round4,
     safe_ratio,
+    strict_cast,
 )
 
 __all__ = [
@@ -34,4 +35,5 @@ __all__ = [
     "range_ordinal",
     "round4",
     "safe_ratio",
+    "strict_cast",
 ]

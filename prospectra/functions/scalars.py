@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prospectra.sources.schemas import EMPLOYEE_RANGES
+from prospectra.schemas import EMPLOYEE_RANGES
 
 # What Python's str.strip removes.
 _WHITE_SPACE = "".join(char for char in map(chr, range(0x3001)) if char.isspace())
@@ -19,17 +19,22 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def parse_timestamp(text: Column, strict: bool = True) -> Column:
-    """Text to timestamp without zone; text that is not one fails the job, or gives NULL if lenient.
+def strict_cast(text: Column, kind: str) -> Column:
+    """Text to a type; text that is no such value fails the job, whatever the session's ANSI setting.
 
-    Strictness does not depend on the session's ANSI setting.
+    Whole numbers may be written with a zero fraction, as tools do that hold gaps as floats.
     """
-    parsed = text.try_cast("timestamp_ntz")
-    if not strict:
-        return parsed
-    problem = F.concat(F.lit("not a timestamp: "), text.cast("string"))
+    digits = F.regexp_replace(text, r"\.0+$", "") if kind in ("int", "bigint") else text
+    parsed = digits.try_cast(kind)
+    names = {"timestamp_ntz": "timestamp", "bigint": "whole number", "double": "number"}
+    problem = F.concat(F.lit(f"not a {names.get(kind, kind)}: "), text)
     failed = text.isNotNull() & parsed.isNull()
-    return F.when(failed, F.raise_error(problem).cast("timestamp_ntz")).otherwise(parsed)
+    return F.when(failed, F.raise_error(problem).cast(kind)).otherwise(parsed)
+
+
+def parse_timestamp(text: Column, strict: bool = True) -> Column:
+    """Text to timestamp without zone; text that is not one fails the job, or gives NULL if lenient."""
+    return strict_cast(text, "timestamp_ntz") if strict else text.try_cast("timestamp_ntz")
 
 
 def days_between(start: Column, end: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prospectra.functions import in_set, named, numeric_columns, parse_timestamp, prefix_columns
-from prospectra.sources.schemas import (
+from prospectra.schemas import (
     ACTION_COLUMNS,
     EMPLOYEE_RANGES,
     TABLE_SPECS,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prospectra.functions import in_set
-from prospectra.sources.schemas import EMPLOYEE_RANGES
+from prospectra.schemas import EMPLOYEE_RANGES
 
 MEASURES = ("total_actions", "total_users", "days_active", "activity_frequency")
 

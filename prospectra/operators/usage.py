@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prospectra.functions import activity_frequency, days_between, null_to_zero, safe_ratio
-from prospectra.sources.schemas import ACTION_COLUMNS, USER_COLUMNS
+from prospectra.schemas import ACTION_COLUMNS, USER_COLUMNS
 
 # Aggregates per kind of measure; names follow <column>_<statistic>.
 _STATISTICS = {"sum": F.sum, "mean": F.avg, "max": F.max, "std": F.stddev_samp}

@@ -1,7 +1,7 @@
 """CSV readers.
 
-The header is read first (one line) so that columns are matched by name and typed without an
-inference pass; a missing path or a value that does not parse fails the read.
+The header is read first (one line), so that columns are matched by name and typed without an
+inference pass; a missing path or a value that is not of its type fails the read.
 """
 
 from __future__ import annotations
@@ -10,7 +10,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from prospectra.sources.schemas import CUSTOMERS, NONCUSTOMERS, USAGE
+from prospectra.functions.scalars import named, strict_cast
+from prospectra.schemas import CUSTOMERS, NONCUSTOMERS, USAGE
+
+# What pandas reads as missing by default, besides empty text.
+MISSING_MARKERS = [
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
 
 
 def read_csv_table(
@@ -25,16 +48,24 @@ def read_csv_table(
 
     `order_column` adds the row's place in the input (see `scan_order`), which the keep-first and
     keep-last operators need because a DataFrame has no row order. `multi_line` allows line breaks
-    inside quotes, at the price of one task per file.
+    inside quotes, at the price of one task per file. `mode` says what happens to rows with a wrong
+    number of fields.
     """
     reader = (
         spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     )
-    header = reader.csv(path).columns
-    types = {field.name: field.dataType for field in schema}
-    by_name = T.StructType([T.StructField(name, types.get(name, T.StringType())) for name in header])
-    table = reader.option("mode", mode).option("enforceSchema", False).schema(by_name).csv(path)
-    return table.withColumn(order_column, scan_order()) if order_column else table
+    # Without a schema every column is text, and only the header line is read at this point.
+    texts = reader.option("enforceSchema", False).option("mode", mode).csv(path)
+    types = {field.name: field.dataType.simpleString() for field in schema}
+    columns = [_typed(name, types.get(name, "string")).alias(name) for name in texts.columns]
+    if order_column:
+        columns.append(scan_order().alias(order_column))
+    return texts.select(*columns)
+
+
+def _typed(name: str, kind: str) -> Column:
+    text = F.when(~named(name).isin(MISSING_MARKERS), named(name))
+    return text if kind == "string" else strict_cast(text, kind)
 
 
 def read_customers(spark: SparkSession, path: str, **options) -> DataFrame:

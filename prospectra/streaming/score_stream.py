@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from prospectra.plans.scoring import score_requests
-from prospectra.sources.schemas import REQUESTS
+from prospectra.schemas import REQUESTS
 
 
 def read_request_stream(

@@ -25,7 +25,7 @@ from prospectra.operators.usage import (
     usage_features,
 )
 from prospectra.plans.dataset import RawTables, prepare_dataset
-from prospectra.sources.schemas import ACTION_COLUMNS, REQUESTS, USER_COLUMNS
+from prospectra.schemas import ACTION_COLUMNS, REQUESTS, USER_COLUMNS
 
 USAGE = "id bigint, WHEN_TIMESTAMP timestamp_ntz, " + ", ".join(
     f"{c} bigint" for c in ACTION_COLUMNS + USER_COLUMNS

@@ -18,7 +18,7 @@ from prospectra.functions import (
     round4,
     safe_ratio,
 )
-from prospectra.sources.schemas import EMPLOYEE_RANGES
+from prospectra.schemas import EMPLOYEE_RANGES
 
 
 def values(df, column):

@@ -63,10 +63,20 @@ def test_csv_fails_early(spark, tmp_path):
         read_usage(spark, str(tmp_path / "nothing.csv"))
     bad = tmp_path / "bad.csv"
     bad.write_text("id,MRR\n1,many\n")
+    with pytest.raises(Exception, match="not a number: many"):
+        read_customers(spark, str(bad)).collect()
+    bad.write_text("id,MRR\n1,2,3\n")
     with pytest.raises(Exception, match="MALFORMED|malformed"):
         read_customers(spark, str(bad)).collect()
 
 
+def test_csv_markers_of_missing_values(spark, tmp_path):
+    path = tmp_path / "gaps.csv"
+    path.write_text("id,ALEXA_RANK,INDUSTRY\n1,309343.0,NA\n2,NaN,n/a\n3,,Nautics\n")
+    rows = sorted(map(tuple, read_customers(spark, str(path)).collect()))
+    assert rows == [(1, 309343, None), (2, None, None), (3, None, "Nautics")]
+
+
 @pytest.mark.parametrize("format", ["csv", "json", "parquet"])
 def test_predictions_round_trip(spark, tmp_path, format):
     df = spark.createDataFrame([(1, 1, 0.75), (2, 0, 0.25)], "id bigint, prediction int, probability double")
