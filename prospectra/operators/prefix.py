@@ -1,9 +1,9 @@
 """Running totals over a global order, without a global window.
 
 A window without partitions would run in one task. Here the rows are range-partitioned by the order
-key, the window runs inside each range, and the totals of the ranges before it are added. The rows
-with their range are written to scratch in between: the table is read once however often the result
-is used, and a lost executor cannot move the borders of the ranges.
+key, a window sums inside each range, and the totals of the ranges before it are added. The rows with
+their range are written to scratch in between: the table is read once however often the result is
+used, and a lost executor cannot move the borders of the ranges.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from prospectra.functions import named
 from prospectra.sources.scratch import materialize
@@ -34,17 +34,22 @@ def running_totals(
 
     `df` has one row per group and order key, so the ranges come out even. Groups are few by
     contract (labels, column names); one group may hold all rows, the ranges cut through groups.
+    The summed columns hold whole numbers.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    groups = list(group_columns) or ["_all"]
-    rows = df if group_columns else df.withColumn("_all", F.lit(0))
-    keys = [named(c) for c in [*groups, *order_columns]]
-    ranged = rows.repartitionByRange(min(partitions, _MAX_RANGES), *keys).withColumn(
-        "_range", F.spark_partition_id()
+    groups = list(group_columns)
+    order = [named(c).asc() for c in groups]
+    order += [named(c).desc() if descending else named(c).asc() for c in order_columns]
+    ranged = (
+        df.withColumns({c: named(c).cast("bigint") for c in sum_columns})
+        .repartitionByRange(min(partitions, _MAX_RANGES), *order)
+        # The window sorts by range first, where Spark's fast sort by key prefix cannot help; it is
+        # quick all the same on rows that arrive in order.
+        .sortWithinPartitions(*order)
+        .withColumn("_range", F.spark_partition_id())
     )
-    order = [named(c).desc() if descending else named(c).asc() for c in order_columns]
     inside = (
-        Window.partitionBy(*groups, "_range")
+        Window.partitionBy("_range")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -53,30 +58,31 @@ def running_totals(
         "running-totals",
     )
 
-    totals = within.groupBy(*groups, "_range").agg(
+    # One row per range and group: at most _MAX_RANGES + the number of groups. A range sums over all
+    # its groups, so what the groups before add to it comes off again.
+    totals = within.groupBy("_range", *groups).agg(
         *[F.sum(named(c)).alias(f"_total_{c}") for c in sum_columns]
     )
-    earlier = (
-        Window.partitionBy(*groups)
-        .orderBy(F.desc("_range") if descending else F.asc("_range"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    rows_before = (Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*(groups or [F.lit(0)])).orderBy("_range").rowsBetween(*rows_before)
+    offsets = {c: _sum_or_zero(f"_total_{c}", earlier) for c in sum_columns}
+    if groups:
+        beside = Window.partitionBy("_range").orderBy(*groups).rowsBetween(*rows_before)
+        offsets = {c: gained - _sum_or_zero(f"_total_{c}", beside) for c, gained in offsets.items()}
+    shifts = totals.select(
+        "_range", *groups, *[shift.alias(f"_shift_{c}") for c, shift in offsets.items()]
     )
-    offsets = totals.select(
-        *groups,
-        "_range",
-        *[
-            F.coalesce(F.sum(f"_total_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}")
-            for c in sum_columns
-        ],
-    )
-    # One row per range and group: at most _MAX_RANGES + the number of groups.
-    placed = within.join(F.broadcast(offsets), [*groups, "_range"])
+    placed = within.join(F.broadcast(shifts), ["_range", *groups])
     return placed.select(
         *[named(c) for c in df.columns],
-        *[(F.col(f"_before_{c}") + F.col(f"cum_{c}")).alias(f"cum_{c}") for c in sum_columns],
+        *[(F.col(f"cum_{c}") + F.col(f"_shift_{c}")).alias(f"cum_{c}") for c in sum_columns],
     )
 
 
+def _sum_or_zero(column: str, window: WindowSpec) -> Column:
+    return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+
 def dense_number(keys: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """Number distinct keys 0, 1, 2, ... in key order; a key with a NULL part gets no number."""
     complete = reduce(and_, [named(c).isNotNull() for c in columns])

@@ -61,7 +61,7 @@ def _quota_ends(
     hashed = df.where(named(label).isin(0, 1)).select(
         named(label).alias("label"), split_hash(named(key), seed).alias("hash")
     )
-    cell = F.conv(F.substring("hash", 1, _PREFIX), 16, 10).cast("int")
+    cell = F.substring("hash", 1, _PREFIX)
     cells = hashed.groupBy("label", cell.alias("cell")).agg(F.count("*").alias("n"))
     # At most 65,536 rows per label from here on, and one per label in the end.
     in_order = Window.partitionBy("label").orderBy("cell")
