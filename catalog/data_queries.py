@@ -206,10 +206,10 @@ AREAS_SQL = """areas AS (
 
 _RUN_MATRIX = " UNION ALL ".join(
     f"SELECT '{run}' AS run_id, TIMESTAMP '{when}' AS run_time, "
-    f"CAST(count(*) FILTER (y_true = 1 AND y_proba >= {cut}) AS DOUBLE) AS tp, "
-    f"CAST(count(*) FILTER (y_true = 0 AND y_proba >= {cut}) AS DOUBLE) AS fp, "
-    f"CAST(count(*) FILTER (y_true = 1 AND y_proba < {cut}) AS DOUBLE) AS fn, "
-    f"CAST(count(*) FILTER (y_true = 0 AND y_proba < {cut}) AS DOUBLE) AS tn FROM scored"
+    f"CAST(count(*) FILTER (WHERE y_true = 1 AND y_proba >= {cut}) AS DOUBLE) AS tp, "
+    f"CAST(count(*) FILTER (WHERE y_true = 0 AND y_proba >= {cut}) AS DOUBLE) AS fp, "
+    f"CAST(count(*) FILTER (WHERE y_true = 1 AND y_proba < {cut}) AS DOUBLE) AS fn, "
+    f"CAST(count(*) FILTER (WHERE y_true = 0 AND y_proba < {cut}) AS DOUBLE) AS tn FROM scored"
     for run, (when, cut) in RUNS.items()
 )
 RUNS_SQL = (

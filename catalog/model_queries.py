@@ -218,7 +218,7 @@ def _usage_flag_model(spark, d) -> PipelineModel:
 
 _FLAG_EXTRA = """flags AS (SELECT id, is_customer AS y, total_actions > 0 AS used FROM prepared),
     odds AS (SELECT used, avg(y) AS p, ln(CAST(sum(y) AS DOUBLE) / sum(1 - y)) AS logit FROM flags GROUP BY used),
-    effect AS (SELECT max(logit) FILTER (used) - max(logit) FILTER (NOT used) AS coefficient FROM odds)"""
+    effect AS (SELECT max(logit) FILTER (WHERE used) - max(logit) FILTER (WHERE NOT used) AS coefficient FROM odds)"""
 
 
 @query(
@@ -525,9 +525,9 @@ def pr_curve_query(spark, d):
 _THRESHOLDS = f"""grid AS (
     SELECT CASE WHEN i = 99 THEN 1 ELSE i * (CAST(1 AS DOUBLE) / 99) END AS threshold
     FROM (SELECT unnest(generate_series(0, 99)) AS i)),
-    tried AS (SELECT threshold, count(*) FILTER (y_true = 1 AND y_proba >= threshold) AS tp,
-        count(*) FILTER (y_true = 0 AND y_proba >= threshold) AS fp,
-        count(*) FILTER (y_true = 1 AND y_proba < threshold) AS fn FROM grid, scored GROUP BY threshold),
+    tried AS (SELECT threshold, count(*) FILTER (WHERE y_true = 1 AND y_proba >= threshold) AS tp,
+        count(*) FILTER (WHERE y_true = 0 AND y_proba >= threshold) AS fp,
+        count(*) FILTER (WHERE y_true = 1 AND y_proba < threshold) AS fn FROM grid, scored GROUP BY threshold),
     judged AS (SELECT threshold, {_F1} AS f1, {_PRECISION} AS precision, {_RECALL} AS recall FROM tried)"""
 
 

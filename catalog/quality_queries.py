@@ -37,9 +37,9 @@ _RANGES = ", ".join(f"'{name}'" for name in EMPLOYEE_RANGES)
 def _rule_sql(source: str, rule: str, column: str, broken: str, base: str = "TRUE", severity: str = "warning") -> str:
     return (
         f"SELECT '{rule}' AS rule, '{severity}' AS severity, '{column}' AS \"column\", "
-        f"count(*) FILTER ({broken}) AS n_violations, "
-        f"round(COALESCE(count(*) FILTER ({broken}) * CAST(100 AS DOUBLE) / "
-        f"nullif(count(*) FILTER ({base}), 0), 0), 6) AS pct FROM {source}"
+        f"count(*) FILTER (WHERE {broken}) AS n_violations, "
+        f"round(COALESCE(count(*) FILTER (WHERE {broken}) * CAST(100 AS DOUBLE) / "
+        f"nullif(count(*) FILTER (WHERE {base}), 0), 0), 6) AS pct FROM {source}"
     )
 
 
@@ -174,8 +174,8 @@ def dq_actions_ge_users(spark, d):
     "dq_orphan_usage",
     sql(
         "SELECT 'orphan_usage' AS rule, 'error' AS severity, 'id' AS \"column\", "
-        "count(*) FILTER (orphan) AS n_violations, "
-        "round(count(*) FILTER (orphan) * CAST(100 AS DOUBLE) / count(*), 6) AS pct FROM "
+        "count(*) FILTER (WHERE orphan) AS n_violations, "
+        "round(count(*) FILTER (WHERE orphan) * CAST(100 AS DOUBLE) / count(*), 6) AS pct FROM "
         "(SELECT DISTINCT id, id NOT IN (SELECT id FROM companies) AS orphan FROM usage)",
         "usage",
         "companies",
@@ -263,8 +263,8 @@ def profile_duplicate_rows_query(spark, d):
     sql(
         "SELECT * FROM ("
         + " UNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS n_missing, "
-            f"round(count(*) FILTER ({c} IS NULL) * CAST(100 AS DOUBLE) / count(*), 6) AS pct_missing "
+            f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
+            f"round(count(*) FILTER (WHERE {c} IS NULL) * CAST(100 AS DOUBLE) / count(*), 6) AS pct_missing "
             "FROM companies"
             for c in ("id", "CLOSEDATE", "MRR", "ALEXA_RANK", "EMPLOYEE_RANGE", "INDUSTRY", "is_customer")
         )

@@ -163,10 +163,10 @@ _DERIVED: dict[str, str] = {
     "matrix": """matrix AS (
         SELECT y_true, CASE WHEN y_proba >= 0.5 THEN 1 ELSE 0 END AS y_pred FROM scored)""",
     "counts": """counts AS (
-        SELECT count(*) FILTER (y_true = 0 AND y_pred = 0) AS tn,
-            count(*) FILTER (y_true = 0 AND y_pred = 1) AS fp,
-            count(*) FILTER (y_true = 1 AND y_pred = 0) AS fn,
-            count(*) FILTER (y_true = 1 AND y_pred = 1) AS tp FROM matrix)""",
+        SELECT count(*) FILTER (WHERE y_true = 0 AND y_pred = 0) AS tn,
+            count(*) FILTER (WHERE y_true = 0 AND y_pred = 1) AS fp,
+            count(*) FILTER (WHERE y_true = 1 AND y_pred = 0) AS fn,
+            count(*) FILTER (WHERE y_true = 1 AND y_pred = 1) AS tp FROM matrix)""",
     "steps": """steps AS (
         SELECT y_proba AS score, sum(y_true) AS pos, sum(1 - y_true) AS neg,
             sum(sum(y_true)) OVER (ORDER BY y_proba DESC) AS tp,

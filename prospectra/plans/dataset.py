@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from prospectra.functions import parse_timestamp
 from prospectra.operators.cleaning import add_target, filter_valid_mrr, union_companies
 from prospectra.operators.dedup import deduplicate
 from prospectra.operators.quality import require_valid
 from prospectra.operators.usage import join_usage, usage_features
+from prospectra.sources import read_customers, read_noncustomers, read_usage
 
 
 @dataclass(frozen=True)
@@ -22,6 +24,23 @@ class RawTables:
     order_column: str = "_seq"
 
 
+def read_raw_tables(
+    spark: SparkSession,
+    customers_path: str,
+    noncustomers_path: str,
+    usage_path: str,
+    strict_timestamps: bool = True,
+) -> RawTables:
+    """The three CSV inputs; a usage timestamp that is none fails the job, or is NULL if not strict."""
+    usage = read_usage(spark, usage_path)
+    parsed = parse_timestamp(usage["WHEN_TIMESTAMP"], strict_timestamps)
+    return RawTables(
+        customers=read_customers(spark, customers_path, order_column="_seq"),
+        noncustomers=read_noncustomers(spark, noncustomers_path, order_column="_seq"),
+        usage=usage.withColumn("WHEN_TIMESTAMP", parsed),
+    )
+
+
 def prepare_dataset(
     tables: RawTables,
     strategy: str | None = "most_complete",

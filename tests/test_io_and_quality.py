@@ -26,6 +26,8 @@ from prospectra.operators.quality import (
     unique_violations,
     validate,
 )
+from prospectra.plans.dataset import prepare_dataset, read_raw_tables
+from prospectra.schemas import ACTION_COLUMNS, USER_COLUMNS
 from prospectra.sources import (
     append_metrics,
     new_scratch_path,
@@ -108,6 +110,27 @@ def test_metrics_of_a_run_are_replaced(spark, tmp_path):
     assert found == {"a": 0.3, "b": 0.2}
 
 
+def test_from_csv_files_to_features(spark, tmp_path, customers_csv):
+    (tmp_path / "prospects.csv").write_text(
+        "id,INDUSTRY,ALEXA_RANK,EMPLOYEE_RANGE\n8,,7,1\n8,Legal,7,1\n9,,NaN,2 to 5\n"
+    )
+    measures = ",".join(ACTION_COLUMNS + USER_COLUMNS)
+    (tmp_path / "usage.csv").write_text(
+        f"id,WHEN_TIMESTAMP,{measures}\n"
+        "8,2024-01-01 23:00:00,3,0,0,1,1,0,0,1\n"
+        "8,2024-01-03 01:00:00,5,0,0,0,1,0,0,0\n"
+    )
+    paths = [customers_csv, str(tmp_path / "prospects.csv"), str(tmp_path / "usage.csv")]
+    dataset = prepare_dataset(read_raw_tables(spark, *paths), check=True)
+    found = {r["id"]: r for r in dataset.collect()}
+    # Customer 3 pays nothing; of the two rows of prospect 8 the fuller one stays.
+    assert sorted(found) == [1, 2, 8, 9]
+    assert found[8]["INDUSTRY"] == "Legal" and found[8]["total_actions"] == 9
+    assert found[8]["actions_per_user"] == 3.0 and found[8]["days_active"] == 1
+    assert found[9]["total_actions"] == 0 and found[9]["ALEXA_RANK"] is None
+    assert found[1]["is_customer"] == 1 and found[1]["EXTRA"] == "x"
+
+
 def test_scratch_uses_the_shared_folder(spark, tmp_path):
     before = spark.conf.get("spark.checkpoint.dir", None)
     path = new_scratch_path(spark, "x")
