@@ -393,7 +393,11 @@ class ScaleFeatures(_Stage, Estimator):
             else:
                 pairs = {c: (F.min(v), F.max(v) - F.min(v)) for c, v in values.items()}
             row = dataset.agg(
-                *[part.alias(f"{side}_{i}") for i, c in enumerate(names) for side, part in zip("cs", pairs[c])]
+                *[
+                    part.alias(f"{side}_{i}")
+                    for i, c in enumerate(names)
+                    for side, part in zip("cs", pairs[c])
+                ]
             ).first()
             parts = {
                 c: (row[f"c_{i}"], row[f"s_{i}"])

@@ -154,7 +154,8 @@ def threshold_scores(scored: DataFrame, label: str = LABEL, score: str = SCORE)
     cells = scored.groupBy(cell.alias("cell")).agg(
         F.count_if(named(label) == 1).alias("pos"), F.count_if(named(label) == 0).alias("neg")
     )
-    grid = scored.sparkSession.range(-1, _STEPS + 1, numPartitions=1).select(F.col("id").cast("int").alias("cell"))
+    grid = scored.sparkSession.range(-1, _STEPS + 1, numPartitions=1)
+    grid = grid.select(F.col("id").cast("int").alias("cell"))
     from_top = Window.partitionBy(F.lit(0)).orderBy(F.desc("cell"))
     counted = (
         grid.join(F.broadcast(cells), "cell", "left")
@@ -184,7 +185,8 @@ def optimal_threshold(
     if metric not in ("f1", "precision", "recall"):
         raise ValueError(f"Unsupported metric: {metric}; use f1, precision or recall")
     value = F.col(metric)
-    best = F.max(F.when(value > 0, F.struct(value.alias("value"), (-F.col("threshold")).alias("low"))))
+    rank = F.struct(value.alias("value"), (-F.col("threshold")).alias("low"))
+    best = F.max(F.when(value > 0, rank))
     return threshold_scores(scored, label, score).agg(best.alias("best")).select(
         F.coalesce(-F.col("best.low"), F.lit(0.5)).alias("threshold"),
         F.coalesce(F.col("best.value"), F.lit(0.0)).alias("value"),
@@ -196,28 +198,26 @@ def score_histogram(scored: DataFrame, label: str = LABEL, score: str = SCORE) -
 
     The last bin includes its upper end. A class with a single score gets a range of width 1.
     """
-    y, p = named(label), named(score)
-    ends = scored.where(y.isin(0, 1) & p.isNotNull()).groupBy(y.alias("actual")).agg(
-        F.min(p).alias("low"), F.max(p).alias("high")
+    rows = scored.select(named(label).alias("actual"), named(score).alias("score")).where(
+        F.col("actual").isin(0, 1) & F.col("score").isNotNull()
     )
-    ends = ends.select(
-        "actual",
-        F.when(F.col("low") == F.col("high"), F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
-        F.when(F.col("low") == F.col("high"), F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
-    )
-    low, width = F.col("low"), (F.col("high") - F.col("low")) / F.lit(float(_BINS))
+    p, low, high = F.col("score"), F.col("low"), F.col("high")
+    ends = rows.groupBy("actual").agg(F.min(p).alias("low"), F.max(p).alias("high"))
+    half = F.when(low == high, 0.5).otherwise(0.0)
+    ends = ends.select("actual", (low - half).alias("low"), (high + half).alias("high"))
+    width = (high - low) / F.lit(float(_BINS))
 
     def edge(i: Column) -> Column:
-        return F.when(i >= _BINS, F.col("high")).otherwise(low + i * width)
+        return F.when(i >= _BINS, high).otherwise(low + i * width)
 
-    guess = F.least(F.floor((p - low) / (F.col("high") - low) * _BINS).cast("int"), F.lit(_BINS - 1))
+    guess = F.least(F.floor((p - low) / (high - low) * _BINS).cast("int"), F.lit(_BINS - 1))
     bin_ = (
         F.when(p < edge(guess), guess - 1)
         .when((guess < _BINS - 1) & (p >= edge(guess + 1)), guess + 1)
         .otherwise(guess)
     )
     # `ends` has one row per class, two at most.
-    placed = scored.join(F.broadcast(ends), y == F.col("actual")).select("actual", bin_.alias("bin"))
+    placed = rows.join(F.broadcast(ends), "actual").select("actual", bin_.alias("bin"))
     counts = placed.groupBy("actual", "bin").agg(F.count("*").alias("n"))
     bins = ends.select(
         "actual", "low", "high", F.explode(F.sequence(F.lit(0), F.lit(_BINS - 1))).alias("bin")

@@ -166,7 +166,9 @@ def validate(df: DataFrame, table: str) -> DataFrame:
     report = df.sparkSession.createDataFrame(
         [(*issue, 0, 0.0) for issue in schema_issues(df, table)], REPORT
     )
-    for keys, severity in [(k, "error") for k in spec.hard_keys] + [(k, "warning") for k in spec.soft_keys]:
+    hard = [(keys, "error") for keys in spec.hard_keys]
+    soft = [(keys, "warning") for keys in spec.soft_keys]
+    for keys, severity in hard + soft:
         if set(keys) <= set(df.columns):
             report = report.unionByName(unique_violations(df, keys, severity))
     rules: list[Rule] = []

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,8 +80,8 @@ def usage_features(usage: DataFrame, lookback_days: int | None = None) -> DataFr
     first, last = F.col("WHEN_TIMESTAMP_min"), F.col("WHEN_TIMESTAMP_max")
     totals = _per_company(events, _stat_columns() + _window_columns()).withColumns(
         {
-            "total_actions": sum((F.col(f"{c}_sum") for c in ACTION_COLUMNS[1:]), F.col(f"{ACTION_COLUMNS[0]}_sum")),
-            "total_users": sum((F.col(f"{c}_sum") for c in USER_COLUMNS[1:]), F.col(f"{USER_COLUMNS[0]}_sum")),
+            "total_actions": reduce(add, [F.col(f"{c}_sum") for c in ACTION_COLUMNS]),
+            "total_users": reduce(add, [F.col(f"{c}_sum") for c in USER_COLUMNS]),
             "_days": days_between(first, last),
         }
     )

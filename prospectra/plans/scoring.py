@@ -86,16 +86,13 @@ def _contributions(model: PipelineModel) -> Column:
     names = F.array(*[F.lit(name) for name in input_columns(model)])
     weights = F.array(*[F.lit(float(w)) for w in classifier_of(model).coefficients.toArray()])
     parts = F.zip_with(vector_to_array("features"), weights, lambda value, weight: value * weight)
-    pairs = F.zip_with(
-        names, parts, lambda name, part: F.struct((-F.abs(part)).alias("rank"), name.alias("feature"), part.alias("contribution"))
-    )
-    return F.transform(
-        F.array_sort(pairs),
-        lambda pair: F.struct(
-            pair.getField("feature").alias("feature"),
-            pair.getField("contribution").alias("contribution"),
-        ),
-    )
+
+    def ranked(name: Column, part: Column) -> Column:
+        rank = (-F.abs(part)).alias("rank")
+        return F.struct(rank, name.alias("feature"), part.alias("contribution"))
+
+    largest_first = F.array_sort(F.zip_with(names, parts, ranked))
+    return F.transform(largest_first, lambda pair: pair.dropFields("rank"))
 
 
 def _scored(model: PipelineModel, rows: DataFrame) -> DataFrame:

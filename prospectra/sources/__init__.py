@@ -1,5 +1,11 @@
-from prospectra.sources.readers import read_csv_table, read_noncustomers, read_customers, read_usage, scan_order
 from prospectra.schemas import CUSTOMERS, NONCUSTOMERS, REQUESTS, TABLE_SPECS, USAGE, TableSpec
+from prospectra.sources.readers import (
+    read_csv_table,
+    read_customers,
+    read_noncustomers,
+    read_usage,
+    scan_order,
+)
 from prospectra.sources.scratch import materialize, new_scratch_path
 from prospectra.sources.writers import (
     append_metrics,

@@ -48,4 +48,6 @@ def score_stream(
         .option("checkpointLocation", checkpoint_path)
         .option("path", output_path)
     )
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+    if once:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=interval).start()
