@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def new_scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below `spark.checkpoint.dir`.
-
-    Only a local session without that setting falls back to a temporary folder; on a cluster such a
-    folder would exist on one machine only, so there the setting is required.
-    """
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of `spark.checkpoint.dir`, else one below the warehouse; every executor reaches both."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="prospectra-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+
+
+def new_scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the scratch root."""
+    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -27,3 +23,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path through Spark's file system; a missing one is no error."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)

@@ -1,12 +1,12 @@
-"""Every query against its SQL, and every other query for rows, on the smallest tables."""
+"""Every catalog query against its SQL, and every other query for rows, on the smallest tables."""
 
 import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as driver
+from catalog import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +16,8 @@ def con():
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
