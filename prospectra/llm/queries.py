@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prospectra.llm import bpe, sharding, simhash
+from prospectra.llm import bpe, decontaminate, quality, sharding, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,24 @@ SHARD_NAMES = [f"shard-{i:03d}" for i in range(64)]
 def op9_permutation_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.place(_table(spark, sf_dir, "documents"), "doc_id", SHARD_NAMES)
     return placed.select(F.col("key").alias("doc_id"), "slot", "shard", "shard_name")
+
+
+#: Score from which a document counts as good.
+QUALITY_THRESHOLD = 0.7
+
+
+@_query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select(
+        "row.doc_id",
+        quality.held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@_query
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
