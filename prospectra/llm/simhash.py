@@ -29,8 +29,8 @@ SAMPLE = 65_536
 SHARD = 8_192
 #: Fingerprints of a shard, copies included, beyond which it is cut into chunks.
 CHUNK = 65_536
-#: Fingerprints compared as one matrix.
-LEAF = 1_024
+#: Fingerprints compared with one another, in strips that stay in a core's cache.
+LEAF, STRIP = 1_024, 64
 _SEED = 42
 
 
@@ -100,18 +100,18 @@ class VantageTree:
 
 
 def _matrix_links(marks: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Each fingerprint of a small set with the first of its component, if that is another one."""
-    near = np.bitwise_count(marks[:, None] ^ marks[None, :]) <= bits
-    label = np.arange(len(marks))
-    if near.sum() == len(marks):
-        return []
-    while True:
-        least = np.where(near, label[None, :], len(marks)).min(axis=1)
-        if (least == label).all():
-            break
-        label = least
-    moved = np.flatnonzero(label != np.arange(len(marks)))
-    return [(moved, label[moved])]
+    """Links of a small set: each fingerprint with those behind it, a strip of rows at a time."""
+    links = []
+    for start in range(0, len(marks), STRIP):
+        strip = marks[start : start + STRIP, None] ^ marks[None, start:]
+        a, b = np.divmod(np.flatnonzero(np.bitwise_count(strip) <= bits), len(marks) - start)
+        links.append((a[a < b] + start, b[a < b] + start))
+    a, b = np.concatenate([a for a, _ in links]), np.concatenate([b for _, b in links])
+    if len(a) <= len(marks):
+        return [(a, b)]
+    root = _roots(len(marks), a, b)  # a dense set has more links than it needs
+    moved = np.flatnonzero(root != np.arange(len(marks)))
+    return [(moved, root[moved])]
 
 
 def _ball_links(marks: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:

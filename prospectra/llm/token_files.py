@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prospectra.llm.batches import slices, text_bytes
+from prospectra.llm.shared_files import file_system
 from prospectra.sources.scratch import materialize, new_scratch_path
 
 #: Ids of a sequence, and sequences of a batch.
@@ -76,21 +77,14 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder and its path there; a path without scheme is a shared local one."""
-    if uri.startswith("file:"):
-        uri = "/" + uri.removeprefix("file:").lstrip("/")
-    return pafs.FileSystem.from_uri(uri)
-
-
 class _Writer:
     """One shard: `<name>.arrow` with the sequences and `<name>.docs.arrow` with the starts of documents."""
 
-    def __init__(self, folder: str, name: str, dtype: str, sequence: int):
+    def __init__(self, folder: str, name: str, dtype: str, sequence: int, batch: int):
         self.fs, self.folder = file_system(folder)
         self.names = [f"{name}.arrow", f"{name}.docs.arrow"]
         self.drafts = [f"{self.folder}/_{uuid.uuid4().hex}-{part}" for part in self.names]
-        self.dtype, self.sequence, self.written = np.dtype(dtype), sequence, 0
+        self.dtype, self.sequence, self.batch, self.written = np.dtype(dtype), sequence, batch, 0
         value = pa.from_numpy_dtype(self.dtype)
         self.schema = pa.schema(
             [("input_ids", pa.list_(value, sequence)), ("mask", pa.list_(pa.uint8(), sequence // 8))]
@@ -110,15 +104,15 @@ class _Writer:
         self.files[1].write_batch(pa.record_batch(index, schema=self.index_schema))
         self.waiting += tokens
         self.n_waiting += int(sizes.sum())
-        if self.n_waiting >= self.sequence * BATCH:
+        if self.n_waiting >= self.sequence * self.batch:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
         stream = np.concatenate([np.empty(0, self.dtype), *(ids.astype(self.dtype) for ids in self.waiting)])
-        whole = -(-len(stream) // self.sequence) if last else len(stream) // (self.sequence * BATCH) * BATCH
+        whole = -(-len(stream) // self.sequence) if last else len(stream) // (self.sequence * self.batch) * self.batch
         used = min(len(stream), whole * self.sequence)
-        for start in range(0, whole, BATCH):
-            n = min(BATCH, whole - start)
+        for start in range(0, whole, self.batch):
+            n = min(self.batch, whole - start)
             ids = np.zeros(n * self.sequence, self.dtype)
             real = stream[start * self.sequence : (start + n) * self.sequence]
             ids[: len(real)] = real
@@ -153,6 +147,7 @@ class TokenShard:
 
         self.file, self.index = opened(f"{name}.arrow"), opened(f"{name}.docs.arrow")
         self.sequence = self.file.schema.field(0).type.list_size
+        self.batch = self.file.get_batch(0).num_rows  # of all batches but the last
 
     def _batch_values(self, batch: int, column: int) -> np.ndarray:
         array = self.file.get_batch(batch).column(column)
@@ -166,7 +161,7 @@ class TokenShard:
         return self._located(number, 1)
 
     def _located(self, number: int, column: int) -> np.ndarray:
-        return self._batch_values(number // BATCH, column)[number % BATCH]
+        return self._batch_values(number // self.batch, column)[number % self.batch]
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """`doc_id`, start in the shard's stream and ids of every document, in order; one batch at a time."""
@@ -197,6 +192,7 @@ def write_token_files(
     text_col: str = "text",
     sequence: int = SEQUENCE,
     dtype: str = "uint16",
+    batch: int = BATCH,
 ) -> DataFrame:
     """Writes the files and returns their list: `shard`, `folder`, `name`, `n_tokens`, `n_docs`, `base`.
 
@@ -221,7 +217,7 @@ def write_token_files(
         for piece in slices(batches):
             if writer is None:
                 file_system(folder)[0].create_dir(file_system(folder)[1])
-                writer = _Writer(folder, f"shard-{shard:06d}", dtype, sequence)
+                writer = _Writer(folder, f"shard-{shard:06d}", dtype, sequence, batch)
             tokens = [np.append(ids, end) for ids in encoder.encode(text_bytes(piece.column(1)))]
             if max(int(ids.max()) for ids in tokens) > limit:
                 raise ValueError(f"an id does not fit {dtype}")

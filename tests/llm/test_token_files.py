@@ -40,9 +40,8 @@ def test_as_the_tokenizer(spark, tmp_path):
         start += len(ids)
 
 
-def test_random_access_without_copies(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(token_files, "BATCH", 4)
-    files = write(spark, [(i, "w " * (i % 50), "x") for i in range(300)], tmp_path / "out", sequence=16)
+def test_random_access_without_copies(spark, tmp_path):
+    files = write(spark, [(i, "w " * (i % 50), "x") for i in range(300)], tmp_path / "out", sequence=16, batch=4)
     for file in files.collect():
         shard = token_files.TokenShard(file["folder"], file["name"])
         stream = np.concatenate([ids for _, _, ids in shard.documents()])
