@@ -39,7 +39,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """`doc_id`, `n_tokens`, `ids` and the text decoded from them."""
     ranks = bpe.read_ranks(BPE_RANKS)
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    finish = bpe.decoder(spark, ranks), bpe.DECODED
+    decoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, finish=finish)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -4,7 +4,8 @@
    frequency in it; a document becomes the numbers of its pre-tokens, in order. Blocks are closed at a size.
 2. The distinct words of all blocks are dealt by hash, so that all places of a word meet in one task, which
    encodes it once. A block sends the words of a hash bucket as one packed row, not as a row each.
-3. The ids go back to the blocks, where the pre-tokens of each document are replaced by position.
+3. The ids go back to the blocks as a dictionary file each, with which a task replaces the pre-tokens of the
+   block's documents by position. The documents are not shuffled.
 
 The blocks are a written table: numbering is done once, whatever is retried later.
 """
@@ -13,24 +14,27 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 import regex
 import tiktoken
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prospectra.llm.batches import slices, text_bytes
+from prospectra.llm.shared_files import file_system
 from prospectra.llm.varints import pack, ranges, unpack
-from prospectra.sources.scratch import materialize
+from prospectra.sources.scratch import materialize, new_scratch_path
 
 #: Bytes of text after which a block of documents is closed.
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 16 << 20
 #: Characters of a text beyond which its pre-tokens are taken in portions.
 LONG_TEXT = 4 << 20
 #: Words a task remembers while it encodes a bucket; beyond that it starts over.
@@ -140,9 +144,13 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    finish: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], str] | None = None,
 ) -> DataFrame:
     """`doc_id`, `ids` (array<int>) of every row, as the ranks' own library encodes ordinary text.
 
+    `finish` is a function of such batches and the schema of what it makes of them; it runs in the task that
+    has the ids, so that they need not travel to another worker.
+
     A null or empty text has no ids. Repeated ids and null ids stay rows of their own; other columns of `docs`
     are not read; an empty table gives no rows. A single text is never split between tasks.
     """
@@ -179,61 +187,88 @@ def encode(
                 ["block", "numbers", "sizes", "ids"],
             )
 
-    def replace(documents: pa.Table, dictionary: pa.Table) -> pa.Table:
-        parts = [
-            [unpack(value) for value in dictionary.column(name).to_pylist()] for name in ("numbers", "sizes", "ids")
-        ]
-        if parts[0]:
-            numbers = np.concatenate([np.cumsum(part) for part in parts[0]])
-            sizes, ids = np.concatenate(parts[1]), np.concatenate(parts[2]).astype(np.int32)
-        else:
-            numbers, sizes, ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
-        start, size = np.empty(len(numbers), np.int64), np.empty(len(numbers), np.int64)
-        start[numbers], size[numbers] = np.cumsum(sizes) - sizes, sizes
-        out, ends = [], []
-        for places in documents.column("places").to_pylist():
-            words = unpack(places)
-            out.append(ids[ranges(start[words], size[words])])
-            ends.append(len(out[-1]))
-        offsets = pa.array(np.concatenate([[0], np.cumsum(ends)]).astype(np.int32))
-        values = pa.array(np.concatenate([np.empty(0, np.int32), *out]))
-        return pa.table({"doc_id": documents.column("doc_id"), "ids": pa.ListArray.from_arrays(offsets, values)})
-
     words = blocks.where("words IS NOT NULL").select("block", "bucket", "numbers", "lengths", "words")
     dictionary = words.repartition(buckets, "bucket").mapInArrow(
         encode_words, "block bigint, numbers binary, sizes binary, ids binary"
     )
+    folder = new_scratch_path(spark, "bpe_dictionaries")
+    dictionary.repartition(buckets, "block").sortWithinPartitions("block").write.partitionBy("block").parquet(folder)
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, known = None, None
+        for piece in slices(batches, 64):
+            out = []
+            for block, places in zip(piece.column(0).to_pylist(), piece.column(2).to_pylist(), strict=True):
+                if block != current:
+                    current, known = block, _Dictionary(folder, block)
+                out.append(known.ids_of(unpack(places)))
+            offsets = pa.array(np.cumsum([0, *map(len, out)]).astype(np.int32))
+            ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out)))
+            yield last(pa.record_batch([piece.column(1), ids], ["doc_id", "ids"]))
+
+    last, schema = finish or (lambda batch: batch, "doc_id bigint, ids array<int>")
     places = blocks.where("places IS NOT NULL").select("block", "doc_id", "places")
-    return places.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(
-        replace, "doc_id bigint, ids array<int>"
-    )
+    return places.mapInArrow(replace, schema)
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """`doc_id`, `ids`, `bytes` (binary) of every row: its ids joined with the table of token bytes, in order.
+class _Dictionary:
+    """Ids of a block's words by number, read from the shared folder."""
+
+    def __init__(self, folder: str, block: int):
+        fs, path = file_system(f"{folder}/block={block}")
+        parts: list[list[np.ndarray]] = [[], [], []]
+        for info in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
+            if info.path.endswith(".parquet"):
+                table = pq.read_table(info.path, filesystem=fs, columns=["numbers", "sizes", "ids"], partitioning=None)
+                for i in range(3):
+                    parts[i] += [unpack(value) for value in table.column(i).to_pylist()]
+        empty = np.empty(0, np.int64)
+        numbers = np.concatenate([empty, *map(np.cumsum, parts[0])])
+        sizes = np.concatenate([empty, *parts[1]])
+        self.ids = np.concatenate([empty, *parts[2]]).astype(np.int32)
+        self.start, self.size = np.empty(len(numbers), np.int64), np.empty(len(numbers), np.int64)
+        self.start[numbers], self.size[numbers] = np.cumsum(sizes) - sizes, sizes
+
+    def ids_of(self, words: np.ndarray) -> np.ndarray:
+        return self.ids[ranges(self.start[words], self.size[words])]
+
+
+def decoder(spark: SparkSession, ranks: dict[bytes, int]) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """A function of batches of `doc_id` and `ids` that adds `bytes`, joining the ids with their tokens' bytes.
 
-    The table is broadcast: it has a row per token of the vocabulary. A null list counts as empty; an id
-    without token is an error.
+    The table of token bytes is broadcast: it has a row per token of the vocabulary.
     """
     size = max(ranks.values(), default=-1) + 1
     lengths = np.full(size, -1, np.int64)
     by_id = [b""] * size
     for token, rank in ranks.items():
         lengths[rank], by_id[rank] = len(token), token
-    shared = encoded.sparkSession.sparkContext.broadcast((lengths, b"".join(by_id)))
+    shared = spark.sparkContext.broadcast((lengths, b"".join(by_id)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         length, joined = shared.value
         flat, start = np.frombuffer(joined, np.uint8), np.cumsum(np.maximum(length, 0)) - np.maximum(length, 0)
-        for piece in slices(batches, 64):
-            texts = []
-            for ids in piece.column(1):
-                own = np.asarray(ids.values, np.int64) if ids.is_valid else np.empty(0, np.int64)
-                if len(own) and (own.min() < 0 or own.max() >= len(length) or (length[own] < 0).any()):
-                    raise ValueError("an id has no token")
-                texts.append(flat[ranges(start[own], length[own])].tobytes())
-            columns = [piece.column(0), piece.column(1), pa.array(texts, pa.binary())]
-            yield pa.record_batch(columns, ["doc_id", "ids", "bytes"])
+        texts = []
+        for ids in batch.column(1):
+            own = np.asarray(ids.values, np.int64) if ids.is_valid else np.empty(0, np.int64)
+            if len(own) and (own.min() < 0 or own.max() >= len(length) or (length[own] < 0).any()):
+                raise ValueError("an id has no token")
+            texts.append(flat[ranges(start[own], length[own])].tobytes())
+        columns = [batch.column(0), batch.column(1), pa.array(texts, pa.binary())]
+        return pa.record_batch(columns, ["doc_id", "ids", "bytes"])
+
+    return run
+
+
+#: What `decoder` makes of its batches.
+DECODED = "doc_id bigint, ids array<int>, bytes binary"
 
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """`doc_id`, `ids`, `bytes` (binary) of every row: the bytes of its tokens, in order.
+
+    A null list counts as empty; an id without token is an error.
+    """
+    run = decoder(encoded.sparkSession, ranks)
     chosen = encoded.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).alias("ids"))
-    return chosen.mapInArrow(run, "doc_id bigint, ids array<int>, bytes binary")
+    return chosen.mapInArrow(lambda batches: map(run, slices(batches, 64)), DECODED)

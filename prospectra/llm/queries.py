@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -89,24 +88,24 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-def _bpe_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bpe_digests(batch: pa.RecordBatch) -> pa.RecordBatch:
     """`doc_id`, `n_tokens`, and the digests of the ids as little-endian 32-bit numbers and of the bytes."""
-    for batch in batches:
-        ids = [np.asarray(row.values, "<u4").tobytes() for row in batch.column(1)]
-        decoded = [hashlib.sha256(row).hexdigest() for row in batch.column(2).to_pylist()]
-        counts = pa.array([len(row) // 4 for row in ids], pa.int64())
-        digests = pa.array([hashlib.sha256(row).hexdigest() for row in ids], pa.string())
-        columns = [batch.column(0), counts, digests, pa.array(decoded, pa.string())]
-        yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    ids = [np.asarray(row.values, "<u4").tobytes() for row in batch.column(1)]
+    decoded = [hashlib.sha256(row).hexdigest() for row in batch.column(2).to_pylist()]
+    counts = pa.array([len(row) // 4 for row in ids], pa.int64())
+    digests = pa.array([hashlib.sha256(row).hexdigest() for row in ids], pa.string())
+    columns = [batch.column(0), counts, digests, pa.array(decoded, pa.string())]
+    return pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 @_query
 def op7_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(BPE_RANKS)
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).mapInArrow(
-        _bpe_digests, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    decode = bpe.decoder(spark, ranks)
+    digest = lambda batch: _bpe_digests(decode(batch)), (
+        "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )
+    return bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, finish=digest)
 
 
 SHARD_NAMES = [f"shard-{i:03d}" for i in range(64)]
