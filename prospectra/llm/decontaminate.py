@@ -58,11 +58,10 @@ class _Codes(dict):
         return code
 
 
-def template(words: list[str]) -> tuple[list[str], list[str]]:
-    """Template words and the values that stand in their places."""
-    shapes, values = [], []
-    before = ""
+def template(words: list[str], shapes: list[str], values: list[str]) -> None:
+    """Appends the template words of a text's next words, and the values that stand in their places."""
     for word in words:
+        before = shapes[-1] if shapes else ""
         if word[0].isdigit():
             shape = NUMBER
         elif before == NUMBER and word.lower() in UNITS:
@@ -76,25 +75,17 @@ def template(words: list[str]) -> tuple[list[str], list[str]]:
             shape = word.lower()
         shapes.append(shape)
         values.append(word)
-        before = shape
-    return shapes, values
 
 
 def _portions(text: str, window: int) -> Iterator[tuple[int, list[str], list[str], bool]]:
     """Place of the first word, template words and values; portions overlap by a window less one word."""
-    matches, at, words = _WORD.finditer(text), 0, []
+    matches, at = _WORD.finditer(text), 0
     shapes: list[str] = []
     values: list[str] = []
     while True:
         words = [match.group() for match in islice(matches, PORTION)]
         last = len(words) < PORTION
-        new_shapes, new_values = template(words)
-        if shapes and new_shapes and shapes[-1] == NAME == new_shapes[0]:
-            values[-1] += " " + new_values[0]
-            new_shapes, new_values = new_shapes[1:], new_values[1:]
-        elif shapes and new_shapes and shapes[-1] == NUMBER and new_values[0].lower() in UNITS:
-            new_shapes[0] = UNIT
-        shapes, values = shapes + new_shapes, values + new_values
+        template(words, shapes, values)
         yield at, shapes, values, last
         if last:
             return
