@@ -128,9 +128,9 @@ def predict_query(spark, d):
     return rounded(predict(_rate_model(spark, d), rows), 4)
 
 
-@query("predict_batch", _predicted_sql("split = 'test'", "id, INDUSTRY"))
+@query("predict_batch", _predicted_sql(columns="id, INDUSTRY"))
 def predict_batch_query(spark, d):
-    rows = _industry_rows(spark, d).where("split = 'test'").select("id", "INDUSTRY")
+    rows = _industry_rows(spark, d).select("id", "INDUSTRY")
     return rounded(predict_batch(_rate_model(spark, d), rows), 4)
 
 

@@ -244,17 +244,18 @@ def profile_shape_query(spark, d):
     return profile_shape(role(spark, d, "customers"))
 
 
-_REPEATED = ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"]
+_LINEITEM = """l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax
+    l_returnflag l_linestatus l_shipdate""".split()
 
 
 @query(
     "profile_duplicate_rows",
     "SELECT CAST(sum(n - 1) AS BIGINT) AS n_duplicate_rows, "
     "round(sum(n - 1) * CAST(100 AS DOUBLE) / sum(n), 6) AS pct_duplicate_rows "
-    f"FROM (SELECT count(*) AS n FROM lineitem GROUP BY {', '.join(_REPEATED)})",
+    f"FROM (SELECT count(*) AS n FROM lineitem GROUP BY {', '.join(_LINEITEM)})",
 )
 def profile_duplicate_rows_query(spark, d):
-    rows = table(spark, d, "lineitem").select(*_REPEATED)
+    rows = table(spark, d, "lineitem").select(*_LINEITEM)
     return rounded(profile_duplicate_rows(rows))
 
 
@@ -276,7 +277,7 @@ def profile_missing_query(spark, d):
     return rounded(profile_missing(companies(spark, d)))
 
 
-_NUMERIC = ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount"]
+_NUMERIC = _LINEITEM[:8]
 
 
 @query(

@@ -165,7 +165,7 @@ class ConversionClassifier(_Stage, Estimator):
                 aggregationDepth=self._value("aggregationDepth"),
             )
         if kind == "random_forest":
-            depth = _MAX_DEPTH if given["max_depth"] is None else min(given["max_depth"], _MAX_DEPTH)
+            depth = _MAX_DEPTH if given["max_depth"] is None else _allowed(given["max_depth"])
             # A split that leaves half of min_samples_split on each side had that many rows.
             leaf = max(given["min_samples_leaf"], math.ceil(given["min_samples_split"] / 2))
             return RandomForestClassifier(
@@ -184,13 +184,20 @@ class ConversionClassifier(_Stage, Estimator):
         return GBTClassifier(
             maxIter=given["n_estimators"],
             stepSize=given["learning_rate"],
-            maxDepth=min(depth, _MAX_DEPTH),
+            maxDepth=_allowed(depth),
             subsamplingRate=given["subsample"],
             maxBins=given["max_bins"],
             seed=given["random_state"],
         )
 
 
+def _allowed(depth: int) -> int:
+    """A tree depth that Spark can build; a deeper one is refused, not cut."""
+    if depth > _MAX_DEPTH:
+        raise ValueError(f"max_depth {depth}: Spark builds trees down to depth {_MAX_DEPTH}")
+    return depth
+
+
 def _feature_subset(max_features) -> str:
     return "all" if max_features is None else str(max_features)
 

@@ -35,8 +35,6 @@ from prospectra.sources.scratch import materialize
 OTHER = "Other"
 # One-hot encoding makes a column per category; beyond this many no Spark plan stays practical.
 MAX_ONEHOT_COLUMNS = 2_000
-# Category tables up to this many rows are broadcast, larger ones are joined by shuffle.
-MAX_BROADCAST_CATEGORIES = 100_000
 
 
 def _string(owner: str, name: str, doc: str) -> Param:
@@ -299,15 +297,13 @@ class EncodeCategoricalModel(_Stage, Model):
         self._take(inputCols=inputCols, categoryCount=categoryCount)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        small = self._value("categoryCount") <= MAX_BROADCAST_CATEGORIES
         for name in self._value("inputCols"):
             if name not in dataset.columns:
                 continue
             indexes = self.table.where(F.col("column") == name).select(
                 F.col("value").alias("_value"), F.col("index").alias("_index")
             )
-            hinted = F.broadcast(indexes) if small else indexes
-            joined = dataset.join(hinted, named(name) == F.col("_value"), "left")
+            joined = dataset.join(indexes, named(name) == F.col("_value"), "left")
             encoded = F.coalesce(F.col("_index"), F.lit(-1).cast("bigint")).alias(name)
             dataset = joined.select(*[encoded if c == name else named(c) for c in dataset.columns])
         return dataset

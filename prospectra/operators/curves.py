@@ -9,14 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prospectra.functions import named
+from prospectra.functions import named, nan_to_null
 from prospectra.operators.metrics import LABEL, SCORE
 from prospectra.operators.prefix import running_totals
 
 
 def score_steps(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
-    """Per distinct score, from the highest down: pos, neg and the totals at or above it (tp, fp)."""
-    counts = scored.where(named(score).isNotNull()).groupBy(named(score).alias("score")).agg(
+    """Per distinct score, from the highest down: pos, neg and the totals at or above it (tp, fp).
+
+    Rows whose score is NULL or NaN have no place in the order and are left out.
+    """
+    counts = scored.where(nan_to_null(named(score)).isNotNull()).groupBy(named(score).alias("score")).agg(
         F.count_if(named(label) == 1).alias("pos"), F.count_if(named(label) == 0).alias("neg")
     )
     steps = running_totals(counts, ["score"], ["pos", "neg"], descending=True)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from prospectra.functions import named, safe_ratio
+from prospectra.functions import named, nan_to_null, safe_ratio
 
 LABEL, PREDICTION, SCORE = "y_true", "y_pred", "y_proba"
 
@@ -20,8 +20,8 @@ _BINS = 50
 
 
 def threshold_predictions(scored: DataFrame, threshold: float = 0.5, score: str = SCORE) -> DataFrame:
-    """Add the 0/1 prediction: score at or above the threshold."""
-    return scored.withColumn(PREDICTION, (named(score) >= threshold).cast("int"))
+    """Add the 0/1 prediction: score at or above the threshold; NULL where the score is NULL or NaN."""
+    return scored.withColumn(PREDICTION, (nan_to_null(named(score)) >= threshold).cast("int"))
 
 
 def confusion_counts(df: DataFrame, label: str = LABEL, prediction: str = PREDICTION) -> DataFrame:

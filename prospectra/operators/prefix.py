@@ -1,27 +1,28 @@
 """Running totals over a global order, without a global window.
 
 A window without partitions would run in one task. Here the rows are range-partitioned by the order
-key, a window sums inside each range, and the totals of the ranges before it are added. The rows with
-their range are written to scratch in between: the table is read once however often the result is
-used, and a lost executor cannot move the borders of the ranges.
+key, each range is summed where it lies, batch by batch, and the totals of the ranges before it are
+added. So rows are shuffled and sorted once. The rows with their range are written to scratch in
+between: the table is read once however often the result is used, and a lost executor cannot move the
+borders of the ranges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
 from prospectra.functions import named
 from prospectra.sources.scratch import materialize
 
-# Also the bound of the broadcast table of range totals, together with the number of groups.
-_MAX_RANGES = 10_000
-
 
 def running_totals(
     df: DataFrame,
@@ -42,24 +43,26 @@ def running_totals(
     order += [named(c).desc() if descending else named(c).asc() for c in order_columns]
     ranged = (
         df.withColumns({c: named(c).cast("bigint") for c in sum_columns})
-        .repartitionByRange(min(partitions, _MAX_RANGES), *order)
-        # The window sorts by range first, where Spark's fast sort by key prefix cannot help; it is
-        # quick all the same on rows that arrive in order.
+        .repartitionByRange(partitions, *order)
         .sortWithinPartitions(*order)
         .withColumn("_range", F.spark_partition_id())
     )
-    inside = (
-        Window.partitionBy("_range")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    within = materialize(
-        ranged.withColumns({f"cum_{c}": F.sum(named(c)).over(inside) for c in sum_columns}),
-        "running-totals",
-    )
+    summed = [T.StructField(f"cum_{c}", T.LongType()) for c in sum_columns]
+    schema = T.StructType([*ranged.schema.fields, *summed])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = [pa.scalar(0, pa.int64())] * len(sum_columns)
+        for batch in batches:
+            if batch.num_rows:
+                columns = [pc.fill_null(batch.column(c), 0) for c in sum_columns]
+                sums = [pc.cumulative_sum(c, start=b) for c, b in zip(columns, before, strict=True)]
+                before = [s[-1] for s in sums]
+                yield pa.record_batch([*batch.columns, *sums], schema.names)
+
+    within = materialize(ranged.mapInArrow(add_up, schema), "running-totals")
 
-    # One row per range and group: at most _MAX_RANGES + the number of groups. A range sums over all
-    # its groups, so what the groups before add to it comes off again.
+    # One row per range and group in a range. A range sums over all its groups, so what the groups
+    # before add to it comes off again.
     totals = within.groupBy("_range", *groups).agg(
         *[F.sum(named(c)).alias(f"_total_{c}") for c in sum_columns]
     )
@@ -72,7 +75,7 @@ def running_totals(
     shifts = totals.select(
         "_range", *groups, *[shift.alias(f"_shift_{c}") for c, shift in offsets.items()]
     )
-    placed = within.join(F.broadcast(shifts), ["_range", *groups])
+    placed = within.join(shifts, ["_range", *groups])
     return placed.select(
         *[named(c) for c in df.columns],
         *[(F.col(f"cum_{c}") + F.col(f"_shift_{c}")).alias(f"cum_{c}") for c in sum_columns],

@@ -13,8 +13,8 @@ _PREFIX = 4  # hex digits of the hash that index the histogram: at most 65,536 c
 
 
 def split_hash(key: Column, seed: int) -> Column:
-    """32 hex digits, evenly spread; the same key and seed give the same digits everywhere."""
-    return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    """32 hex digits, evenly spread; the same key (NULL is one) and seed give the same digits everywhere."""
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("\0null")), F.lit(f":{seed}")))
 
 
 def _cut(share: float) -> str:
@@ -31,6 +31,8 @@ def split_by_hash(
     `split_stratified` for exact quotas.
     """
     test = F.substring(split_hash(named(key), seed), 1, 8) < _cut(test_share)
+    if test_share >= 1:
+        test = F.lit(True)
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 

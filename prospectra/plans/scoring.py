@@ -35,7 +35,7 @@ def predict_with_ids(
 ) -> DataFrame:
     """Id, prediction and, unless declined, probability and confidence."""
     if id_column not in rows.columns:
-        raise ValueError(f"ID column '{id_column}' not found in data")
+        raise ValueError(f"the rows have no column '{id_column}' to identify them by")
     return _scored(model, rows).select(named(id_column), *_prediction_columns(return_proba))
 
 

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 import prospectra.operators.quantiles as quantiles
-from prospectra.operators.curves import area_metrics, pr_curve, roc_curve
+from prospectra.operators.curves import area_metrics, pr_curve, roc_auc, roc_curve
 from prospectra.operators.metrics import (
     business_metrics,
     classification_metrics,
@@ -261,3 +261,27 @@ def test_hash_split_and_folds(spark):
     assert share == pytest.approx(0.2, abs=0.03)
     folds = {r["fold"]: r["count"] for r in with_folds(table).groupBy("fold").count().collect()}
     assert sorted(folds) == [0, 1, 2, 3, 4] and min(folds.values()) > 850
+
+
+def test_running_totals_shuffle_once(spark, tmp_path):
+    rows = [(i % 3, i, 1, None if i % 5 == 0 else 2) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, x int, one int, two int").repartition(7)
+    out = running_totals(df, ["x"], ["one", "two"], ["g"]).collect()
+    totals = {}
+    for g, x, one, two in sorted(rows):
+        a, b = totals.get(g, (0, 0))
+        totals[g] = (a + one, b + (two or 0))
+        assert [(r.cum_one, r.cum_two) for r in out if r.g == g and r.x == x] == [totals[g]]
+
+
+def test_scores_without_a_place(spark):
+    rows = [(1, 0.9), (0, 0.1), (0, float("nan")), (1, None), (0, 0.95)]
+    scored = spark.createDataFrame(rows, "target int, probability double")
+    assert roc_auc(scored, "target", "probability").first()[0] == 0.5
+
+
+def test_null_keys_have_their_place_in_a_split(spark):
+    rows = spark.createDataFrame([(None if i % 4 == 0 else i, i % 2) for i in range(400)], "id int, target int")
+    out = split_by_hash(rows, 1.0)
+    assert out.where("split = 'test'").count() == 400
+    assert split_by_hash(rows, 0.5).where("id IS NULL").select("split").distinct().count() == 1

@@ -118,10 +118,8 @@ def test_impute_text_without_any_value(spark):
     assert column(ImputeMissing("auto", excludeCols=["id"]).fit(df).transform(df), "s") == ["Unknown"]
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_encode_categorical(spark, monkeypatch, tmp_path, limit):
-    """With a broadcast table and with a joined one, before and after saving."""
-    monkeypatch.setattr(stages, "MAX_BROADCAST_CATEGORIES", limit)
+def test_encode_categorical(spark, tmp_path):
+    """Before and after saving."""
     schema = "id bigint, a string, b string"
     train = spark.createDataFrame([(1, "y", "k"), (2, "x", "k"), (3, None, "l"), (4, "x", "m")], schema)
     model = EncodeCategorical(excludeCols=["id"]).fit(train)
