@@ -72,7 +72,7 @@ def test_logistic_matches_newton(spark, c, balanced):
     assert model.intercept == pytest.approx(expected[3], abs=1e-4)
 
 
-def test_model_factory_translates_settings():
+def test_model_factory_translates_settings(spark):
     with pytest.raises(ValueError, match="Available: logistic_regression, random_forest, xgboost, lightgbm"):
         create_model("svm")
     with pytest.raises(ValueError, match="Unknown hyperparameters of xgboost: depth"):
@@ -81,6 +81,9 @@ def test_model_factory_translates_settings():
     spark_forest = forest._classifier(forest.settings(), 1.0)
     assert (spark_forest.getMaxDepth(), spark_forest.getMinInstancesPerNode()) == (30, 3)
     assert spark_forest.getNumTrees() == 100
+    deep = create_model("random_forest", {"max_depth": 45})
+    with pytest.raises(ValueError, match="down to depth 30"):
+        deep._classifier(deep.settings(), 1.0)
     boosted = create_model("lightgbm", {"num_leaves": 31})
     assert boosted._classifier(boosted.settings(), 1.0).getMaxDepth() == 5
     logistic = create_model("logistic_regression", {"C": 2.0, "penalty": "l1", "solver": "saga"})
