@@ -173,9 +173,11 @@ def score_stream_query(spark, d):
 
 
 _CV_SQL = f"""{_RATES},
-    cells AS (SELECT CAST(CAST('0x' || substr(hash, 25, 8) AS BIGINT) % 5 AS INT) AS fold, grp,
+    placed AS (SELECT grp, y, row_number() OVER (PARTITION BY y ORDER BY hash) AS place,
+        count(*) OVER (PARTITION BY y) AS n FROM labelled WHERE split = 'train'),
+    cells AS (SELECT {" + ".join(f"CAST(place > (2 * n * {i} + 5) // 10 AS INT)" for i in range(1, 5))} AS fold, grp,
         CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg
-        FROM labelled WHERE split = 'train' GROUP BY ALL),
+        FROM placed GROUP BY ALL),
     outside AS (SELECT *, sum(pos) OVER (PARTITION BY grp) - pos AS out_pos,
         sum(neg) OVER (PARTITION BY grp) - neg AS out_neg FROM cells),
     ordered AS (SELECT *, sum(pos) OVER (PARTITION BY fold ORDER BY out_pos / (out_pos + out_neg) DESC) AS tp

@@ -26,12 +26,12 @@ def cross_validate(
     key: str = "id",
     parallelism: int = 4,
 ) -> DataFrame:
-    """ROC-AUC per fold, with mean and population deviation over the folds.
+    """ROC-AUC per stratified fold, with mean and population deviation over the folds.
 
     `rows` hold prepared features; they are read once per fold and side, so cache them. The folds
     are independent jobs and run `parallelism` at a time.
     """
-    folded = with_folds(rows, folds, seed, key)
+    folded = with_folds(rows, folds, seed, key, label)
 
     def score(fold: int) -> float | None:
         model = classifier.fit(folded.where(F.col("fold") != fold))

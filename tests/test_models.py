@@ -120,7 +120,7 @@ def test_predictions(spark, result):
     short = predict_with_ids(result.model, rows, return_proba=False)
     assert short.columns == ["id", "prediction"] and short.count() == 400
     assert predict_batch(result.model, rows).exceptAll(predict(result.model, rows)).count() == 0
-    with pytest.raises(ValueError, match="ID column 'ID' not found"):
+    with pytest.raises(ValueError, match="no column 'ID'"):
         predict_with_ids(result.model, rows, "ID")
     best = max(scored, key=lambda r: (r["probability"], -r["id"]))
     assert score_prospects(result.model, rows, 5).first()["id"] == best["id"]

@@ -285,3 +285,24 @@ def test_null_keys_have_their_place_in_a_split(spark):
     out = split_by_hash(rows, 1.0)
     assert out.where("split = 'test'").count() == 400
     assert split_by_hash(rows, 0.5).where("id IS NULL").select("split").distinct().count() == 1
+
+
+def test_quota_of_null_and_repeated_keys(spark):
+    rows = [(None if i < 30 else i % 3, i, 1 if i < 90 else 0) for i in range(100)]
+    table = spark.createDataFrame(rows, "id int, line int, is_customer int")
+    exact = split_stratified(table, 0.2, key=["id", "line"])
+    assert exact.where("split = 'test'").groupBy("is_customer").count().orderBy("is_customer").collect() == [(0, 2), (1, 18)]
+    together = split_stratified(table, 0.2)
+    sides = together.groupBy("is_customer", "id").agg(F.count_distinct("split").alias("n"))
+    assert sides.where("n > 1").isEmpty()
+    assert together.where("split = 'test' AND is_customer = 1").count() >= 18
+    assert split_stratified(table, 1.0).where("split = 'test'").count() == 100
+
+
+def test_folds_hold_even_parts_of_each_class(spark):
+    rows = [(i, 1 if i % 25 == 0 else (None if i == 7 else 0)) for i in range(203)]
+    folded = with_folds(spark.createDataFrame(rows, "id int, y int"), 5, label="y")
+    counts = {(r["y"], r["fold"]): r["count"] for r in folded.groupBy("y", "fold").count().collect()}
+    for y, size in ((1, 9), (0, 193)):
+        assert sorted(counts[y, fold] for fold in range(5)) == sorted(size // 5 + (i < size % 5) for i in range(5))
+    assert sum(counts.values()) == 203
