@@ -306,17 +306,17 @@ _REQUEST_RULES_SQL = {
 VALID_REQUEST_SQL = " AND ".join(f"COALESCE({r}, FALSE)" for r in _REQUEST_RULES_SQL.values())
 
 
+FAILED_RULES_SQL = "concat_ws(',', {})".format(
+    ", ".join(
+        f"CASE WHEN NOT COALESCE({rule}, FALSE) THEN '{name}' END"
+        for name, rule in _REQUEST_RULES_SQL.items()
+    )
+)
+
+
 @query(
     "request_validate",
-    sql(
-        "SELECT id, concat_ws(',', "
-        + ", ".join(
-            f"CASE WHEN NOT COALESCE({rule}, FALSE) THEN '{name}' END"
-            for name, rule in _REQUEST_RULES_SQL.items()
-        )
-        + f") AS failed, {VALID_REQUEST_SQL} AS valid FROM requests",
-        "requests",
-    ),
+    sql(f"SELECT id, {FAILED_RULES_SQL} AS failed, {VALID_REQUEST_SQL} AS valid FROM requests", "requests"),
 )
 def request_validate(spark, d):
     checked = check_requests(role(spark, d, "requests"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.data_queries import companies, prepared
@@ -28,10 +29,15 @@ SPLIT_SQL = f"CASE WHEN substr({HASH_SQL}, 1, 8) < '33333333' THEN 'test' ELSE '
 )
 def onehot_frequent(spark, d):
     rows = companies(spark, d).select("id", "INDUSTRY")
-    model = OneHotFrequent(minFrequency=300).fit(rows)
-    names = model.output_columns().values()
-    hot = F.concat_ws(",", *[F.when(F.col(f"`{n}`") == 1, F.lit(n)) for n in names])
-    return model.transform(rows).select("id", hot.alias("hot"))
+    model = OneHotFrequent(minFrequency=300, output="vector").fit(rows)
+    slots = F.transform(
+        vector_to_array(model.output_column()), lambda value, i: F.when(value == 1, _slot_names(model)[i])
+    )
+    return model.transform(rows).select("id", F.array_join(slots, ",").alias("hot"))
+
+
+def _slot_names(model):
+    return F.array(*[F.lit(name) for name in model.slot_names()])
 
 
 # Imputation -------------------------------------------------------------------------------------
@@ -220,8 +226,12 @@ _FEATURE_STAGES_EXTRA = (
 def feature_stages_query(spark, d):
     rows = materialize(split_inputs(spark, d), "inputs")  # every stage reads it
     train = rows.where("split = 'train'")
-    staged = Pipeline(stages=feature_stages(train)).fit(train).transform(rows)
-    return rounded(staged.drop("features", "is_customer"))
+    fitted = Pipeline(stages=feature_stages(train)).fit(train)
+    onehot = fitted.stages[1]
+    slots = vector_to_array(onehot.output_column())
+    hot = [slots[i].cast("int").alias(name) for i, name in enumerate(onehot.slot_names())]
+    staged = fitted.transform(rows).select("*", *hot)
+    return rounded(staged.drop("features", "is_customer", onehot.output_column()))
 
 
 # Splits -----------------------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from catalog.data_queries import (
     AREAS_SQL,
+    FAILED_RULES_SQL,
     RUN_COLUMNS,
     RUNS_SQL,
     VALID_REQUEST_SQL,
@@ -41,6 +42,7 @@ from prospectra.operators.metrics import (
 from prospectra.operators.runs import best_run, run_comparison
 from prospectra.operators.split import split_by_hash
 from prospectra.plans.scoring import (
+    answer_requests,
     explain_rows,
     predict,
     predict_batch,
@@ -146,30 +148,40 @@ def model_persist(spark, d):
     return rounded(predict_with_ids(PipelineModel.load(path), _industry_rows(spark, d)), 4)
 
 
-_RESPONSES = sql(
+_RESPONSES = (
     "SELECT r.id AS company_id, round(p, 4) AS conversion_probability, "
     "CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction, "
     "CASE WHEN p < 0.3 OR p > 0.7 THEN 'high' WHEN p < 0.4 OR p > 0.6 THEN 'medium' ELSE 'low' END "
-    f"AS confidence FROM requests r JOIN rates ON grp = r.INDUSTRY WHERE {VALID_REQUEST_SQL}",
-    "companies",
-    "requests",
-    extra=_RATES,
+    "AS confidence{} "
+    f"FROM requests r JOIN rates ON grp = r.INDUSTRY WHERE {VALID_REQUEST_SQL}"
 )
 
 
-@query("score_requests", _RESPONSES)
+@query("score_requests", sql(_RESPONSES.format(""), "companies", "requests", extra=_RATES))
 def score_requests_query(spark, d):
     return score_requests(_rate_model(spark, d), role(spark, d, "requests"))
 
 
-@query("score_stream", _RESPONSES)
+@query(
+    "score_stream",
+    sql(
+        _RESPONSES.format(", 'answered' AS status, '' AS failed")
+        + f" UNION ALL SELECT id, NULL, NULL, NULL, 'refused', {FAILED_RULES_SQL} FROM requests "
+        f"WHERE NOT ({VALID_REQUEST_SQL})",
+        "companies",
+        "requests",
+        extra=_RATES,
+    ),
+)
 def score_stream_query(spark, d):
     orders = spark.read.parquet(f"{d}/orders.parquet").schema
     arriving = read_request_stream(spark, d, orders, file_pattern="orders.parquet")
     output, progress = new_scratch_path(spark, "responses"), new_scratch_path(spark, "progress")
     model, requests = _rate_model(spark, d), role(spark, d, "requests", arriving)
     score_stream(model, requests, output, progress, once=True).awaitTermination()
-    return spark.read.schema(score_requests(model, role(spark, d, "requests")).schema).parquet(output)
+    schema = answer_requests(model, role(spark, d, "requests")).schema
+    answers = spark.read.schema(schema).parquet(output)
+    return answers.withColumn("failed", F.array_join("failed_rules", ",")).drop("failed_rules")
 
 
 _CV_SQL = f"""{_RATES},
@@ -272,7 +284,7 @@ _SATURATED = {
         "class_weight": "balanced",
     },
     "xgboost": {"n_estimators": 3, "learning_rate": 0.3, "max_depth": 12, "scale_pos_weight": 1.5},
-    "lightgbm": {"n_estimators": 3, "learning_rate": 0.1, "num_leaves": 4096, "is_unbalance": True},
+    "lightgbm": {"n_estimators": 3, "learning_rate": 0.1, "num_leaves": 4096, "is_unbalance": True, "min_child_samples": 1},
 }
 
 
@@ -392,9 +404,9 @@ def train_logistic_l2(spark, d):
 # A model from outside Spark ------------------------------------------------------------------
 
 
-def _outside_score(matrix):
+def _outside_score(matrix, intercept):
     """A fixed logistic score of rank and label rank."""
-    return 1.0 / (1.0 + np.exp(0.5 - matrix[:, 0] / 1e6 - 0.1 * matrix[:, 1]))
+    return 1.0 / (1.0 + np.exp(-intercept - matrix[:, 0] / 1e6 - 0.1 * matrix[:, 1]))
 
 
 @query(
@@ -411,8 +423,9 @@ def custom_model(spark, d):
     rank = F.coalesce("ALEXA_RANK", F.lit(0)).cast("double").alias("ALEXA_RANK")
     rows = companies(spark, d).select("id", rank, "EMPLOYEE_RANGE")
     stages = Pipeline(stages=[RangeOrdinal(), AssembleFeatures(["id"])]).fit(rows).stages
-    model = PipelineModel(stages=[*stages, FunctionModel(_outside_score)])
-    return rounded(predict_with_ids(model, rows))
+    path = new_scratch_path(spark, "custom-model")
+    PipelineModel(stages=[*stages, FunctionModel(_outside_score, intercept=-0.5)]).write().save(path)
+    return rounded(predict_with_ids(PipelineModel.load(path), rows))
 
 
 # Evaluation -------------------------------------------------------------------------------------

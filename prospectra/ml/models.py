@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prospectra.functions import named
-from prospectra.ml.stages import _Stage, _string
+from prospectra.ml.stages import OneHotVectorModel, _Stage, _string
 from prospectra.operators.cleaning import LABEL
 
 _WEIGHT = "_weight"
@@ -43,6 +43,8 @@ _DEFAULTS = {
         "min_samples_split": 2,
         "min_samples_leaf": 1,
         "max_features": "sqrt",
+        "max_samples": None,
+        "min_impurity_decrease": 0.0,
         "criterion": "gini",
         "bootstrap": True,
         "max_bins": 64,
@@ -54,6 +56,8 @@ _DEFAULTS = {
         "learning_rate": 0.3,
         "max_depth": 6,
         "subsample": 1.0,
+        "colsample_bytree": 1.0,
+        "gamma": 0.0,
         "scale_pos_weight": 1.0,
         "max_bins": 64,
         "random_state": 42,
@@ -64,6 +68,9 @@ _DEFAULTS = {
         "num_leaves": 31,
         "max_depth": -1,
         "subsample": 1.0,
+        "colsample_bytree": 1.0,
+        "min_child_samples": 20,
+        "min_split_gain": 0.0,
         "scale_pos_weight": 1.0,
         "is_unbalance": False,
         "class_weight": None,
@@ -172,6 +179,8 @@ class ConversionClassifier(_Stage, Estimator):
                 numTrees=given["n_estimators"],
                 maxDepth=depth,
                 minInstancesPerNode=leaf,
+                minInfoGain=given["min_impurity_decrease"],
+                subsamplingRate=1.0 if given["max_samples"] is None else given["max_samples"],
                 featureSubsetStrategy=_feature_subset(given["max_features"]),
                 impurity=given["criterion"],
                 bootstrap=given["bootstrap"],
@@ -186,6 +195,10 @@ class ConversionClassifier(_Stage, Estimator):
             stepSize=given["learning_rate"],
             maxDepth=_allowed(depth),
             subsamplingRate=given["subsample"],
+            # Spark draws the columns anew for each node, not for each tree.
+            featureSubsetStrategy=_feature_subset(_share(given["colsample_bytree"])),
+            minInstancesPerNode=given.get("min_child_samples", 1),
+            minInfoGain=given["gamma"] if kind == "xgboost" else given["min_split_gain"],
             maxBins=given["max_bins"],
             seed=given["random_state"],
         )
@@ -198,6 +211,13 @@ def _allowed(depth: int) -> int:
     return depth
 
 
+def _share(columns: float) -> float | None:
+    """A share of the columns in Spark's terms, where all of them are no share."""
+    if not 0.0 < columns <= 1.0:
+        raise ValueError(f"colsample_bytree {columns}: must be above 0 and at most 1")
+    return None if columns == 1.0 else float(columns)
+
+
 def _feature_subset(max_features) -> str:
     return "all" if max_features is None else str(max_features)
 
@@ -223,10 +243,11 @@ def _weight_column(label: Column, weights: tuple[float, float]) -> Column:
 
 
 def input_columns(fitted: Model) -> list[str]:
-    """Names of the model inputs, from the assembler of a fitted `PipelineModel`."""
+    """Names of the model inputs, from the assembler of a fitted `PipelineModel`; one per vector slot."""
+    slots = {s.output_column(): s.slot_names() for s in fitted.stages if isinstance(s, OneHotVectorModel)}
     for stage in fitted.stages:
         if isinstance(stage, VectorAssembler):
-            return stage.getInputCols()
+            return [name for column in stage.getInputCols() for name in slots.get(column, [column])]
     raise ValueError("no VectorAssembler among the stages")
 
 

@@ -12,7 +12,7 @@ import os
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model, Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -33,8 +33,6 @@ from prospectra.operators.quantiles import column_modes, column_quantiles, value
 from prospectra.sources.scratch import materialize
 
 OTHER = "Other"
-# One-hot encoding makes a column per category; beyond this many no Spark plan stays practical.
-MAX_ONEHOT_COLUMNS = 2_000
 
 
 def _string(owner: str, name: str, doc: str) -> Param:
@@ -75,37 +73,42 @@ class RangeOrdinal(_Stage, Transformer):
 
 
 class OneHotFrequent(_Stage, Estimator):
-    """A 0/1 column per frequent category, and one for all others, NULL and unseen ones included."""
+    """A 0/1 input per frequent category, and one for all others, NULL and unseen ones included.
+
+    `output="columns"` makes a column of each, which suits a few hundred categories; `"vector"` makes
+    one sparse vector, however many there are.
+    """
+
+    OUTPUTS = ("columns", "vector")
 
     inputCol = _string(Params._dummy(), "inputCol", "category column")
     prefix = _string(Params._dummy(), "prefix", "prefix of the new columns")
     minFrequency = Param(
         Params._dummy(), "minFrequency", "rows a category needs", typeConverter=TypeConverters.toInt
     )
+    output = _string(Params._dummy(), "output", "columns or vector")
 
     def __init__(
         self,
         inputCol: str | None = None,
         prefix: str | None = None,
         minFrequency: int | None = None,
+        output: str | None = None,
     ):
         super().__init__()
-        self._setDefault(inputCol="INDUSTRY", prefix="industry", minFrequency=5)
-        self._take(inputCol=inputCol, prefix=prefix, minFrequency=minFrequency)
+        self._setDefault(inputCol="INDUSTRY", prefix="industry", minFrequency=5, output="columns")
+        self._take(inputCol=inputCol, prefix=prefix, minFrequency=minFrequency, output=output)
+        if self._value("output") not in self.OUTPUTS:
+            raise ValueError(f"Unknown output: {output}; use one of {', '.join(self.OUTPUTS)}")
 
-    def _fit(self, dataset: DataFrame) -> "OneHotFrequentModel":
+    def _fit(self, dataset: DataFrame) -> "OneHotFrequentModel | OneHotVectorModel":
         source, kept = self._value("inputCol"), []
         if source in dataset.columns:
             frequent = category_frequency(dataset, source, self._value("minFrequency"))
-            # One row more than allowed is enough to know that there are too many.
-            rows = frequent.select("category").limit(MAX_ONEHOT_COLUMNS + 1).collect()
-            if len(rows) > MAX_ONEHOT_COLUMNS:
-                raise ValueError(
-                    f"{source} has over {MAX_ONEHOT_COLUMNS} categories with "
-                    f"{self._value('minFrequency')} rows or more; raise minFrequency"
-                )
-            kept = sorted(row["category"] for row in rows)
-        return OneHotFrequentModel(source, self._value("prefix"), kept)
+            # As many names as the classifier will have coefficients for them.
+            kept = sorted(str(row["category"]) for row in frequent.select("category").collect())
+        model = OneHotVectorModel if self._value("output") == "vector" else OneHotFrequentModel
+        return model(source, self._value("prefix"), kept)
 
 
 class OneHotFrequentModel(_Stage, Model):
@@ -151,6 +154,44 @@ class OneHotFrequentModel(_Stage, Model):
         return dataset.select(*rest, *columns)
 
 
+class OneHotVectorModel(_Stage, Model):
+    """One sparse vector: a slot per category of the fit in name order, the last one for all others."""
+
+    inputCol = _string(Params._dummy(), "inputCol", "category column")
+    prefix = _string(Params._dummy(), "prefix", "prefix of the names")
+    categories = _strings(Params._dummy(), "categories", "categories with a slot of their own")
+
+    def __init__(
+        self,
+        inputCol: str | None = None,
+        prefix: str | None = None,
+        categories: Sequence[str] | None = None,
+    ):
+        super().__init__()
+        if categories is not None:
+            categories = [c for c in categories if c != OTHER]
+        self._take(inputCol=inputCol, prefix=prefix, categories=categories)
+
+    def output_column(self) -> str:
+        return f"{self._value('prefix')}_onehot"
+
+    def slot_names(self) -> list[str]:
+        return [f"{self._value('prefix')}_{c}" for c in [*self._value("categories"), OTHER]]
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        source = self._value("inputCol")
+        if source not in dataset.columns:
+            return dataset
+        # NULL and unseen values get the index after the last category.
+        indexer = StringIndexerModel.from_labels(
+            self._value("categories"), inputCol="_category", outputCol="_slot", handleInvalid="keep"
+        )
+        indexed = indexer.transform(dataset.withColumn("_category", named(source).cast("string")))
+        # The number of slots is in the schema of the index, so this fit reads no rows.
+        encoder = OneHotEncoder(inputCols=["_slot"], outputCols=[self.output_column()], dropLast=False)
+        return encoder.fit(indexed).transform(indexed).drop("_category", "_slot", source)
+
+
 class ImputeMissing(_Stage, Estimator):
     """Fill missing values by a value learned per column.
 
@@ -200,7 +241,7 @@ class ImputeMissing(_Stage, Estimator):
         if strategy in ("mean", "median") and texts:
             raise ValueError(f"strategy {strategy} needs numeric columns, not {', '.join(texts)}")
 
-        fills: dict[str, float | str] = {}
+        fills: dict[str, float | int | str] = {}
         if strategy in ("zero", "constant"):
             value = 0.0 if strategy == "zero" else self._value("constantValue")
             fills = {c: value for c in numbers} | {c: f"{value:g}" for c in texts}
@@ -217,7 +258,12 @@ class ImputeMissing(_Stage, Estimator):
             rows = column_quantiles(dataset, numbers, [0.5], accuracy).collect()
             fills = {row["column"]: row["quantiles"][0] for row in rows}
         elif strategy == "mode" and numbers:
-            fills = {r["column"]: r["mode"] for r in column_modes(dataset, numbers, "double").collect()}
+            whole = [c for c in numbers if isinstance(dataset.schema[c].dataType, T.IntegralType)]
+            # As doubles, whole numbers beyond 2^53 would fall together.
+            for kind, names in (("bigint", whole), ("double", [c for c in numbers if c not in whole])):
+                if names:
+                    modes = column_modes(dataset, names, kind).collect()
+                    fills |= {r["column"]: r["mode"] for r in modes}
         if strategy in ("auto", "mode") and texts:
             found = {r["column"]: r["mode"] for r in column_modes(dataset, texts, "string").collect()}
             fills |= {c: found.get(c, "Unknown") for c in texts}
@@ -228,11 +274,11 @@ class ImputeMissing(_Stage, Estimator):
 class ImputeMissingModel(_Stage, Model):
     fillValues = _string(Params._dummy(), "fillValues", "column to fill value, as JSON")
 
-    def __init__(self, fills: dict[str, float | str] | None = None):
+    def __init__(self, fills: dict[str, float | int | str] | None = None):
         super().__init__()
         self._take(fillValues=None if fills is None else json.dumps(fills))
 
-    def fills(self) -> dict[str, float | str]:
+    def fills(self) -> dict[str, float | int | str]:
         return json.loads(self._value("fillValues"))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
@@ -242,7 +288,7 @@ class ImputeMissingModel(_Stage, Model):
             if name not in types:
                 continue
             value, kind = named(name), types[name]
-            if isinstance(kind, T.IntegralType) and float(fill) != int(float(fill)):
+            if isinstance(kind, T.IntegralType) and isinstance(fill, float) and not fill.is_integer():
                 # A median or mean may lie between two whole numbers.
                 value, kind = value.cast("double"), T.DoubleType()
             if isinstance(kind, (T.DoubleType, T.FloatType)):

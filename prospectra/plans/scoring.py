@@ -1,4 +1,8 @@
-"""Score rows with a fitted model. All of it is narrow: no row changes its partition."""
+"""Score rows with a fitted model.
+
+Scoring moves no row, but for the join that an encoded text column adds where its categories are too
+many to be broadcast.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 from prospectra.functions import confidence_band, confidence_score, named, round4
 from prospectra.ml.models import classifier_of, importances, input_columns
 from prospectra.operators.ranking import top_prospects
-from prospectra.operators.requests import valid_requests
+from prospectra.operators.requests import rejected_requests, valid_requests
 
 # Names that models and the functions below write; in input rows they are stale and dropped.
 _OUTPUTS = ("features", "rawPrediction", "probability", "prediction", "confidence")
@@ -60,6 +64,18 @@ def score_requests(model: PipelineModel, requests: DataFrame) -> DataFrame:
     )
 
 
+def answer_requests(model: PipelineModel, requests: DataFrame) -> DataFrame:
+    """A row per request, on a batch or a stream: the response to a valid one, `status` "answered",
+    or the rules that the request breaks, `status` "refused"."""
+    answered = score_requests(model, requests).withColumn(
+        "failed_rules", F.array().cast("array<string>")
+    )
+    refused = rejected_requests(requests).select(F.col("id").alias("company_id"), "failed_rules")
+    return answered.withColumn("status", F.lit("answered")).unionByName(
+        refused.withColumn("status", F.lit("refused")), allowMissingColumns=True
+    )
+
+
 def explain_rows(
     model: PipelineModel, rows: DataFrame, n: int = 10, id_column: str = "id"
 ) -> DataFrame:

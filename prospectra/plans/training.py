@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
-from prospectra.functions import numeric_columns
+from prospectra.functions import named, numeric_columns
 from prospectra.ml.evaluation import cross_validate
 from prospectra.ml.models import create_model, feature_importance
 from prospectra.ml.stages import (
@@ -38,6 +39,7 @@ class TrainingConfig:
     test_share: float = 0.2
     seed: int = 42
     industry_min_frequency: int = 5
+    onehot: str = "vector"
     missing_strategy: str = "auto"
     missing_constant: float = -1.0
     scaling: str = "standard"
@@ -70,7 +72,7 @@ def feature_stages(columns: DataFrame, config: TrainingConfig | None = None) ->
         measures.append("employee_range_ordinal")
     return [
         RangeOrdinal(),
-        OneHotFrequent(minFrequency=config.industry_min_frequency),
+        OneHotFrequent(minFrequency=config.industry_min_frequency, output=config.onehot),
         ImputeMissing(
             config.missing_strategy, config.missing_constant, outside, config.quantile_accuracy
         ),
@@ -114,10 +116,20 @@ def train(dataset: DataFrame, config: TrainingConfig | None = None) -> TrainingR
     )
 
 
+def processed_splits(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Key, label and split of `rows` with the model's inputs as they are after all feature stages."""
+    features = PipelineModel(stages=list(model.stages[:-1])).transform(rows)
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    inputs = [named(c) for c in assembler.getInputCols()]
+    return features.select("id", LABEL, "split", *inputs)
+
+
 def save_artifacts(result: TrainingResult, path: str, run_id: str, run_time: str) -> None:
-    """Model, split rows, importances and metrics below one path."""
+    """Model, processed train and test rows, importances, metrics and scores per fold below one path."""
     result.model.write().overwrite().save(f"{path}/model")
-    write_splits(result.rows, f"{path}/splits")
+    write_splits(processed_splits(result.model, result.rows), f"{path}/splits")
+    if result.cross_validation is not None:
+        result.cross_validation.write.mode("overwrite").parquet(f"{path}/cross_validation")
     write_importance(result.importance, f"{path}/feature_importance")
     append_metrics(metrics_table(result.evaluation.metrics, run_id, run_time), f"{path}/metrics")
 

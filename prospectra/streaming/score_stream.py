@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from prospectra.plans.scoring import score_requests
+from prospectra.plans.scoring import answer_requests
 from prospectra.schemas import REQUESTS
 
 
@@ -35,16 +35,18 @@ def score_stream(
     once: bool = False,
     interval: str = "10 seconds",
 ) -> StreamingQuery:
-    """Start writing responses below `output_path`.
+    """Start writing responses below `output_path`, one folder per outcome.
 
-    Scoring keeps no state, so the query runs in append mode without watermark; the file sink and
+    `status=answered` holds the scores, `status=refused` the requests that break a rule, with the
+    names of those rules in `failed_rules`. Scoring keeps no state, so the query runs in append mode without watermark; the file sink and
     the checkpoint together write each response exactly once, also after a restart. `once` stops
     when all requests present at the start are answered.
     """
     writer = (
-        score_requests(model, requests)
+        answer_requests(model, requests)
         .writeStream.outputMode("append")
         .format("parquet")
+        .partitionBy("status")
         .option("checkpointLocation", checkpoint_path)
         .option("path", output_path)
     )

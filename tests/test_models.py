@@ -5,6 +5,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from prospectra.ml.evaluation import cross_validate
+from prospectra.ml.foreign import FunctionModel
 from prospectra.ml.models import MODEL_TYPES, create_model, importances
 from prospectra.operators.metrics import classification_metrics
 from prospectra.plans.scoring import (
@@ -86,6 +87,17 @@ def test_model_factory_translates_settings(spark):
         deep._classifier(deep.settings(), 1.0)
     boosted = create_model("lightgbm", {"num_leaves": 31})
     assert boosted._classifier(boosted.settings(), 1.0).getMaxDepth() == 5
+    settings = {"colsample_bytree": 0.5, "min_child_samples": 7, "min_split_gain": 0.25, "subsample": 0.5}
+    drawn = create_model("lightgbm", settings)
+    drawn = drawn._classifier(drawn.settings(), 1.0)
+    assert (drawn.getFeatureSubsetStrategy(), drawn.getMinInstancesPerNode()) == ("0.5", 7)
+    assert (drawn.getMinInfoGain(), drawn.getSubsamplingRate()) == (0.25, 0.5)
+    with pytest.raises(ValueError, match="colsample_bytree"):
+        bad = create_model("xgboost", {"colsample_bytree": 2})
+        bad._classifier(bad.settings(), 1.0)
+    sampled = create_model("random_forest", {"max_samples": 0.3, "min_impurity_decrease": 0.1})
+    sampled = sampled._classifier(sampled.settings(), 1.0)
+    assert (sampled.getSubsamplingRate(), sampled.getMinInfoGain()) == (0.3, 0.1)
     logistic = create_model("logistic_regression", {"C": 2.0, "penalty": "l1", "solver": "saga"})
     spark_logistic = logistic._classifier(logistic.settings(), 100.0)
     assert (spark_logistic.getRegParam(), spark_logistic.getElasticNetParam()) == (0.005, 1.0)
@@ -101,6 +113,20 @@ def test_every_type_learns(spark, model_type):
     assert "is_customer" not in importance and "id" not in importance
 
 
+def test_function_models_are_saved_by_name(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0.25), (2, 0.75)], "id int, a double")
+    assemble = VectorAssembler(inputCols=["a"], outputCol="features")
+    PipelineModel(stages=[assemble, FunctionModel(np.mean, axis=1)]).write().save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    scored = predict_with_ids(loaded, df).orderBy("id").collect()
+    assert [r["probability"] for r in scored] == [0.25, 0.75]
+    unnamed = FunctionModel(lambda matrix: matrix[:, 0] / 2)
+    scored = predict_with_ids(PipelineModel(stages=[assemble, unnamed]), df).orderBy("id").collect()
+    assert [r["probability"] for r in scored] == [0.125, 0.375]
+    with pytest.raises(ValueError, match="cannot be imported again"):
+        unnamed.write()
+
+
 def test_cross_validation(spark, result):
     rows = result.model.transform(result.rows.where("split = 'train'")).select("id", "is_customer", "features")
     folds = cross_validate(create_model("logistic_regression"), rows.cache(), 3).collect()
@@ -168,7 +194,11 @@ def test_artifacts(spark, result, tmp_path):
     rows = requests_frame(spark)
     assert predict(loaded, rows).exceptAll(predict(result.model, rows)).count() == 0
     splits = spark.read.parquet(f"{path}/splits")
-    assert splits.count() == 400 and "target" in splits.columns
+    # Features as the classifier saw them, not the raw columns.
+    assert splits.count() == 400 and {"id", "target", "split", "industry_onehot"} <= {*splits.columns}
+    assert not {"INDUSTRY", "EMPLOYEE_RANGE"} & {*splits.columns}
+    mean = splits.where("split = 'train'").agg(F.avg("ALEXA_RANK")).first()[0]
+    assert mean == pytest.approx(0.0, abs=1e-9)
     metrics = {r["metric"]: r["value"] for r in spark.read.parquet(f"{path}/metrics").collect()}
     assert metrics["roc_auc"] == pytest.approx(result.evaluation.metrics.first()["roc_auc"])
 
@@ -185,9 +215,12 @@ def test_requests_batch_and_stream_agree(spark, result, tmp_path):
         stream = read_request_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
         query = score_stream(result.model, stream, str(tmp_path / "out"), str(tmp_path / "progress"), once=True)
         query.awaitTermination()
-        return spark.read.parquet(str(tmp_path / "out"))
+        return spark.read.parquet(str(tmp_path / "out/status=answered")).drop("failed_rules")
 
     assert run().exceptAll(batch).count() == 0 and run().count() == 60
+    refused = spark.read.parquet(str(tmp_path / "out/status=refused")).collect()
+    assert len(refused) == 5 and all(r["failed_rules"] == ["rank_positive"] for r in refused)
+    assert all(r["company_id"] >= 1000 and r["prediction"] is None for r in refused)
     # After a restart only the new requests are answered.
     good.withColumn("id", F.col("id") + 5000).write.mode("append").parquet(str(tmp_path / "in"))
     assert run().count() == 120

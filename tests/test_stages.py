@@ -2,12 +2,12 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 
-import prospectra.ml.stages as stages
 from prospectra.ml.stages import (
     AssembleFeatures,
     EncodeCategorical,
     ImputeMissing,
     OneHotFrequent,
+    OneHotVectorModel,
     RangeOrdinal,
     ScaleFeatures,
 )
@@ -59,11 +59,39 @@ def test_onehot_of_odd_names_and_absent_columns(spark):
         OneHotFrequent(minFrequency=1).fit(clash).transform(clash)
 
 
-def test_onehot_refuses_too_many_columns(spark, monkeypatch):
-    monkeypatch.setattr(stages, "MAX_ONEHOT_COLUMNS", 3)
-    many = spark.createDataFrame([(i, f"c{i}") for i in range(4)], INDUSTRY)
-    with pytest.raises(ValueError, match="raise minFrequency"):
-        OneHotFrequent(minFrequency=1).fit(many)
+def test_onehot_vector_of_many_categories(spark, tmp_path):
+    many = spark.range(6000).selectExpr("id", "'c' || id % 2500 AS INDUSTRY")
+    fitted = OneHotFrequent(minFrequency=1, output="vector").fit(many)
+    fitted.write().save(str(tmp_path / "onehot"))
+    model = OneHotVectorModel.load(str(tmp_path / "onehot"))
+    names = model.slot_names()
+    assert len(names) == 2501 and names[-1] == "industry_Other"
+    seen = spark.createDataFrame([(1, "c7"), (2, None), (3, "zzz"), (4, "Other")], INDUSTRY)
+    out = model.transform(seen)
+    assert out.columns == ["id", "industry_onehot"]
+    vectors = column(out, "industry_onehot")
+    assert [[names[i] for i in v.indices] for v in vectors] == [["industry_c7"]] + [["industry_Other"]] * 3
+    assert all(v.size == 2501 for v in vectors)
+    assert model.transform(many).count() == 6000
+
+
+def test_onehot_vector_edges(spark):
+    train = spark.createDataFrame([(1, "Other"), (2, "a.b"), (3, "a_b")], INDUSTRY)
+    model = OneHotFrequent(minFrequency=1, output="vector").fit(train)
+    assert model.slot_names() == ["industry_a.b", "industry_a_b", "industry_Other"]
+    assert [v.indices[0] for v in column(model.transform(train), "industry_onehot")] == [2, 0, 1]
+    assert model.transform(train.drop("INDUSTRY")).columns == ["id"]
+    rare = OneHotFrequent(minFrequency=9, output="vector").fit(train)
+    assert [v.toArray().tolist() for v in column(rare.transform(train), "industry_onehot")] == [[1.0]] * 3
+    with pytest.raises(ValueError, match="Unknown output"):
+        OneHotFrequent(output="matrix")
+
+
+def test_mode_of_large_whole_numbers(spark):
+    big = 2**53
+    df = spark.createDataFrame([(big + 1,), (big + 1,), (big,), (big,), (big + 1,), (None,)], "n bigint")
+    filled = ImputeMissing("mode").fit(df).transform(df)
+    assert sorted(r["n"] for r in filled.collect()) == [big] * 2 + [big + 1] * 4
 
 
 GAPS = "id bigint, x double, n bigint, s string, empty double"
@@ -181,7 +209,7 @@ def companies(spark):
 
 def test_feature_stages_keep_their_columns(spark, tmp_path):
     df = companies(spark)
-    config = TrainingConfig(exclude_columns=("total",))
+    config = TrainingConfig(exclude_columns=("total",), onehot="columns")
     fitted = Pipeline(stages=feature_stages(df, config)).fit(df)
     names = fitted.stages[-1].getInputCols()
     assert names == ["ALEXA_RANK", "region", "employee_range_ordinal", "industry_Other", "industry_a", "industry_b"]
