@@ -18,7 +18,7 @@ from prospectra.operators.cleaning import (
 )
 from prospectra.operators.dedup import deduplicate, distinct_key_count, dup_groups, dup_sample
 from prospectra.operators.quantiles import mode_value
-from prospectra.operators.ranking import join_predictions, top_features, top_prospects
+from prospectra.operators.ranking import join_predictions, top_prospects
 from prospectra.operators.requests import check_requests
 from prospectra.operators.runs import all_metrics, metrics_table
 from prospectra.operators.split import split_by_hash
@@ -39,7 +39,6 @@ from prospectra.sources import (
     append_metrics,
     new_scratch_path,
     read_customers,
-    write_importance,
     write_predictions,
     write_quarantine,
     write_removed_rows,
@@ -160,33 +159,6 @@ def sink_splits(spark, d):
     return spark.read.parquet(path).select("id", "target", "split")
 
 
-_MEASURES = ["ALEXA_RANK", "total_actions", "total_users", "days_active", "activity_frequency"]
-
-
-def _correlations(spark, d):
-    """|correlation| with the label: an importance that SQL can compute as well."""
-    table = prepared(spark, d)
-    label = F.col("is_customer").cast("double")
-    one = table.agg(
-        *[F.abs(F.corr(F.col(c).cast("double"), label)).alias(c) for c in _MEASURES]
-    )
-    pairs = [F.struct(F.lit(c).alias("feature"), F.round(c, 6).alias("importance")) for c in _MEASURES]
-    return one.select(F.inline(F.array(*pairs)))
-
-
-_CORRELATIONS_SQL = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(abs(corr({c}, is_customer)), 6) AS importance FROM prepared"
-    for c in _MEASURES
-)
-
-
-@query("sink_importance", sql(_CORRELATIONS_SQL, "prepared"))
-def sink_importance(spark, d):
-    path = new_scratch_path(spark, "importance")
-    write_importance(_correlations(spark, d), path)
-    return spark.read.schema("feature string, importance double").option("header", True).csv(path)
-
-
 RUNS = {"run_a": ("2024-01-01 08:00:00", 0.3), "run_b": ("2024-01-02 08:00:00", 0.5), "run_c": ("2024-01-03 08:00:00", 0.7)}
 
 
@@ -522,14 +494,6 @@ def top_prospects_query(spark, d):
     return top_prospects(role(spark, d, "prospects"), 100)
 
 
-@query(
-    "top_features",
-    sql(f"SELECT * FROM ({_CORRELATIONS_SQL}) ORDER BY importance DESC, feature LIMIT 3", "prepared"),
-)
-def top_features_query(spark, d):
-    return top_features(_correlations(spark, d), 3)
-
-
 @query(
     "invalid_sample",
     sql("SELECT id, MRR FROM customers WHERE MRR <= 0 ORDER BY id, MRR LIMIT 5", "customers"),

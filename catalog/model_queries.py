@@ -35,10 +35,11 @@ from prospectra.operators.metrics import (
     classification_metrics,
     classification_report,
     confusion_matrix,
-    optimal_threshold,
+    optimal_thresholds,
     score_histogram,
     threshold_predictions,
 )
+from prospectra.operators.ranking import top_features
 from prospectra.operators.runs import best_run, run_comparison
 from prospectra.operators.split import split_by_hash
 from prospectra.plans.scoring import (
@@ -51,6 +52,7 @@ from prospectra.plans.scoring import (
 )
 from prospectra.plans.training import feature_stages
 from prospectra.sources.scratch import materialize, new_scratch_path
+from prospectra.sources.writers import write_importance
 from prospectra.streaming import read_request_stream, score_stream
 
 _FITTED: dict[tuple[str, str, str], PipelineModel] = {}
@@ -213,62 +215,130 @@ def cross_validate_query(spark, d):
     return rounded(cross_validate(create_model("logistic_regression", _RATE_SETTINGS), features))
 
 
-# One binary input -------------------------------------------------------------------------------
+# Two binary inputs ------------------------------------------------------------------------------
 
+_FLAGS = ["has_usage", "low_rank"]
+_FLAG_SETTINGS = {"C": 1.0, "penalty": "l2", "class_weight": "balanced", "tol": 1e-12}
 
-def _usage_flag_rows(spark, d):
-    flag = F.when(F.col("total_actions") > 0, 1.0).otherwise(0.0)
-    return prepared(spark, d).select("id", "is_customer", flag.alias("has_usage"))
 
+def _flag_rows(spark, d):
+    used = F.when(F.col("total_actions") > 0, 1.0).otherwise(0.0)
+    low = F.when(F.col("ALEXA_RANK") < 500_000, 1.0).otherwise(0.0)
+    return prepared(spark, d).select("id", "is_customer", used.alias(_FLAGS[0]), low.alias(_FLAGS[1]))
+
+
+def _flag_model(spark, d) -> PipelineModel:
+    """The standard model: L2 penalty and balanced classes."""
 
-def _usage_flag_model(spark, d) -> PipelineModel:
     def fit():
-        rows = materialize(_usage_flag_rows(spark, d), "usage-flag")
+        rows = materialize(_flag_rows(spark, d), "flags")
         stages = [AssembleFeatures(["id", "is_customer"])]
-        return _fit(rows, stages, "logistic_regression", penalty=None)
+        return _fit(rows, stages, "logistic_regression", **_FLAG_SETTINGS)
+
+    return _fitted(spark, d, "flags", fit)
+
+
+# Newton steps for c * weighted log loss + (b1 ^ 2 + b2 ^ 2) / 2 at c = 1, over the four cells of two flags:
+# t is the weight of a cell, y that of its customers, r and v the cell's share of gradient and curvature.
+_CELLS = {"00": "b0", "01": "b0 + b2", "10": "b0 + b1", "11": "b0 + b1 + b2"}
+_NEWTON = f"""flags AS (SELECT id, is_customer AS y, CASE WHEN total_actions > 0 THEN 1 ELSE 0 END AS has_usage,
+        CASE WHEN ALEXA_RANK < 500000 THEN 1 ELSE 0 END AS low_rank FROM prepared),
+    classes AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(y) AS pos, sum(1 - y) AS neg FROM flags),
+    weighted AS (SELECT y, has_usage || '' || low_rank AS cell,
+        CASE WHEN y = 1 THEN n / (2 * pos) ELSE n / (2 * neg) END AS w FROM flags, classes),
+    cells AS (SELECT {", ".join(
+        f"COALESCE(sum(w) FILTER (WHERE cell = '{k}'), 0) AS t{k}, "
+        f"COALESCE(sum(w * y) FILTER (WHERE cell = '{k}'), 0) AS y{k}" for k in _CELLS)} FROM weighted),
+    steps_taken AS (
+        SELECT 0 AS i, CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2
+        UNION ALL
+        SELECT i + 1,
+            b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det,
+            b1 - (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det,
+            b2 - (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det
+        FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02)
+                + h02 * (h01 * h12 - h11 * h02) AS det
+            FROM (SELECT i, b0, b1, b2, r00 + r01 + r10 + r11 AS g0, r10 + r11 + b1 AS g1, r01 + r11 + b2 AS g2,
+                    v00 + v01 + v10 + v11 AS h00, v10 + v11 AS h01, v01 + v11 AS h02,
+                    v10 + v11 + 1 AS h11, v11 AS h12, v01 + v11 + 1 AS h22
+                FROM (SELECT i, b0, b1, b2, {", ".join(f"t{k} * p{k} - y{k} AS r{k}, t{k} * p{k} * (1 - p{k}) AS v{k}" for k in _CELLS)}
+                    FROM (SELECT *, {", ".join(f"1 / (1 + exp(-({eta}))) AS p{k}" for k, eta in _CELLS.items())}
+                        FROM steps_taken, cells WHERE i < 25))))),
+    fitted AS (SELECT b0, b1, b2 FROM steps_taken WHERE i = 25),
+    importances AS (SELECT 'has_usage' AS feature, round(abs(b1), 4) AS importance FROM fitted
+        UNION ALL SELECT 'low_rank', round(abs(b2), 4) FROM fitted),
+    scored_flags AS (SELECT f.*, 1 / (1 + exp(-(b0 + b1 * has_usage + b2 * low_rank))) AS p,
+        has_usage * b1 AS c1, low_rank * b2 AS c2, b1, b2 FROM flags f, fitted)"""
+
+
+def _newton_sql(select: str) -> str:
+    return sql(select, "prepared", extra=_NEWTON).replace("WITH ", "WITH RECURSIVE ", 1)
 
-    return _fitted(spark, d, "usage-flag", fit)
+
+@query(
+    "train_logistic_l2",
+    _newton_sql(
+        "SELECT has_usage, low_rank, count(*) AS n, round(any_value(p), 4) AS probability "
+        "FROM scored_flags GROUP BY has_usage, low_rank"
+    ),
+)
+def train_logistic_l2(spark, d):
+    scored = predict(_flag_model(spark, d), _flag_rows(spark, d))
+    flags = [F.col(c).cast("int").alias(c) for c in _FLAGS]
+    cells = scored.groupBy(*flags).agg(F.count("*").alias("n"), F.max("probability").alias("probability"))
+    return rounded(cells, 4)
 
 
-_FLAG_EXTRA = """flags AS (SELECT id, is_customer AS y, total_actions > 0 AS used FROM prepared),
-    odds AS (SELECT used, avg(y) AS p, ln(CAST(sum(y) AS DOUBLE) / sum(1 - y)) AS logit FROM flags GROUP BY used),
-    effect AS (SELECT max(logit) FILTER (WHERE used) - max(logit) FILTER (WHERE NOT used) AS coefficient FROM odds)"""
+@query("feature_importance", _newton_sql("SELECT * FROM importances"))
+def feature_importance_query(spark, d):
+    return rounded(feature_importance(_flag_model(spark, d)), 4)
+
+
+@query("sink_importance", _newton_sql("SELECT * FROM importances"))
+def sink_importance(spark, d):
+    path = new_scratch_path(spark, "importance")
+    write_importance(feature_importance(_flag_model(spark, d)), path)
+    written = spark.read.schema("feature string, importance double").option("header", True).csv(path)
+    return rounded(written, 4)
 
 
 @query(
-    "feature_importance",
-    sql(
-        "SELECT 'has_usage' AS feature, round(abs(coefficient), 4) AS importance FROM effect",
-        "prepared",
-        extra=_FLAG_EXTRA,
-    ),
+    "top_features",
+    _newton_sql("SELECT * FROM importances ORDER BY importance DESC, feature LIMIT 1"),
 )
-def feature_importance_query(spark, d):
-    return rounded(feature_importance(_usage_flag_model(spark, d)), 4)
+def top_features_query(spark, d):
+    return rounded(top_features(feature_importance(_flag_model(spark, d)), 1), 4)
 
 
 @query(
     "explain_row",
-    sql(
+    _newton_sql(
         "SELECT id, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction, round(p, 4) AS probability, "
-        "'has_usage' AS feature, round(abs(coefficient), 4) AS importance, "
-        "round(CASE WHEN f.used THEN coefficient ELSE 0 END, 4) AS contribution "
-        "FROM flags f JOIN odds o ON f.used = o.used, effect",
-        "prepared",
-        extra=_FLAG_EXTRA,
+        "CASE WHEN abs(b1) >= abs(b2) THEN 'has_usage' ELSE 'low_rank' END AS top_feature, "
+        "round(greatest(abs(b1), abs(b2)), 4) AS top_importance, "
+        "round(least(abs(b1), abs(b2)), 4) AS next_importance, "
+        "CASE WHEN abs(c1) >= abs(c2) THEN 'has_usage' ELSE 'low_rank' END AS mover, "
+        "round(CASE WHEN abs(c1) >= abs(c2) THEN c1 ELSE c2 END, 4) + 0 AS moved, "
+        "round(CASE WHEN abs(c1) >= abs(c2) THEN c2 ELSE c1 END, 4) + 0 AS moved_next FROM scored_flags"
     ),
 )
 def explain_row(spark, d):
-    explained = explain_rows(_usage_flag_model(spark, d), _usage_flag_rows(spark, d))
+    """The most important feature of the model, and the input that moved the score of a row most."""
+    explained = explain_rows(_flag_model(spark, d), _flag_rows(spark, d))
+    top, moved = F.col("top_features"), F.col("contributions")
     flat = explained.select(
         "id",
         "prediction",
         "probability",
-        F.col("top_features")[0]["feature"].alias("feature"),
-        F.col("top_features")[0]["importance"].alias("importance"),
-        F.col("contributions")[0]["contribution"].alias("contribution"),
+        top[0]["feature"].alias("top_feature"),
+        top[0]["importance"].alias("top_importance"),
+        top[1]["importance"].alias("next_importance"),
+        moved[0]["feature"].alias("mover"),
+        moved[0]["contribution"].alias("moved"),
+        moved[1]["contribution"].alias("moved_next"),
     )
-    return rounded(flat, 4)
+    zero = F.lit(0.0)  # no minus sign on a zero
+    return rounded(flat, 4).withColumns({c: F.when(F.col(c) == 0, zero).otherwise(F.col(c)) for c in ("moved", "moved_next")})
 
 
 # Trees ------------------------------------------------------------------------------------------
@@ -389,8 +459,8 @@ def model_factory(spark, d):
     return classes
 
 
-@query("train_logistic_l2")
-def train_logistic_l2(spark, d):
+@query("train_logistic_all_stages")
+def train_logistic_all_stages(spark, d):
     """Importances of the standard model over all stages; SQL has no way to minimise its loss."""
 
     def fit():
@@ -562,11 +632,7 @@ def _best_sql(metric: str) -> str:
     ),
 )
 def optimal_threshold_query(spark, d):
-    found = None
-    for metric in ("f1", "precision", "recall"):
-        best = optimal_threshold(_scored(spark, d), metric).withColumn("metric", F.lit(metric))
-        found = best if found is None else found.unionByName(best)
-    return rounded(found)
+    return rounded(optimal_thresholds(_scored(spark, d)))
 
 
 @query(

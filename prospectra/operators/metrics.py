@@ -5,6 +5,8 @@ Everything that depends on the confusion matrix needs one aggregation with four
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -178,19 +180,35 @@ def threshold_scores(scored: DataFrame, label: str = LABEL, score: str = SCORE)
     )
 
 
+METRICS = ("f1", "precision", "recall")
+
+
+def optimal_thresholds(
+    scored: DataFrame, label: str = LABEL, score: str = SCORE, metrics: Sequence[str] = METRICS
+) -> DataFrame:
+    """(metric, threshold, value): per metric the threshold with the best value, the lowest of equals;
+    (0.5, 0) if none is above 0. One pass over the rows for all metrics."""
+    bests = []
+    for metric in metrics:
+        rank = F.struct(F.col(metric).alias("value"), (-F.col("threshold")).alias("low"))
+        best = F.max(F.when(F.col(metric) > 0, rank))
+        bests.append(
+            F.struct(
+                F.lit(metric).alias("metric"),
+                F.coalesce(-best["low"], F.lit(0.5)).alias("threshold"),
+                F.coalesce(best["value"], F.lit(0.0)).alias("value"),
+            )
+        )
+    return threshold_scores(scored, label, score).agg(F.array(*bests).alias("bests")).select(F.inline("bests"))
+
+
 def optimal_threshold(
     scored: DataFrame, metric: str = "f1", label: str = LABEL, score: str = SCORE
 ) -> DataFrame:
-    """One row: the threshold with the best metric, the lowest of equals; (0.5, 0) if none is above 0."""
-    if metric not in ("f1", "precision", "recall"):
+    """One row: the threshold with the best metric, as `optimal_thresholds` finds it."""
+    if metric not in METRICS:
         raise ValueError(f"Unsupported metric: {metric}; use f1, precision or recall")
-    value = F.col(metric)
-    rank = F.struct(value.alias("value"), (-F.col("threshold")).alias("low"))
-    best = F.max(F.when(value > 0, rank))
-    return threshold_scores(scored, label, score).agg(best.alias("best")).select(
-        F.coalesce(-F.col("best.low"), F.lit(0.5)).alias("threshold"),
-        F.coalesce(F.col("best.value"), F.lit(0.0)).alias("value"),
-    )
+    return optimal_thresholds(scored, label, score, [metric]).drop("metric")
 
 
 def score_histogram(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
