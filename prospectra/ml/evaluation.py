@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from statistics import fmean, pstdev
 
 from pyspark.ml import Estimator
@@ -40,7 +41,9 @@ def cross_validate(
         return roc_auc(held_out.withColumn("_p", probability), label, "_p").first()["roc_auc"]
 
     with ThreadPoolExecutor(parallelism) as pool:
-        scores = list(pool.map(score, range(folds)))
+        # Each in a copy of the context, so that their scratch belongs to the caller's run.
+        running = [pool.submit(copy_context().run, score, fold) for fold in range(folds)]
+        scores = [job.result() for job in running]
     known = [s for s in scores if s is not None]
     mean, deviation = (fmean(known), pstdev(known)) if known else (None, None)
     return rows.sparkSession.createDataFrame(

@@ -6,7 +6,7 @@ from prospectra.sources.readers import (
     read_usage,
     scan_order,
 )
-from prospectra.sources.scratch import materialize, new_scratch_path
+from prospectra.sources.scratch import materialize, new_scratch_path, scratch_run
 from prospectra.sources.writers import (
     append_metrics,
     write_importance,
@@ -31,6 +31,7 @@ __all__ = [
     "read_noncustomers",
     "read_usage",
     "scan_order",
+    "scratch_run",
     "write_importance",
     "write_predictions",
     "write_quarantine",

@@ -216,6 +216,20 @@ def test_prepare_dataset(spark):
     assert prepare_dataset(tables, strategy=None).count() == 4
 
 
+def test_reports_of_the_preparation(spark, tmp_path):
+    rows = [(1, "2020-01-01", 5.0, "a", 0), (2, "2020-01-01", 0.0, "b", 1), (1, None, 6.0, "a", 2)]
+    tables, path = raw_tables(spark, rows), str(tmp_path / "reports")
+    with pytest.raises(ValueError, match="unique id: 1"):
+        prepare_dataset(tables, check=True, reports=path)
+    read = lambda name: spark.read.parquet(f"{path}/{name}").collect()
+    assert sorted((r["id"], r["MRR"]) for r in read("customers/duplicates")) == [(1, 5.0), (1, 6.0)]
+    assert [r["id"] for r in read("customers/removed")] == [2]
+    assert [(r["column"], r["n_missing"]) for r in read("customers/profile_missing")] == [("CLOSEDATE", 1)]
+    assert {r["column"]: r["p50"] for r in read("customers/profile_numeric")}["MRR"] == 5.0
+    assert {r["n_rows"] for r in read("noncustomers/profile_shape")} == {3}
+    assert [r["_duplicate_group"] for r in read("noncustomers/duplicates")] == [0, 0]
+
+
 def test_prepare_dataset_rejects_duplicate_customers(spark):
     tables = raw_tables(spark, [(1, "2020-01-01", 5.0, "a", 0), (1, "2020-01-01", 6.0, "b", 1)])
     with pytest.raises(ValueError, match="unique id: 1"):

@@ -17,7 +17,7 @@ from prospectra.plans.scoring import (
     score_requests,
 )
 from prospectra.plans.training import TrainingConfig, load_model, save_artifacts, train
-from prospectra.sources import REQUESTS
+from prospectra.sources import REQUESTS, materialize, scratch, scratch_run
 from prospectra.streaming import read_request_stream, score_stream
 
 
@@ -203,6 +203,23 @@ def test_artifacts(spark, result, tmp_path):
     assert metrics["roc_auc"] == pytest.approx(result.evaluation.metrics.first()["roc_auc"])
 
 
+def test_a_run_leaves_no_scratch(spark, tmp_path, monkeypatch):
+    root = tmp_path / "scratch"
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(root))
+    with scratch_run(spark):
+        found = train(requests_frame(spark), TrainingConfig(folds=2))
+        save_artifacts(found, str(tmp_path / "model"), "run_1", "2024-01-01 00:00:00")
+        assert list(root.rglob("*.parquet"))
+    assert not list(root.iterdir())
+    with pytest.raises(RuntimeError), scratch_run(spark):
+        materialize(spark.range(3), "x")
+        raise RuntimeError
+    assert not list(root.iterdir())
+    folds = spark.read.parquet(str(tmp_path / "model/cross_validation"))
+    assert sorted(r["fold"] for r in folds.collect()) == [0, 1]
+    assert predict(load_model(str(tmp_path / "model")), requests_frame(spark)).count() == 400
+
+
 def test_requests_batch_and_stream_agree(spark, result, tmp_path):
     good = requests_frame(spark, 60).select(REQUESTS.fieldNames())
     bad = good.limit(5).withColumn("ALEXA_RANK", F.lit(0.0)).withColumn("id", F.col("id") + 1000)
