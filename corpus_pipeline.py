@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from prospectra.llm import bpe, decontaminate, outliers, quality, simhash
 from prospectra.llm.queries import BPE_RANKS, QUALITY_THRESHOLD
-from prospectra.sources.scratch import materialize
+from prospectra.sources.scratch import materialize, new_scratch_path, release, scratch_run
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Each stage's rows replace those of the one before; what a stage wrote on its way goes with it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = new_scratch_path(spark, name)
+        with scratch_run(spark):
+            docs = materialize(stage(spark, docs, sf_dir), name, path)
+        if before is not None:
+            release(spark, before)
+        before = path
     return docs

@@ -13,6 +13,7 @@ import corpus_pipeline  # noqa: E402
 from prospectra.llm import decontaminate, simhash  # noqa: E402
 from prospectra.llm.queries import ORACLES, QUERIES  # noqa: E402
 from prospectra.llm.quality import fit, score  # noqa: E402
+from prospectra.sources import scratch  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -50,5 +51,9 @@ def test_stages_of_the_pipeline(spark):
         assert set(rows[0].asDict()) == set(docs.columns)
 
 
-def test_run(spark):
-    assert corpus_pipeline.run(spark, SF_DIR).columns == ["doc_id", "n_tokens", "ids", "text"]
+def test_run(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(tmp_path))
+    found = corpus_pipeline.run(spark, SF_DIR)
+    assert found.columns == ["doc_id", "n_tokens", "ids", "text"] and not found.isEmpty()
+    # Only the last stage's rows are left.
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["byte_level_bpe"]
