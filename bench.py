@@ -44,6 +44,7 @@ HEADLINE = [
     "optimal_threshold",
     "score_histogram",
     "business_metrics",
+    "cross_validate",
     "predict",
     "score_requests",
     "score_stream",
