@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prospectra.llm import bpe, decontaminate, outliers, quality, simhash
-from prospectra.llm.queries import BPE_RANKS, QUALITY_THRESHOLD
+from prospectra.llm.queries import BPE_RANKS, DECONTAMINATION, QUALITY_THRESHOLD
 from prospectra.sources.scratch import materialize, new_scratch_path, release, scratch_run
 
 
@@ -33,7 +33,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark question."""
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.drop_contaminated(docs, benchmark, **DECONTAMINATION)
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Benchmark questions in documents, also with other numbers, names and units: template windows.
 
-Texts become templates: numbers, capitalised names (a run of them is one) and units behind a number are typed
-placeholders, all other words stand as they are in lower case. Windows of template words are joined with the
+Texts become templates: numbers, capitalised names (a run of them within a sentence and line is one) and units
+behind a number are typed placeholders, all other words stand as they are in lower case. Windows of template words are joined with the
 windows of the benchmark by their text. A fixed-size Bloom filter of the benchmark's windows keeps all other
 windows of the documents from leaving their task; what it lets through by mistake, the join removes.
 
 Matching windows of a document and an item on one diagonal (place in the document less place in the item) are
 an alignment. It counts if its slots are consistent: every value of the item has stood for one value of the
-document and the other way round. An item is found if its consistent alignments cover enough of its words.
+document and the other way round. With `run_on_names`, a name at the border of an alignment may run on into the text
+around it and is compared by its near end. An item is found if its consistent alignments cover enough of its words.
 """
 
 from __future__ import annotations
@@ -19,13 +20,17 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prospectra.llm.batches import slices, text_bytes
 from prospectra.sources.scratch import materialize
 
 _WORD = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+")
+#: Ends a run of names, but for the full stop of an initial or title.
+_END = re.compile(r"[.:;!?\u2026\n\r\u2028\u2029]")
+_STOP = re.compile(r"\.[ \t]*")
+TITLES = frozenset("Mr Mrs Ms Dr Prof St".split())
 #: Units of measure and money that are slots behind a number.
 UNITS = frozenset(
     """mm cm m km in ft yd mi mg g kg t oz lb lbs ms s sec min h hr hrs ml cl l gal pt w kw kwh v a hz mhz ghz
@@ -58,9 +63,21 @@ class _Codes(dict):
         return code
 
 
-def template(words: list[str], shapes: list[str], values: list[str]) -> None:
-    """Appends the template words of a text's next words, and the values that stand in their places."""
-    for word in words:
+def _runs_on(between: str, name: str) -> bool:
+    """Whether a name goes on behind what stands between it and the next capitalised word."""
+    if not _END.search(between):
+        return True
+    word = name.rpartition(" ")[2]
+    return (len(word) == 1 or word in TITLES) and _STOP.fullmatch(between) is not None
+
+
+def template(text: str, matches: list[re.Match], end: int, shapes: list[str], values: list[str]) -> int:
+    """Appends the template words of a text's next words, and the values that stand in their places.
+
+    `end` is where the word before ended; that of the last word is returned.
+    """
+    for match in matches:
+        word, gap, end = match.group(), end, match.end()
         before = shapes[-1] if shapes else ""
         if word[0].isdigit():
             shape = NUMBER
@@ -68,24 +85,25 @@ def template(words: list[str], shapes: list[str], values: list[str]) -> None:
             shape = UNIT
         elif word[0].isupper():
             shape = NAME
-            if before == NAME:
+            if before == NAME and _runs_on(text[gap : match.start()], values[-1]):
                 values[-1] += " " + word
                 continue
         else:
             shape = word.lower()
         shapes.append(shape)
         values.append(word)
+    return end
 
 
 def _portions(text: str, window: int) -> Iterator[tuple[int, list[str], list[str], bool]]:
     """Place of the first word, template words and values; portions overlap by a window less one word."""
-    matches, at = _WORD.finditer(text), 0
+    matches, at, end = _WORD.finditer(text), 0, 0
     shapes: list[str] = []
     values: list[str] = []
     while True:
-        words = [match.group() for match in islice(matches, PORTION)]
+        words = list(islice(matches, PORTION))
         last = len(words) < PORTION
-        template(words, shapes, values)
+        end = template(text, words, end, shapes, values)
         yield at, shapes, values, last
         if last:
             return
@@ -207,6 +225,19 @@ def _filter_of(items: DataFrame, window: int, min_literals: int) -> tuple[np.nda
     return np.frombuffer(bytes(row.known), np.uint8), [n for n in row.lengths if n < window]
 
 
+def _border_fits(border: str, others: str, start: bool) -> Column:
+    """Whether all pairs at a border agree with `others`; their document value may be longer on the outer side."""
+
+    def fits(b: Column, p: Column) -> Column:
+        longer = b["slots"].endswith(F.concat(F.lit(" "), p["slots"])) if start else b["slots"].startswith(
+            F.concat(p["slots"], F.lit(" "))
+        )
+        same = b["item_slots"] == p["item_slots"]
+        return F.when(same, (b["slots"] == p["slots"]) | longer).otherwise(b["slots"] != p["slots"])
+
+    return F.forall(border, lambda b: F.forall(others, lambda p: fits(b, p)))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -217,13 +248,15 @@ def contaminated(
     window: int = WINDOW,
     min_literals: int = MIN_LITERALS,
     min_coverage: float = MIN_COVERAGE,
+    run_on_names: bool = False,
 ) -> DataFrame:
     """`doc_id`, `item_id`, `covered`, `n_words`, `coverage`: the items that a document holds.
 
     `covered` counts the item's template words in consistent alignments, `coverage` is their share. A pair
     stands once, also if rows repeat. An item shorter than a window is one window; items without a window of
     `min_literals` literal words cannot be told from other text and are not searched. Null and empty texts
-    hold nothing and are found nowhere; null ids are ids like others. Further columns are not read.
+    hold nothing and are found nowhere. `run_on_names` also takes alignments that are consistent but for names at
+    their borders that go on outside ('Yesterday Anna' for 'Anna'). Null ids are ids like others. Further columns are not read.
     """
     items = benchmark.select(F.col(item_col).cast("bigint").alias("id"), F.col(item_text_col).alias("text"))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
@@ -255,17 +288,32 @@ def contaminated(
         .agg(F.max("n_words").alias("n_words"), F.max(F.col("item_place") + F.col("length")).alias("end"))
         .select(F.col("item_id").alias("of"), F.col("item_key").alias("of_key"), F.coalesce("n_words", "end").alias("n_words"))
     )
+    zipped = F.arrays_zip("item_slots", "slots")
+    first = F.col("template").startswith(NAME).cast("int")
+    final = F.col("template").endswith(NAME).cast("int")
+    inside = F.slice(zipped, first + 1, F.greatest(F.size(zipped) - first - final, F.lit(0)))
     aligned = (
         found.join(sought.drop("n_words"), ["template", "length"])
         .groupBy("doc_id", "doc_key", "item_id", "item_key", (F.col("place") - F.col("item_place")).alias("shift"))
         .agg(
             F.collect_set(F.struct("item_place", "length")).alias("windows"),
-            F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
+            F.array_distinct(F.flatten(F.collect_set(zipped))).alias("pairs"),
+            # a name within an alignment is at the border of some windows and inside others
+            F.array_distinct(F.flatten(F.collect_set(inside))).alias("inner"),
+            F.array_distinct(F.flatten(F.collect_set(F.slice(zipped, 1, first)))).alias("low"),
+            F.array_distinct(F.flatten(F.collect_set(F.slice(zipped, F.size(zipped) - final + 1, final)))).alias("high"),
         )
     )
-    item_values = F.size(F.array_distinct(F.col("pairs.item_slots")))
-    doc_values = F.size(F.array_distinct(F.col("pairs.slots")))
-    consistent = aligned.where((item_values == F.size("pairs")) & (doc_values == F.size("pairs")))
+
+    def one_to_one(pairs: str) -> Column:
+        item_values = F.size(F.array_distinct(F.col(f"{pairs}.item_slots")))
+        doc_values = F.size(F.array_distinct(F.col(f"{pairs}.slots")))
+        return (item_values == F.size(pairs)) & (doc_values == F.size(pairs))
+
+    consistent = one_to_one("pairs")
+    cut = one_to_one("inner") & _border_fits("low", "inner", True) & _border_fits("high", "inner", False)
+    cut &= _border_fits("low", "high", True) | _border_fits("high", "low", False)
+    consistent = aligned.where(consistent | cut if run_on_names else consistent)
     words = F.transform(
         "windows", lambda w: F.sequence(w["item_place"], w["item_place"] + w["length"].cast("bigint") - 1)
     )

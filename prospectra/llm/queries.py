@@ -133,9 +133,14 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What is searched for beyond the operator's defaults, here and in the pipeline.
+DECONTAMINATION = {"run_on_names": True}
+
+
 @_query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, benchmark, **DECONTAMINATION)
 
 
 @_query

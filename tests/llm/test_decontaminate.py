@@ -105,3 +105,26 @@ def test_whole_table(spark):
     verbatim = {(d.doc_id, b.item_id) for d in docs.collect() for b in items if b.text in (d.text or "")}
     got = {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()}
     assert verbatim and got == verbatim
+
+
+def test_names_before_and_behind_an_item(spark):
+    item = "The train leaves the old station at nine. The train then runs for many long hours to see Anna"
+    other = "Anna has 5 red apples and gives 2 green apples to Tom before Anna goes home to Kim"
+    texts = [
+        (1, "Question: " + item),
+        (2, "See Bob. " + item),
+        (3, "Heading\n" + item + "\nAnswer"),
+        (4, "Yesterday " + other.replace("Anna", "Mary Ann").replace("5", "7") + " Then"),  # no sign between
+        (5, "Yesterday " + other.replace("Anna goes", "Bob goes")),  # two values for one
+        (6, "Yesterday " + other.replace("Tom", "Kim")),  # one for two
+    ]
+    items = [(1, item), (2, other)]
+    assert found(spark, texts, items) == {(1, 1), (2, 1), (3, 1)}
+    assert found(spark, texts, items, run_on_names=True) == {(1, 1), (2, 1), (3, 1), (4, 2)}
+
+
+def test_ends_of_names():
+    scan = dc.WindowScan(1, 0, None, None)
+    names = lambda text: [r["slots"][0] for r in scan.of(text.encode()) if r["slots"]]
+    assert names("Ask Dr. J. Smith, Bob: The end") == ["Ask Dr J Smith Bob", "The"]
+    assert names("New York! Rome") == ["New York", "Rome"] and names("New\nYork") == ["New", "York"]
