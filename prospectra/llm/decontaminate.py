@@ -9,6 +9,9 @@ Matching windows of a document and an item on one diagonal (place in the documen
 an alignment. It counts if its slots are consistent: every value of the item has stood for one value of the
 document and the other way round. With `run_on_names`, a name at the border of an alignment may run on into the text
 around it and is compared by its near end. An item is found if its consistent alignments cover enough of its words.
+
+With `copies`, windows of the plain words, case folded, are joined beside the template windows: copies are found
+whatever their case, and of items without literals as well. Both kinds count for themselves.
 """
 
 from __future__ import annotations
@@ -95,21 +98,32 @@ def template(text: str, matches: list[re.Match], end: int, shapes: list[str], va
     return end
 
 
-def _portions(text: str, window: int) -> Iterator[tuple[int, list[str], list[str], bool]]:
-    """Place of the first word, template words and values; portions overlap by a window less one word."""
-    matches, at, end = _WORD.finditer(text), 0, 0
+def _portions(
+    text: str, window: int, copies: bool = False
+) -> Iterator[tuple[int, list[str], list[str], int, list[str], bool]]:
+    """Place of the first word, template words and values; place of the first plain word, plain words.
+
+    Portions overlap by a window less one word.
+    """
+    matches, at, plain_at, end = _WORD.finditer(text), 0, 0, 0
+    plain: list[str] = []
     shapes: list[str] = []
     values: list[str] = []
     while True:
         words = list(islice(matches, PORTION))
         last = len(words) < PORTION
         end = template(text, words, end, shapes, values)
-        yield at, shapes, values, last
+        if copies:
+            plain += [match.group().casefold() for match in words]
+        yield at, shapes, values, plain_at, plain, last
         if last:
             return
         kept = min(len(shapes), window - 1)
         at += len(shapes) - kept
         shapes, values = shapes[len(shapes) - kept :], values[len(values) - kept :]
+        kept = min(len(plain), window - 1)
+        plain_at += len(plain) - kept
+        plain = plain[len(plain) - kept :]
 
 
 def _hashes(codes: np.ndarray, length: int) -> np.ndarray:
@@ -125,11 +139,14 @@ def _bits(hashes: np.ndarray) -> list[np.ndarray]:
     return [(hashes % size).astype(np.int64), ((hashes * _STEP >> np.uint64(20)) % size).astype(np.int64)]
 
 
-_WINDOWS = "id bigint, key bigint, place bigint, length int, n_words bigint, template string, slots array<string>"
+_WINDOWS = (
+    "id bigint, key bigint, plain boolean, place bigint, length int, n_words bigint, template string, slots array<string>"
+)
 _WINDOW_SCHEMA = pa.schema(
     [
         ("id", pa.int64()),
         ("key", pa.int64()),
+        ("plain", pa.bool_()),
         ("place", pa.int64()),
         ("length", pa.int32()),
         ("n_words", pa.int64()),
@@ -140,48 +157,69 @@ _WINDOW_SCHEMA = pa.schema(
 
 
 class WindowScan:
-    """The windows of texts that can be compared, with a filter of known windows or without."""
+    """The windows of texts that can be compared, with a filter of known windows or without.
+
+    `short` are the lengths of items shorter than a window, those of plain words negative; None for items.
+    """
 
-    def __init__(self, window: int, min_literals: int, short: list[int] | None, known: np.ndarray | None):
-        self.window, self.min_literals, self.short, self.known = window, min_literals, short, known
+    def __init__(
+        self, window: int, min_literals: int, short: list[int] | None, known: np.ndarray | None, copies: bool = False
+    ):
+        self.window, self.min_literals, self.short, self.known, self.copies = window, min_literals, short, known, copies
         self.codes = _Codes()
 
     def of(self, text: bytes) -> Iterator[dict]:
         key = xxhash.xxh64_intdigest(text) - 2**63
         seen: set[tuple[int, int]] = set()
-        for at, shapes, values, last in _portions(text.decode(), self.window):
-            whole = last and at == 0
-            n_words = len(shapes) if whole else None
-            if self.short is None:  # an item: its windows, or all of it where it is shorter
-                lengths = [self.window] if len(shapes) >= self.window or not whole else [len(shapes)]
-            else:
-                lengths = [self.window, *self.short]
-            codes = np.fromiter(map(self.codes.__getitem__, shapes), np.uint64, len(shapes))
-            literal = np.fromiter((shape[0] != "<" for shape in shapes), np.int64, len(shapes))
+        for at, shapes, values, plain_at, plain, last in _portions(text.decode(), self.window, self.copies):
+            kinds = [(False, at, shapes, values)]
+            if self.copies:
+                kinds.append((True, plain_at, plain, None))
+            for kind in kinds:
+                yield from self._windows(key, *kind, seen, last)
+
+    def _windows(
+        self, key: int, plain: bool, at: int, words: list[str], values: list[str] | None, seen: set, last: bool
+    ) -> Iterator[dict]:
+        whole, sign = last and at == 0, -1 if plain else 1
+        n_words = len(words) if whole else None
+        if self.short is None:  # an item: its windows, or all of it where it is shorter
+            lengths = [self.window] if len(words) >= self.window or not whole else [len(words)]
+        else:
+            lengths = [self.window, *(n * sign for n in self.short if n * sign > 0)]
+        codes = np.fromiter(map(self.codes.__getitem__, words), np.uint64, len(words))
+        if plain:
+            literals = np.arange(len(words) + 1)
+        else:
+            literal = np.fromiter((word[0] != "<" for word in words), np.int64, len(words))
             literals = np.concatenate([[0], np.cumsum(literal)])
-            for length in lengths:
-                if not 0 < length <= len(shapes):
+        for length in lengths:
+            if not 0 < length <= len(words):
+                continue
+            enough = literals[length:] - literals[:-length] >= self.min_literals
+            hashes = _hashes(codes, length)
+            if plain:
+                hashes = ~hashes
+            if self.known is not None:
+                for bits in _bits(hashes):
+                    enough &= (self.known[bits >> 3] >> (bits & 7) & 1).astype(bool)
+            for i in np.flatnonzero(enough).tolist():
+                if (at + i, length * sign) in seen:  # in the overlap of two portions
                     continue
-                enough = literals[length:] - literals[:-length] >= self.min_literals
-                hashes = _hashes(codes, length)
-                if self.known is not None:
-                    for bits in _bits(hashes):
-                        enough &= (self.known[bits >> 3] >> (bits & 7) & 1).astype(bool)
-                for i in np.flatnonzero(enough).tolist():
-                    if (at + i, length) in seen:  # in the overlap of two portions
-                        continue
-                    if at or not last:
-                        seen.add((at + i, length))
-                    span = slice(i, i + length)
-                    yield {
-                        "key": key,
-                        "place": at + i,
-                        "length": length,
-                        "n_words": n_words,
-                        "template": " ".join(shapes[span]),
-                        "slots": [v for s, v in zip(shapes[span], values[span], strict=True) if s[0] == "<"],
-                        "hash": int(hashes[i]),
-                    }
+                if at or not last:
+                    seen.add((at + i, length * sign))
+                span = slice(i, i + length)
+                slots = [] if plain else [v for s, v in zip(words[span], values[span], strict=True) if s[0] == "<"]
+                yield {
+                    "key": key,
+                    "plain": plain,
+                    "place": at + i,
+                    "length": length,
+                    "n_words": n_words,
+                    "template": " ".join(words[span]),
+                    "slots": slots,
+                    "hash": int(hashes[i]),
+                }
 
     def batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -196,19 +234,19 @@ class WindowScan:
             yield pa.RecordBatch.from_pylist(rows, schema=_WINDOW_SCHEMA)
 
 
-def _filter_of(items: DataFrame, window: int, min_literals: int) -> tuple[np.ndarray, list[int]]:
-    """The Bloom filter of the items' windows and the lengths of items shorter than a window.
+def _filter_of(items: DataFrame, window: int, min_literals: int, copies: bool) -> tuple[np.ndarray, list[int]]:
+    """The Bloom filter of the items' windows and the lengths of items shorter than a window, as `WindowScan` has them.
 
     Each task fills a filter of the same fixed size; they are joined on the way to the driver.
     """
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = WindowScan(window, min_literals, None, None)
+        scan = WindowScan(window, min_literals, None, None, copies)
         known, lengths = np.zeros(FILTER_BITS // 8, np.uint8), set()
         for piece in slices(batches):
             for text in text_bytes(piece.column(1)):
                 rows = list(scan.of(text))
-                lengths |= {row["length"] for row in rows}
+                lengths |= {-row["length"] if row["plain"] else row["length"] for row in rows}
                 for bits in _bits(np.array([row["hash"] for row in rows], np.uint64)):
                     np.bitwise_or.at(known, bits >> 3, np.left_shift(1, bits & 7).astype(np.uint8))
         yield pa.record_batch([pa.array([known.tobytes()]), pa.array([sorted(lengths)])], ["known", "lengths"])
@@ -222,7 +260,7 @@ def _filter_of(items: DataFrame, window: int, min_literals: int) -> tuple[np.nda
 
     schema = "known binary, lengths array<bigint>"
     row = items.mapInArrow(fill, schema).repartition(1).mapInArrow(join, schema).first()
-    return np.frombuffer(bytes(row.known), np.uint8), [n for n in row.lengths if n < window]
+    return np.frombuffer(bytes(row.known), np.uint8), [n for n in row.lengths if abs(n) < window]
 
 
 def _border_fits(border: str, others: str, start: bool) -> Column:
@@ -249,29 +287,33 @@ def contaminated(
     min_literals: int = MIN_LITERALS,
     min_coverage: float = MIN_COVERAGE,
     run_on_names: bool = False,
+    copies: bool = False,
 ) -> DataFrame:
     """`doc_id`, `item_id`, `covered`, `n_words`, `coverage`: the items that a document holds.
 
     `covered` counts the item's template words in consistent alignments, `coverage` is their share. A pair
     stands once, also if rows repeat. An item shorter than a window is one window; items without a window of
-    `min_literals` literal words cannot be told from other text and are not searched. Null and empty texts
+    `min_literals` literal words cannot be told from other text and are not searched by their template. `copies`
+    also searches word by word, whatever the case, for all items of `min_literals` words or more; the columns of
+    a pair that only this finds count plain words. Null and empty texts
     hold nothing and are found nowhere. `run_on_names` also takes alignments that are consistent but for names at
     their borders that go on outside ('Yesterday Anna' for 'Anna'). Null ids are ids like others. Further columns are not read.
     """
     items = benchmark.select(F.col(item_col).cast("bigint").alias("id"), F.col(item_text_col).alias("text"))
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    known, short = _filter_of(items, window, min_literals)
+    known, short = _filter_of(items, window, min_literals, copies)
     shared = docs.sparkSession.sparkContext.broadcast(known)
-    asked = WindowScan(window, min_literals, None, None)
+    asked = WindowScan(window, min_literals, None, None, copies)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return WindowScan(window, min_literals, short, shared.value).batches(batches)
+        return WindowScan(window, min_literals, short, shared.value, copies).batches(batches)
 
-    sought = items.mapInArrow(asked.batches, _WINDOWS).dropDuplicates(["id", "key", "place", "length"])
+    sought = items.mapInArrow(asked.batches, _WINDOWS).dropDuplicates(["id", "key", "plain", "place", "length"])
     sought = materialize(
         sought.select(
             F.col("id").alias("item_id"),
             F.col("key").alias("item_key"),
+            "plain",
             F.col("place").alias("item_place"),
             "length",
             "template",
@@ -281,20 +323,25 @@ def contaminated(
         "benchmark_windows",
     )
     found = texts.mapInArrow(scan, _WINDOWS).select(
-        F.col("id").alias("doc_id"), F.col("key").alias("doc_key"), "place", "length", "template", "slots"
+        F.col("id").alias("doc_id"), F.col("key").alias("doc_key"), "plain", "place", "length", "template", "slots"
     )
     sizes = (
-        sought.groupBy("item_id", "item_key")
+        sought.groupBy("item_id", "item_key", "plain")
         .agg(F.max("n_words").alias("n_words"), F.max(F.col("item_place") + F.col("length")).alias("end"))
-        .select(F.col("item_id").alias("of"), F.col("item_key").alias("of_key"), F.coalesce("n_words", "end").alias("n_words"))
+        .select(
+            F.col("item_id").alias("of"),
+            F.col("item_key").alias("of_key"),
+            F.col("plain").alias("of_plain"),
+            F.coalesce("n_words", "end").alias("n_words"),
+        )
     )
     zipped = F.arrays_zip("item_slots", "slots")
     first = F.col("template").startswith(NAME).cast("int")
     final = F.col("template").endswith(NAME).cast("int")
     inside = F.slice(zipped, first + 1, F.greatest(F.size(zipped) - first - final, F.lit(0)))
     aligned = (
-        found.join(sought.drop("n_words"), ["template", "length"])
-        .groupBy("doc_id", "doc_key", "item_id", "item_key", (F.col("place") - F.col("item_place")).alias("shift"))
+        found.join(sought.drop("n_words"), ["template", "length", "plain"])
+        .groupBy("doc_id", "doc_key", "item_id", "item_key", "plain", (F.col("place") - F.col("item_place")).alias("shift"))
         .agg(
             F.collect_set(F.struct("item_place", "length")).alias("windows"),
             F.array_distinct(F.flatten(F.collect_set(zipped))).alias("pairs"),
@@ -317,18 +364,22 @@ def contaminated(
     words = F.transform(
         "windows", lambda w: F.sequence(w["item_place"], w["item_place"] + w["length"].cast("bigint") - 1)
     )
+    pair = ["doc_id", "doc_key", "item_id", "item_key", "plain"]
     covered = (
-        consistent.select("doc_id", "doc_key", "item_id", "item_key", F.explode(F.array_distinct(F.flatten(words))).alias("word"))
-        .groupBy("doc_id", "doc_key", "item_id", "item_key")
+        consistent.select(*pair, F.explode(F.array_distinct(F.flatten(words))).alias("word"))
+        .groupBy(*pair)
         .agg(F.countDistinct("word").alias("covered"))
     )
     sized = covered.join(
-        sizes, F.col("item_id").eqNullSafe(F.col("of")) & (F.col("item_key") == F.col("of_key"))
+        sizes,
+        F.col("item_id").eqNullSafe(F.col("of"))
+        & (F.col("item_key") == F.col("of_key"))
+        & (F.col("plain") == F.col("of_plain")),
     ).withColumn("coverage", F.col("covered") / F.col("n_words"))
     return (
         sized.where(F.col("coverage") >= min_coverage)
         .groupBy("doc_id", "item_id")
-        .agg(F.max(F.struct("coverage", "covered", "n_words")).alias("best"))
+        .agg(F.max(F.struct(~F.col("plain"), "coverage", "covered", "n_words")).alias("best"))
         .select("doc_id", "item_id", "best.covered", "best.n_words", "best.coverage")
     )
 

@@ -128,3 +128,38 @@ def test_ends_of_names():
     names = lambda text: [r["slots"][0] for r in scan.of(text.encode()) if r["slots"]]
     assert names("Ask Dr. J. Smith, Bob: The end") == ["Ask Dr J Smith Bob", "The"]
     assert names("New York! Rome") == ["New York", "Rome"] and names("New\nYork") == ["New", "York"]
+
+
+def test_copies_of_other_case_and_without_literals(spark):
+    title = "Great Expectations Of The Small Town Council Meeting In 1900 And 1901"
+    items = [(1, ITEMS[0][1]), (2, title), (3, "Über die große Straße"), (4, "Yes"), (5, "12 13 14 15 16 17 18 19 20")]
+    texts = [
+        (1, "see: " + ITEMS[0][1].upper()),
+        (2, "SEE " + ITEMS[0][1].lower() + " more"),
+        (3, "the " + title + " report"),
+        (4, title.lower()),
+        (5, "ÜBER DIE GROSSE STRASSE gehen"),
+        (6, "Yes"),
+        (7, "x 12 13 14 15 16 17 18 19 20 y"),
+        (8, ITEMS[0][1].replace("train", "tram").replace("hours", "days")),
+    ]
+    expected = {(1, 1), (2, 1), (3, 2), (4, 2), (5, 3), (7, 5)}
+    assert found(spark, texts, items, copies=True) - {(8, 1)} == expected
+    assert expected & found(spark, texts, items) == {(2, 1)}
+
+
+def test_copies_add_pairs_and_change_none(spark):
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "benchmark"))
+    old = {tuple(r) for r in dc.contaminated(docs, bench).collect()}
+    upper = docs.selectExpr("doc_id", "upper(text) AS text")
+    assert old and old <= {tuple(r) for r in dc.contaminated(docs, bench, copies=True).collect()}
+    pairs = {(r.doc_id, r.item_id) for r in dc.contaminated(upper, bench, copies=True).collect()}
+    assert {row[:2] for row in old} <= pairs
+
+
+def test_portions_give_the_same_plain_windows(monkeypatch):
+    text = " ".join(random.Random(3).choices(["a", "B", "c", "7"], k=100)).encode()
+    scan = lambda: sorted((r["place"], r["length"], r["template"]) for r in dc.WindowScan(8, 3, [-5], None, True).of(text) if r["plain"])  # noqa: E731, E501
+    whole = scan()
+    monkeypatch.setattr(dc, "PORTION", 7)
+    assert scan() == whole and len(whole) == 93 + 96
