@@ -9,7 +9,8 @@ found, and only few are compared, by the three filters of prefix joins:
 * position: words shared so far, and the shorter of what is left of both, must still reach `o`.
 
 Words that are in no template cannot be shared, so a block is reduced to its template words. The order counts
-the blocks of the whole table. Templates are a parameter; their index is as large as they are.
+the blocks of the whole table. A notice wrapped over lines is sought in windows of consecutive lines, none of them
+without words: the share must be reached by words in a row, no more than the template's over the share. Templates are a parameter; their index is as large as they are.
 """
 
 from __future__ import annotations
@@ -66,6 +67,7 @@ class Template:
     label: str
     words: frozenset[bytes]
     needed: int
+    span: int
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -75,9 +77,13 @@ def words_of(text: bytes) -> list[bytes]:
 def prepare(templates: list[tuple[str, str]], containment: float) -> list[Template]:
     if not 0 < containment <= 1:
         raise ValueError("containment must be above 0 and at most 1")
-    sets = [(label, frozenset(words_of(text.encode()))) for label, text in templates]
+    lists = [(label, words_of(text.encode())) for label, text in templates]
     # the least whole number that reaches the share; the margin takes back what 0.8 is too large in binary
-    return [Template(label, words, max(1, math.ceil(containment * len(words) - 1e-9))) for label, words in sets if words]
+    return [
+        Template(label, distinct, max(1, math.ceil(containment * len(distinct) - 1e-9)), math.ceil(len(words) / containment))
+        for label, words in lists
+        if (distinct := frozenset(words))
+    ]
 
 
 def _places(words: bytes, phrase: bytes) -> list[int]:
@@ -91,7 +97,7 @@ def _places(words: bytes, phrase: bytes) -> list[int]:
 
 _SCAN = (
     "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels array<string>, "
-    "blocks array<struct<block: bigint, start: bigint, words: array<int>>>"
+    "blocks array<struct<block: bigint, lines: bigint, start: bigint, words: array<int>, span: array<int>>>"
 )
 _SCAN_SCHEMA = pa.schema(
     [
@@ -103,11 +109,22 @@ _SCAN_SCHEMA = pa.schema(
         ("base_labels", pa.list_(pa.string())),
         (
             "blocks",
-            pa.list_(pa.struct([("block", pa.int64()), ("start", pa.int64()), ("words", pa.list_(pa.int32()))])),
+            pa.list_(
+                pa.struct(
+                    [
+                        ("block", pa.int64()),
+                        ("lines", pa.int64()),
+                        ("start", pa.int64()),
+                        ("words", pa.list_(pa.int32())),
+                        ("span", pa.list_(pa.int32())),
+                    ]
+                )
+            ),
         ),
     ]
 )
 _MATCHES_TYPE = "array<struct<block: bigint, start: bigint, template: int, label: string, containment: double>>"
+_WRAPPED_TYPE = _MATCHES_TYPE.replace("block: bigint", "block: bigint, lines: bigint")
 _MATCH = pa.struct(
     [
         ("block", pa.int64()),
@@ -119,17 +136,51 @@ _MATCH = pa.struct(
 )
 
 
-def _scan_text(text: bytes, phrases: dict[bytes, str], number: dict[bytes, int], least: int) -> dict:
-    """Counts and phrases of a text, and its lines that have enough template words for some template."""
+_WRAPPED = pa.struct([_MATCH.field(0), ("lines", pa.int64()), *(_MATCH.field(i) for i in range(1, 5))])
+
+
+def _windows(recent: list[tuple], block: int, head: list[int], least: int) -> Iterator[dict]:
+    """Windows of lines that end with a line, and may meet a template better than with a line less at either end.
+
+    Words are numbers, -1 for those of no template. `recent` has the lines before: number, first word, words and
+    last words.
+    """
+    last = set(head) - {-1}
+    known, rest, span = set(last), set(), head
+    for first, start, words, tail in reversed(recent):
+        own = set(tail) - {-1}
+        rest |= own
+        # the first and the last line must each have a template word that the others lack
+        if len(own | known) >= least and not own <= known and not last <= rest:
+            words_of_window = sorted(own | known)
+            yield {"block": first, "lines": block - first + 1, "start": start, "words": words_of_window, "span": tail + span}
+        known |= own
+        span = words + span
+
+
+def _scan_text(text: bytes, phrases: dict[bytes, str], number: dict[bytes, int], least: int, reach: int = 0) -> dict:
+    """Counts and phrases of a text, and its lines that have enough template words for some template.
+
+    Windows of lines as well, of `reach` words of the first and the last line and of fewer between them.
+    """
+    recent: list[tuple] = []
     n, places, labels, blocks, tail = 0, [], set(), [], b" "
     longest = max((phrase.count(b" ") for phrase in phrases), default=0)
     for i, line in enumerate(text.lower().split(b"\n")):
         words = _WORD.findall(line)
         if not words:
+            recent = []
             continue
         known = number.keys() & set(words)
         if len(known) >= least:
-            blocks.append({"block": i, "start": n, "words": sorted(number[word] for word in known)})
+            blocks.append({"block": i, "lines": 1, "start": n, "words": sorted(number[word] for word in known)})
+        if reach:
+            head, end = ([number.get(word, -1) for word in part] for part in (words[:reach], words[-reach:]))
+            if known and recent:
+                blocks += _windows(recent, i, head, least)
+            recent.append((i, n, head, end))
+            while sum(len(some) for _, _, some, _ in recent[1:]) >= reach:
+                del recent[0]
         # phrases may run over line ends: the last words of the lines before are looked at again
         before = tail.count(b" ") - 1
         joined = tail + b" ".join(words) + b" "
@@ -182,6 +233,33 @@ class PrefixIndex:
                 yield t, both / len(self.sets[t])
 
 
+def _most(span: list[int], words: frozenset[int], size: int) -> int:
+    """The most distinct ones of some words that stand within `size` words in a row."""
+    counts: dict[int, int] = {}
+    most = 0
+    for i, word in enumerate(span):
+        if word in words:
+            counts[word] = counts.get(word, 0) + 1
+            most = max(most, len(counts))
+        if i + 1 >= size and (out := span[i + 1 - size]) in words:
+            counts[out] -= 1
+            if not counts[out]:
+                del counts[out]
+    return most
+
+
+def _unwrapped(found: list[dict], lines: list[dict]) -> list[dict]:
+    """The best windows of each template that hold no line which meets it, none over another."""
+    taken = [(m["template"], m["block"], m["block"]) for m in lines]
+    best = []
+    for m in sorted(found, key=lambda m: (-m["containment"], m["lines"], m["block"])):
+        last = m["block"] + m["lines"] - 1
+        if not any(t == m["template"] and first <= last and m["block"] <= end for t, first, end in taken):
+            taken.append((m["template"], m["block"], last))
+            best.append(m)
+    return sorted(best, key=lambda m: (m["block"], m["template"]))
+
+
 def scan(
     docs: DataFrame,
     templates: list[tuple[str, str]] | None = None,
@@ -190,10 +268,11 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """`doc_id`, `n_words`, `n_base`, `first_word`, `last_word`, `base_labels`, `matches` of every row.
+    """`doc_id`, `n_words`, `n_base`, `first_word`, `last_word`, `base_labels`, `matches`, `wrapped` of every row.
 
     `matches` are the lines that meet a template: number of the line and of its first word, template, label and
-    share of the template's words. Words are counted from 0 over the whole text. Null and empty texts have no
+    share of the template's words. `wrapped` are the notices that only a window of lines meets: with its first line
+    and number of lines, the best windows that do not overlap one another or a line of `matches`. Words are counted from 0 over the whole text. Null and empty texts have no
     words and no matches; `first_word` and `last_word` are null without a phrase. Repeated and null ids stay
     rows of their own; other columns of `docs` are not read; an empty table gives no rows.
     """
@@ -201,11 +280,12 @@ def scan(
     sought = {p.lower().encode(): label for p, label in (PHRASES if phrases is None else phrases).items()}
     number = {word: i for i, word in enumerate(sorted(frozenset().union(*(t.words for t in prepared))))}
     least = min((t.needed for t in prepared), default=math.inf)
+    reach = max((t.span for t in prepared), default=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             rows = zip(piece.column(0).to_pylist(), text_bytes(piece.column(1)), strict=True)
-            found = [{"doc_id": i, **_scan_text(text, sought, number, least)} for i, text in rows]
+            found = [{"doc_id": i, **_scan_text(text, sought, number, least, reach)} for i, text in rows]
             yield pa.RecordBatch.from_pylist(found, schema=_SCAN_SCHEMA)
 
     chosen = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -215,15 +295,20 @@ def scan(
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            matches = [
-                [
-                    {"block": b["block"], "start": b["start"], "template": t, "label": prepared[t].label, "containment": c}
-                    for b in blocks
-                    for t, c in index.matches(b["words"])
-                ]
-                for blocks in piece.column(6).to_pylist()
-            ]
-            columns = [*piece.columns[:6], pa.array(matches, pa.list_(_MATCH))]
-            yield pa.record_batch(columns, [*_SCAN_SCHEMA.names[:6], "matches"])
-
-    return scanned.mapInArrow(join, _SCAN[: _SCAN.index("blocks")] + f"matches {_MATCHES_TYPE}")
+            matches, wrapped = [], []
+            for blocks in piece.column(6).to_pylist():
+                lines, windows = [], []
+                for b in blocks:
+                    for t, share in index.matches(b["words"]):
+                        m = {**b, "template": t, "label": prepared[t].label, "containment": share}
+                        if b["lines"] == 1:
+                            lines.append(m)
+                        elif (most := _most(b["span"], index.sets[t], prepared[t].span)) >= prepared[t].needed:
+                            windows.append({**m, "containment": most / len(index.sets[t])})
+                matches.append([{name: m[name] for name in _MATCH.names} for m in lines])
+                wrapped.append([{name: m[name] for name in _WRAPPED.names} for m in _unwrapped(windows, lines)])
+            columns = [*piece.columns[:6], pa.array(matches, pa.list_(_MATCH)), pa.array(wrapped, pa.list_(_WRAPPED))]
+            yield pa.record_batch(columns, [*_SCAN_SCHEMA.names[:6], "matches", "wrapped"])
+
+    schema = _SCAN[: _SCAN.index("blocks")] + f"matches {_MATCHES_TYPE}, wrapped {_WRAPPED_TYPE}"
+    return scanned.mapInArrow(join, schema)

@@ -52,3 +52,25 @@ def test_empty_table_and_repeated_rows(spark):
     rows = [(None, license_scan.TEMPLATES[0][1]), (1, "x"), (1, "x")]
     got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(len(r.matches) for r in got) == [0, 0, 1]
+
+
+def test_wrapped_notices(spark):
+    import textwrap
+
+    rows = []
+    for i, (_, text) in enumerate(license_scan.TEMPLATES):
+        lines = textwrap.wrap("Here it is. " + text + " and more", 30)
+        rows.append((i, "prose of some kind\n" + "\n".join(" * " + line for line in lines) + "\nother lines\n"))
+    bsd = license_scan.TEMPLATES[7][1]
+    half = bsd.index("with or")
+    rows += [(100, bsd[:half] + "\n\n" + bsd[half:]), (101, bsd[:half] + "\n" + "filler words " * 20 + "\n" + bsd[half:])]
+    rows += [(103, "released under " + "x " * 40 + "the\nlicense")]  # too far apart
+    rows += [(102, "before\n" + bsd + "\nafter")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(docs).collect()}
+    for i, (label, _) in enumerate(license_scan.TEMPLATES):
+        found = [*got[i].matches, *got[i].wrapped]
+        assert (i, label) in {(m.template, m.label) for m in found}, i
+    assert [(m.block, m.lines, m.containment) for m in got[7].wrapped] == [(1, 6, 1.0)]
+    assert not got[7].matches and got[7].wrapped[0].start == 4
+    assert [len(got[i].wrapped) for i in (100, 101, 102, 103)] == [0] * 4 and len(got[102].matches) == 1
