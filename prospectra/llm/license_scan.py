@@ -58,6 +58,8 @@ TEMPLATES = [
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
     ("reserved", "Copyright. All rights reserved."),
 ]
+#: What `scan` looks for: the templates, and those which the SQL of the query does not have.
+NOTICES = [*TEMPLATES, ("reserved", "All rights reserved.")]
 #: Share of a template's distinct words that a block must hold.
 CONTAINMENT = 0.8
 
@@ -276,7 +278,7 @@ def scan(
     words and no matches; `first_word` and `last_word` are null without a phrase. Repeated and null ids stay
     rows of their own; other columns of `docs` are not read; an empty table gives no rows.
     """
-    prepared = prepare(TEMPLATES if templates is None else templates, containment)
+    prepared = prepare(NOTICES if templates is None else templates, containment)
     sought = {p.lower().encode(): label for p, label in (PHRASES if phrases is None else phrases).items()}
     number = {word: i for i, word in enumerate(sorted(frozenset().union(*(t.words for t in prepared))))}
     least = min((t.needed for t in prepared), default=math.inf)

@@ -151,7 +151,8 @@ def op5_covariance_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_license_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = license_scan.scan(_table(spark, sf_dir, "documents"))
+    # the templates of its SQL: 'All rights reserved.' alone, which `scan` knows, has no label there
+    scanned = license_scan.scan(_table(spark, sf_dir, "documents"), license_scan.TEMPLATES)
     labels = F.array_sort(F.array_distinct(F.concat("base_labels", "matches.label", "wrapped.label")))
     share = F.coalesce(F.array_max(F.concat("matches.containment", "wrapped.containment")), F.lit(0.0))
     return scanned.select(

@@ -74,3 +74,10 @@ def test_wrapped_notices(spark):
     assert [(m.block, m.lines, m.containment) for m in got[7].wrapped] == [(1, 6, 1.0)]
     assert not got[7].matches and got[7].wrapped[0].start == 4
     assert [len(got[i].wrapped) for i in (100, 101, 102, 103)] == [0] * 4 and len(got[102].matches) == 1
+
+
+def test_all_rights_reserved_alone(spark):
+    rows = [(1, "prose\nAll rights reserved.\nmore"), (2, "All rights\nreserved."), (3, "all rights are mine")]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    labels = {r.doc_id: [m.label for m in [*r.matches, *r.wrapped]] for r in got}
+    assert labels == {1: ["reserved"], 2: ["reserved"], 3: []}
