@@ -56,6 +56,9 @@ PORTION = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+PLACEHOLDERS = [np.uint64(xxhash.xxh64_intdigest(word.encode())) for word in (NAME, NUMBER, UNIT)]
+
+
 class _Codes(dict):
     """Template word -> 64-bit code; forgets all beyond a number of words."""
 
@@ -191,7 +194,7 @@ class WindowScan:
         if plain:
             literals = np.arange(len(words) + 1)
         else:
-            literal = np.fromiter((word[0] != "<" for word in words), np.int64, len(words))
+            literal = (codes != PLACEHOLDERS[0]) & (codes != PLACEHOLDERS[1]) & (codes != PLACEHOLDERS[2])
             literals = np.concatenate([[0], np.cumsum(literal)])
         for length in lengths:
             if not 0 < length <= len(words):
@@ -288,6 +291,7 @@ def contaminated(
     min_coverage: float = MIN_COVERAGE,
     run_on_names: bool = False,
     copies: bool = False,
+    merged_values: bool = False,
 ) -> DataFrame:
     """`doc_id`, `item_id`, `covered`, `n_words`, `coverage`: the items that a document holds.
 
@@ -295,7 +299,8 @@ def contaminated(
     stands once, also if rows repeat. An item shorter than a window is one window; items without a window of
     `min_literals` literal words cannot be told from other text and are not searched by their template. `copies`
     also searches word by word, whatever the case, for all items of `min_literals` words or more; the columns of
-    a pair that only this finds count plain words. Null and empty texts
+    a pair that only this finds count plain words. `merged_values` lets several numbers or units of an item stand
+    for the same one of a document; names stay one to one. Null and empty texts
     hold nothing and are found nowhere. `run_on_names` also takes alignments that are consistent but for names at
     their borders that go on outside ('Yesterday Anna' for 'Anna'). Null ids are ids like others. Further columns are not read.
     """
@@ -354,8 +359,8 @@ def contaminated(
 
     def one_to_one(pairs: str) -> Column:
         item_values = F.size(F.array_distinct(F.col(f"{pairs}.item_slots")))
-        doc_values = F.size(F.array_distinct(F.col(f"{pairs}.slots")))
-        return (item_values == F.size(pairs)) & (doc_values == F.size(pairs))
+        told = F.filter(pairs, lambda p: p["item_slots"].rlike(r"^\p{Lu}")) if merged_values else F.col(pairs)
+        return (item_values == F.size(pairs)) & (F.size(F.array_distinct(told["slots"])) == F.size(told))
 
     consistent = one_to_one("pairs")
     cut = one_to_one("inner") & _border_fits("low", "inner", True) & _border_fits("high", "inner", False)

@@ -163,3 +163,11 @@ def test_portions_give_the_same_plain_windows(monkeypatch):
     whole = scan()
     monkeypatch.setattr(dc, "PORTION", 7)
     assert scan() == whole and len(whole) == 93 + 96
+
+
+def test_numbers_that_became_equal(spark):
+    item = ITEMS[1][1]
+    same = item.replace("5", "4").replace("2", "4")
+    texts = [(1, same), (2, item.replace("Tom", "Bob").replace("Anna Maria", "Bob"))]  # names stay apart
+    assert found(spark, texts, merged_values=True) == {(1, 2)}
+    assert found(spark, texts) == set()
