@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prospectra.llm import bpe, chat, decontaminate, license_scan, outliers, quality, sharding, simhash, token_files, wordpiece
+from prospectra.llm import bpe, chat, decontaminate, license_scan, outliers, periods, quality, sharding, simhash, token_files, wordpiece
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -225,3 +226,33 @@ def op4_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_longest_match_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return wordpiece.token_counts(_table(spark, sf_dir, "documents"), vocabulary)
+
+
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a tenth of the documents go on with the period that their id names."""
+    if doc_id is None or not words:
+        return words
+    mark, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if mark % 10:
+        return words
+    start = mark // 10 % n
+    unit = words[start : start + 1 + (n - start) // (3 + mark // 10 % 8)]
+    return words[:start] + (unit * ((n - start) // len(unit) + 1))[: n - start]
+
+
+@_query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(_table(spark, sf_dir, "documents"), prepare=planted_period)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))
+    best = F.array_min(ranked)
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-1000 * best.less div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
