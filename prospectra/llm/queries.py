@@ -11,7 +11,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prospectra.llm import bpe, chat, decontaminate, license_scan, outliers, periods, quality, sharding, simhash, token_files, wordpiece
+from prospectra.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    embedding_dedup,
+    license_scan,
+    outliers,
+    periods,
+    quality,
+    sharding,
+    simhash,
+    token_files,
+    wordpiece,
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -256,3 +269,35 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@_query
+def op11_collision_count_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+ORACLES["op11_collision_count_dedup"] = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+),
+usable AS (
+    SELECT vec_id, x FROM vectors
+    WHERE vec_id IS NOT NULL AND len(x) > 0
+        AND len(list_filter(x, v -> v IS NOT NULL AND isfinite(v))) = len(x)
+        AND len(list_filter(x, v -> v <> 0)) > 0
+),
+pairs AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_cosine_similarity(a.x, b.x) >= 0.95
+),
+reach AS (
+    SELECT a AS vec_id, a AS other FROM pairs
+    UNION SELECT reach.vec_id, pairs.b FROM reach JOIN pairs ON pairs.a = reach.other
+),
+roots AS (SELECT vec_id, min(other) AS root FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id,
+    coalesce(vec_id = coalesce(root, vec_id), false) AS kept
+FROM vectors LEFT JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
