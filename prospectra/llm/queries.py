@@ -16,6 +16,7 @@ from prospectra.llm import (
     chat,
     decontaminate,
     embedding_dedup,
+    hard_negatives,
     license_scan,
     outliers,
     periods,
@@ -283,8 +284,8 @@ WITH RECURSIVE vectors AS (
 usable AS (
     SELECT vec_id, x FROM vectors
     WHERE vec_id IS NOT NULL AND len(x) > 0
-        AND len(list_filter(x, v -> v IS NOT NULL AND isfinite(v))) = len(x)
-        AND len(list_filter(x, v -> v <> 0)) > 0
+        AND len([v for v in x if v IS NOT NULL AND isfinite(v)]) = len(x)
+        AND len([v for v in x if v <> 0]) > 0
 ),
 pairs AS (
     SELECT a.vec_id AS a, b.vec_id AS b
@@ -301,3 +302,37 @@ SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id
     coalesce(vec_id = coalesce(root, vec_id), false) AS kept
 FROM vectors LEFT JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
 """
+
+
+@_query
+def op12_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op12_cover_tree_negatives"] = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * v::DOUBLE) for v in embedding] AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len([v for v in embedding if v IS NOT NULL AND isfinite(v)]) = len(embedding)
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+        CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+),
+negatives AS (
+    SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+"""
