@@ -149,7 +149,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: What is searched for beyond the operator's defaults, here and in the pipeline.
-DECONTAMINATION = {"run_on_names": True, "copies": True, "merged_values": True}
+DECONTAMINATION = {"run_on_names": True, "copies": True, "merged_values": True, "short_items": True}
 
 
 @_query

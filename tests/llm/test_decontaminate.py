@@ -3,6 +3,7 @@
 import random
 
 from prospectra.llm import decontaminate as dc
+from prospectra.llm.queries import DECONTAMINATION
 
 ITEMS = [
     (1, "A train leaves Boston at 9 and travels 120 km in 3 hours before it meets the train from Boston, how fast was it?"),
@@ -171,3 +172,140 @@ def test_numbers_that_became_equal(spark):
     texts = [(1, same), (2, item.replace("Tom", "Bob").replace("Anna Maria", "Bob"))]  # names stay apart
     assert found(spark, texts, merged_values=True) == {(1, 2)}
     assert found(spark, texts) == set()
+
+
+def plain_template(text):
+    """Template words and values by a scan over the characters, without anything of the operator."""
+    words = []  # word, start, end
+    i = 0
+    letter = lambda c: c.isalnum() and not c.isdecimal()
+    while i < len(text):
+        j = i
+        if text[i].isdecimal():
+            while j < len(text) and text[j].isdecimal():
+                j += 1
+                if j + 1 < len(text) and text[j] in ".," and text[j + 1].isdecimal():
+                    j += 1
+        else:
+            while j < len(text) and letter(text[j]):
+                j += 1
+        if j > i:
+            words.append((text[i:j], i, j))
+        i = max(j, i + 1)
+    shapes, values = [], []
+    for k, (word, start, _) in enumerate(words):
+        before, gap = words[k - 1][0] if k else "", text[words[k - 1][2] : start] if k else ""
+        if word[0].isdigit():
+            shape = "<NUM>"
+        elif shapes and shapes[-1] == "<NUM>" and word.lower() in dc.UNITS:
+            shape = "<UNIT>"
+        elif word[0].isupper():
+            shape = "<NAME>"
+            stop = not any(c in gap for c in ".:;!?…\n\r  ")
+            stop |= (len(before) == 1 or before in ("Mr", "Mrs", "Ms", "Dr", "Prof", "St")) and gap.strip(" \t") == "." and gap[0] == "."
+            if shapes and shapes[-1] == "<NAME>" and stop:
+                values[-1] += " " + word
+                continue
+        else:
+            shape = word.lower()
+        shapes.append(shape)
+        values.append(word)
+    return shapes, values, [word.casefold() for word, _, _ in words]
+
+
+def registered(texts, items):
+    """The pairs that the query's options find, by all pairs of windows."""
+    hits = set()
+    for item_id, item in items:
+        of_item = plain_template(item)
+        for doc_id, text in texts:
+            own = plain_template(text)
+            if plain_pair(of_item[2], own[2]) or template_pair(of_item, own):
+                hits.add((doc_id, item_id))
+    return hits
+
+
+def plain_pair(item, text):
+    size = min(8, len(item))
+    covered = set()
+    for a in range(len(item) - size + 1 if item else 0):
+        if any(text[b : b + size] == item[a : a + size] for b in range(len(text) - size + 1)):
+            covered |= set(range(a, a + size))
+    return bool(item) and len(covered) >= 0.5 * len(item)
+
+
+def template_pair(item, text):
+    (shapes, values, _), (others, theirs, _) = item, text
+    size, covered = min(8, len(shapes)), set()
+    for shift in range(-len(shapes), len(others)):
+        windows = [
+            a
+            for a in range(max(0, -shift), len(shapes) - size + 1)
+            if size and shapes[a : a + size] == others[a + shift : a + shift + size]
+            and sum(s[0] != "<" for s in shapes[a : a + size]) >= 4
+        ]
+        slot = lambda k: (values[k], theirs[k + shift])
+        slots = [[k for k in range(a, a + size) if shapes[k][0] == "<"] for a in windows]
+        low = {slot(s[0]) for a, s in zip(windows, slots) if shapes[a] == "<NAME>"}
+        high = {slot(s[-1]) for a, s in zip(windows, slots) if shapes[a + size - 1] == "<NAME>"}
+        inner = set()
+        for a, s in zip(windows, slots):
+            inner |= {slot(k) for k in s if not (shapes[k] == "<NAME>" and k in (a, a + size - 1))}
+        every = {slot(k) for s in slots for k in s}
+        fits = one_each(inner) and agree(low, inner, True) and agree(high, inner, False)
+        if one_each(every) or (fits and (agree(low, high, True) or agree(high, low, False))):
+            covered |= {k for a in windows for k in range(a, a + size)}
+    return bool(shapes) and len(covered) >= 0.5 * len(shapes)
+
+
+def one_each(pairs):
+    names = [theirs for mine, theirs in pairs if mine[0].isupper()]
+    return len({mine for mine, _ in pairs}) == len(pairs) and len(set(names)) == len(names)
+
+
+def agree(border, others, start):
+    for mine, theirs in border:
+        for x, y in others:
+            longer = theirs.endswith(" " + y) if start else theirs.startswith(y + " ")
+            if (x == mine and not (theirs == y or longer)) or (x != mine and theirs == y):
+                return False
+    return True
+
+
+def test_registered_options_against_all_pairs(spark):
+    rng = random.Random(11)
+    words = ["a", "b", "C", "D", "Dr", "J", "7", "8", "km", "e", "f", "g", "h"]
+    gaps = [" ", " ", " ", " ", ", ", ". ", ": ", "\n"]
+    text = lambda n: "".join(rng.choice(words) + rng.choice(gaps) for _ in range(n))
+    items = [(k, text(rng.choice([1, 2, 3, 5, 8, 12, 20]))) for k in range(30)]
+    texts = []
+    for k in range(90):
+        base = rng.choice(items)[1].split(" ")
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            base[rng.randrange(len(base))] = rng.choice(words)
+        base = " ".join(base)
+        texts.append((k, text(4) + rng.choice([base, base.upper(), base.lower()]) + " " + text(4)))
+    got = found(spark, texts, items, **DECONTAMINATION)
+    assert got == registered(texts, items) and got - found(spark, texts, items)
+
+
+def test_items_of_few_words(spark):
+    items = [(1, "Solve it now"), (2, "Yes"), (3, "Straße 9"), (4, "...")]
+    texts = [(1, "please SOLVE it, now!"), (2, "solve it not now"), (3, "yes"), (4, "STRASSE 9"), (5, None), (6, "...")]
+    assert found(spark, texts, items, copies=True, short_items=True) == {(1, 1), (3, 2), (4, 3)}
+    assert found(spark, texts, items, copies=True) == set()
+
+
+def test_pieces_of_a_long_text_give_the_same_windows(monkeypatch):
+    rng = random.Random(5)
+    text = "".join(rng.choice(["a", "B", "Dr", "J", "7", "km"]) + rng.choice([" ", ". ", "\n", " - "]) for _ in range(200)).encode()
+    scan = lambda: sorted(map(str, dc.WindowScan(8, 3, [5, -6], None, True).of(text)))
+    whole = scan()
+    monkeypatch.setattr(dc, "PIECE", 9)
+    monkeypatch.setattr(dc, "PORTION", 5)
+    assert scan() == whole
+
+
+def test_long_text_through_a_data_frame(spark):
+    long = "word " * 400_000 + ITEMS[1][1] + " and " * 300_000
+    assert found(spark, [(1, long)]) == {(1, 2)}
