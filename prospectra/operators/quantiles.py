@@ -1,22 +1,30 @@
 """Exact quantiles and modes of whole columns.
 
 The built-in `percentile`, `median` and `mode` hold every distinct value of a column in the memory
-of one task. Here a quantile takes two passes that move next to nothing: a sketch brackets it, then
-the rows are counted per side of the bracket and per value inside it. A mode counts the values with
-a shuffle that keeps them spread over the executors.
+of one task. Here quantiles are found by narrowing: the bits of a double, read as a whole number, ascend
+with the double, so a pass counts the values per cell of equal leading bits, for all columns in the
+same scan, and the next pass only looks into the cells in which a rank lies. A task sends a histogram
+of bounded size, no row is moved or repeated per column, and no pass depends on a sketch. A mode
+counts the values with a shuffle that keeps them spread over the executors.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prospectra.functions import named
-from prospectra.operators.prefix import running_totals
 
-_SKETCH_ACCURACY = 10_000
+#: Leading bits of the first pass's cells, sign and exponent among them, and bits that each later pass adds.
+_FIRST, _BITS = 17, 12
+#: Values of a cell that are fetched as they are instead of being narrowed further.
+_FETCHED = 16_384
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
@@ -47,18 +55,9 @@ def column_quantiles(
     if accuracy is not None:
         sketch = _sketch(df, columns, list(probabilities), accuracy)
         return sketch.where(F.col("total") > 0).select("column", "quantiles")
-    # What is collected below is a few numbers per column.
-    brackets = _brackets(df, columns, probabilities)
-    rows = _interpolated(_bracket_counts(df, brackets), probabilities) if brackets else []
-    missed = [row["column"] for row in rows if None in row["quantiles"]]
-    if missed:
-        # The sketch strayed further than it promises: count every value of those columns.
-        whole = {c: [(float("-inf"), float("inf"))] for c in missed}
-        rows = [row for row in rows if row["column"] not in missed]
-        rows += _interpolated(_bracket_counts(df, whole), probabilities)
+    found = _narrowed(df, list(columns), list(probabilities))
     return df.sparkSession.createDataFrame(
-        [(row["column"], row["quantiles"]) for row in rows],
-        "column string, quantiles array<double>",
+        list(found.items()), "column string, quantiles array<double>"
     )
 
 
@@ -81,76 +80,129 @@ def _sketch(
     return df.agg(F.array(*sketches).alias("rows")).select(F.inline("rows"))
 
 
-def _brackets(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> dict[str, list[tuple[float, float]]]:
-    """Per column, disjoint ascending intervals that should hold the quantiles.
-
-    Two sketch errors wide on either side. What reaches the driver is two numbers per quantile.
-    """
-    slack = 2.0 / _SKETCH_ACCURACY
-    ends = [end for p in probabilities for end in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    brackets = {}
-    for row in _sketch(df, columns, ends, _SKETCH_ACCURACY).where("total > 0").collect():
-        merged: list[tuple[float, float]] = []
-        for low, high in sorted(zip(row["quantiles"][::2], row["quantiles"][1::2])):
-            if merged and low <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
-            else:
-                merged.append((low, high))
-        brackets[row["column"]] = merged
-    return brackets
-
-
-def _bracket_counts(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
-    """(column, place, value, n): rows per value inside the intervals, rows per gap between them.
-
-    Places ascend with the values: 0 below the first interval, 1 inside it, 2 after it, and so on;
-    the gaps, at even places, have no value. Rows are counted in the tasks that read them.
-    """
-    parts = []
-    for name, intervals in brackets.items():
-        value = _number(name)
-        place = sum(
-            ((value >= low).cast("int") + (value > high).cast("int") for low, high in intervals),
-            F.lit(0),
-        )
-        parts.append(
-            F.struct(
-                F.lit(name).alias("column"),
-                place.alias("place"),
-                F.when(place % 2 == 1, value).alias("value"),
-            )
-        )
+def _codes(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the doubles; both zeros are one."""
+    bits = (values + 0.0).view(np.int64)
+    return bits ^ (bits >> 63 & np.iinfo(np.int64).max)
+
+
+def _value(code: int) -> float:
+    return float(np.array([code ^ (code >> 63 & np.iinfo(np.int64).max)], np.int64).view(np.float64)[0])
+
+
+@dataclass
+class _Cell:
+    """A stretch of codes of one column in which ranks lie: those from `low` to `high`, behind `before` others."""
+
+    column: int
+    low: int
+    high: int
+    before: int
+    shift: int
+    ranks: set[int] = field(default_factory=set)
+
+
+def _histogram(codes: np.ndarray, counts: np.ndarray, lows: np.ndarray, highs: np.ndarray, shift: int):
+    """Codes in ascending order, added up by cell: number, smallest and largest code."""
+    cells = codes >> shift
+    starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+    ends = np.append(starts[1:], len(cells)) - 1
+    return cells[starts], np.add.reduceat(counts, starts), lows[starts], highs[ends]
+
+
+def _pass(df: DataFrame, cells: list[_Cell]) -> pa.Table:
+    """(target, low, high, n) per cell of the next level within each of `cells`, in one scan."""
+    shifts = [cell.shift for cell in cells]
+    columns = sorted({cell.column for cell in cells})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = [[] for _ in cells]
+
+        def add_up(k: int) -> None:
+            low, high, n = (np.concatenate(part) for part in zip(*held[k]))
+            order = np.argsort(low, kind="stable")
+            _, n, low, high = _histogram(low[order], n[order], low[order], high[order], shifts[k])
+            held[k] = [(low, high, n)]
+
+        for batch in batches:
+            codes = {}
+            for place, column in enumerate(columns):
+                values = batch.column(place).drop_null().to_numpy(zero_copy_only=False)
+                codes[column] = _codes(values[~np.isnan(values)])
+            for k, cell in enumerate(cells):
+                own = codes[cell.column]
+                own = own[(own >= cell.low) & (own <= cell.high)]
+                if len(own):
+                    distinct, n = np.unique(own, return_counts=True)
+                    _, n, low, high = _histogram(distinct, n, distinct, distinct, shifts[k])
+                    held[k].append((low, high, n))
+                    if len(held[k]) > 64:
+                        add_up(k)
+        for k in range(len(cells)):
+            if held[k]:
+                add_up(k)
+                low, high, n = (pa.array(part) for part in held[k][0])
+                yield pa.record_batch([pa.array([k] * len(n), pa.int32()), low, high, n], ["target", "low", "high", "n"])
+
+    wanted = df.select(*[named(df.columns[c]).cast("double").alias(f"_{c}") for c in columns])
+    counted = wanted.mapInArrow(count, "target int, low bigint, high bigint, n bigint")
+    levels = sorted(set(shifts))
+    level = F.get(F.array(*[F.lit(levels.index(s)) for s in shifts]), F.col("target"))
+    cell = F.get(F.array(*[F.shiftright("low", s) for s in levels]), level)
     return (
-        df.select(F.inline(F.array(*parts)))
-        .where(F.col("place").isNotNull())
-        .groupBy("column", "place", "value")
-        .agg(F.count("*").alias("n"))
+        counted.groupBy("target", cell.alias("cell"))
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+        .drop("cell")
+        .toArrow()  # per target a row for each cell that has values, whatever the number of rows
     )
 
 
-def _interpolated(counts: DataFrame, probabilities: Sequence[float]) -> list[Row]:
-    """(column, quantiles) rows; a quantile whose ranks fall into a gap is None."""
-    ranked = running_totals(counts, ["place", "value"], ["n"], ["column"])
-    # One row per column.
-    totals = ranked.groupBy("column").agg(F.max("cum_n").alias("total"))
-    ranked = ranked.join(F.broadcast(totals), "column")
-    low, high = [], []
-    for p in probabilities:
-        place = F.lit(float(p)) * (F.col("total") - 1)
-        for ranks, rank in ((low, F.floor(place)), (high, F.ceil(place))):
-            here = (F.col("cum_n") - F.col("n") <= rank) & (rank < F.col("cum_n"))
-            ranks.append(F.max(F.when(here, F.col("value"))))
-    at_ranks = ranked.groupBy("column").agg(
-        F.max("total").alias("total"), F.array(*low).alias("low"), F.array(*high).alias("high")
-    )
-    interpolated = []
-    for i, p in enumerate(probabilities):
-        place = F.lit(float(p)) * (F.col("total") - 1)
-        a, b = F.col("low")[i], F.col("high")[i]
-        interpolated.append(a + (b - a) * (place - F.floor(place)))
-    return at_ranks.select("column", F.array(*interpolated).alias("quantiles")).collect()
+def _narrowed(df: DataFrame, names: list[str], probabilities: list[float]) -> dict[str, list[float]]:
+    """Quantiles of the columns that have values."""
+    lowest, highest = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    open_cells = [_Cell(df.columns.index(c), int(lowest), int(highest), 0, 64 - _FIRST) for c in names]
+    totals: dict[int, int] = {}
+    at_rank: dict[tuple[int, int], float] = {}
+    while open_cells:
+        table = _pass(df, open_cells).sort_by([("target", "ascending"), ("low", "ascending")])
+        targets, low, high, n = (table.column(c).to_numpy() for c in ("target", "low", "high", "n"))
+        following = []
+        for k, cell in enumerate(open_cells):
+            of = slice(*np.searchsorted(targets, [k, k + 1]))
+            upto = cell.before + np.cumsum(n[of])
+            if not cell.ranks:  # the first pass counts the values
+                if not len(upto):
+                    continue
+                totals[cell.column] = int(upto[-1])
+                cell.ranks = {r for p in probabilities for r in _ranks(p, totals[cell.column])}
+            inside: dict[int, _Cell] = {}
+            for rank in cell.ranks:
+                i = int(np.searchsorted(upto, rank, side="right"))
+                least, most, count = int(low[of][i]), int(high[of][i]), int(n[of][i])
+                if least == most:
+                    at_rank[cell.column, rank] = _value(least)
+                    continue
+                below = 0 if count <= _FETCHED else max(0, cell.shift - _BITS)
+                target = inside.setdefault(i, _Cell(cell.column, least, most, int(upto[i]) - count, below))
+                target.ranks.add(rank)
+            following += inside.values()
+        open_cells = following
+    found = {}
+    for name in names:
+        column = df.columns.index(name)
+        if column not in totals:
+            continue
+        found[name] = []
+        for p in probabilities:
+            place = p * (totals[column] - 1)
+            a, b = (at_rank[column, r] for r in _ranks(p, totals[column]))
+            found[name].append(a if a == b else a + (b - a) * (place - math.floor(place)))
+    return found
+
+
+def _ranks(probability: float, total: int) -> tuple[int, int]:
+    place = probability * (total - 1)
+    return math.floor(place), math.ceil(place)
 
 
 def column_modes(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:

@@ -91,10 +91,30 @@ def test_quantiles_of_few_rows(spark):
     check_quantiles(spark, pd.DataFrame({"x": [4.0]}), [0.5])
 
 
-def test_quantiles_survive_a_poor_sketch(spark, monkeypatch):
-    """Brackets that miss the ranks are noticed, and all values are counted instead."""
-    monkeypatch.setattr(quantiles, "_brackets", lambda df, columns, p: {c: [(5.0, 6.0)] for c in columns})
-    check_quantiles(spark, quantile_frame(), [0.25, 0.5])
+@pytest.mark.parametrize("fetched", [1, 50])
+def test_quantiles_by_many_passes(spark, monkeypatch, fetched):
+    """Cells are narrowed down to single values where none may be fetched."""
+    monkeypatch.setattr(quantiles, "_FETCHED", fetched)
+    check_quantiles(spark, quantile_frame(), [0.0, 0.25, 0.5, 0.999, 1.0])
+
+
+def test_quantiles_of_any_double(spark):
+    values = [-0.0, 0.0, 5e-324, -5e-324, 1e308, -1e308, float("inf"), float("-inf"), 1.0, -1.0, float("nan"), None]
+    df = spark.createDataFrame([(v, 1, "x") for v in values], "`my col` double, n int, s string")
+    found = column_quantiles(df, ["n", "my col"], [i / 9 for i in range(10)]).collect()
+    ordered = sorted(v + 0.0 for v in values if v is not None and v == v)
+    assert {r["column"]: r["quantiles"] for r in found} == {"n": [1.0] * 10, "my col": ordered}
+    whole = spark.range(-(2**53), -(2**53) + 2001).union(spark.range(2000))
+    assert column_quantiles(whole, ["id"], [0.25, 0.75]).first()["quantiles"] == [-(2.0**53) + 1000, 999.0]
+
+
+def test_quantiles_repeat_no_rows(spark):
+    """The values are read by column: no row per column, no shuffle of values."""
+    df = spark.range(10).select(F.col("id").alias("a"), F.col("id").alias("b"))
+    cells = [quantiles._Cell(c, -(2**63), 2**63 - 1, 0, 52) for c in (0, 1)]
+    assert quantiles._pass(df, cells).num_rows < 20
+    plan = column_quantiles(df, ["a", "b"], [0.5])._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "Sort" not in plan
 
 
 def test_quantiles_skip_empty_columns(spark):
