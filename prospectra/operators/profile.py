@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prospectra.functions import named, numeric_columns
 from prospectra.operators.quantiles import column_quantiles
+from prospectra.sources.scratch import materialize
 
 _QUARTILES = (0.25, 0.5, 0.75)
 
@@ -28,15 +32,38 @@ def profile_shape(df: DataFrame) -> DataFrame:
     return rows.select("n_rows", "n_columns", F.inline(columns))
 
 
+def row_fingerprint(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a whole row that differ in what is hashed first; NULLs count by their place."""
+    columns = [named(c) for c in df.columns]
+    # hashing passes over a NULL, so which columns are NULL is hashed beside the values
+    missing = [
+        reduce(add, [F.when(c.isNull(), 1 << i).otherwise(0) for i, c in enumerate(columns[k : k + 30])])
+        for k in range(0, len(columns), 30)
+    ]
+    return [F.xxhash64(*missing, *columns), F.xxhash64(*columns, *missing)]
+
+
 def profile_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in every column: count and percent."""
-    distinct = df.groupBy(*[named(c) for c in df.columns]).agg(F.count("*").alias("_n"))
-    surplus = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
-    return distinct.agg(
-        surplus.alias("n_duplicate_rows"),
-        F.coalesce(F.try_divide(surplus * 100.0, F.sum("_n")), F.lit(0.0)).alias(
-            "pct_duplicate_rows"
-        ),
+    """Rows that repeat an earlier row in every column: count and percent.
+
+    Rows are counted by a fingerprint of 16 bytes, and that is all that is shuffled of them. Only the rows whose
+    fingerprint repeats are read again and compared as a whole.
+    """
+    prints = ["_print_0", "_print_1"]
+    marked = dict(zip(prints, row_fingerprint(df), strict=True))
+    counted = df.select(*[mark.alias(name) for name, mark in marked.items()]).groupBy(*prints).agg(F.count("*").alias("n"))
+    found = counted.agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated")).first()
+    n_rows = F.lit(found.rows or 0).cast("bigint")
+    if not found.repeated:
+        surplus = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("_n"))
+    else:
+        repeated = materialize(counted.where("n > 1").select(*prints), "repeated-fingerprints")
+        again = df.withColumns(marked).join(repeated, prints, "left_semi")
+        exact = again.groupBy(*[named(c) for c in df.columns]).agg(F.count("*").alias("_n"))
+        surplus = exact.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_n"))
+    return surplus.select(
+        F.col("_n").alias("n_duplicate_rows"),
+        F.coalesce(F.try_divide(F.col("_n") * 100.0, n_rows), F.lit(0.0)).alias("pct_duplicate_rows"),
     )
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from prospectra.operators import profile
 from prospectra.operators.profile import (
     profile_duplicate_rows,
     profile_missing,
@@ -229,3 +230,17 @@ def test_profile(spark):
         assert found == pytest.approx(pdf[name].tolist())
     rough = profile_numeric(df, accuracy=100).where("column = 'n'").first()
     assert rough["p50"] in (1.0, 2.0)
+
+
+def test_duplicate_rows_tell_nulls_and_equal_fingerprints_apart(spark, monkeypatch):
+    rows = [(None, 5, "x"), (5, None, "x"), (None, 5, "x"), (None, None, None), (None, None, None), (0, 5, ""), (0, 5, None)]
+    df = spark.createDataFrame(rows, "a int, `my col` int, s string").repartition(3)
+    assert tuple(profile_duplicate_rows(df).first()) == (2, pytest.approx(200 / 7))
+    # rows whose fingerprints are equal by chance are compared as a whole
+    monkeypatch.setattr(profile, "row_fingerprint", lambda df: [F.lit(1).cast("bigint"), F.lit(2).cast("bigint")])
+    assert tuple(profile_duplicate_rows(df).first()) == (2, pytest.approx(200 / 7))
+    assert tuple(profile_duplicate_rows(df.distinct()).first()) == (0, 0.0)
+    wide = spark.range(3).select(*[F.when(F.col("id") != i % 3, 1).alias(f"c{i}") for i in range(70)])
+    assert profile_duplicate_rows(wide.union(wide.limit(1))).first()["n_duplicate_rows"] == 1
+    doubles = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),)], "x double")
+    assert profile_duplicate_rows(doubles).first()["n_duplicate_rows"] == 2
