@@ -58,7 +58,7 @@ TEMPLATES = [
     ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
     ("reserved", "Copyright. All rights reserved."),
 ]
-#: What `scan` looks for: the templates, and those which the SQL of the query does not have.
+#: What is looked for if nothing else is asked.
 NOTICES = [*TEMPLATES, ("reserved", "All rights reserved.")]
 #: Share of a template's distinct words that a block must hold.
 CONTAINMENT = 0.8
@@ -148,15 +148,15 @@ def _windows(recent: list[tuple], block: int, head: list[int], least: int) -> It
     last words.
     """
     last = set(head) - {-1}
-    known, rest, span = set(last), set(), head
+    between, span = set(), head
     for first, start, words, tail in reversed(recent):
         own = set(tail) - {-1}
-        rest |= own
-        # the first and the last line must each have a template word that the others lack
-        if len(own | known) >= least and not own <= known and not last <= rest:
-            words_of_window = sorted(own | known)
-            yield {"block": first, "lines": block - first + 1, "start": start, "words": words_of_window, "span": tail + span}
-        known |= own
+        # The words in a row that meet a template hold all of the lines between, and a part of the first and the last
+        # line. Either is needed only if it has a template word that the lines between lack.
+        if not last <= between and not own <= between and len(found := own | between | last) >= least:
+            yield {"block": first, "lines": block - first + 1, "start": start, "words": sorted(found), "span": tail + span}
+        between.update(words)
+        between.discard(-1)
         span = words + span
 
 

@@ -166,8 +166,7 @@ def op5_covariance_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op2_license_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the templates of its SQL: 'All rights reserved.' alone, which `scan` knows, has no label there
-    scanned = license_scan.scan(_table(spark, sf_dir, "documents"), license_scan.TEMPLATES)
+    scanned = license_scan.scan(_table(spark, sf_dir, "documents"))
     labels = F.array_sort(F.array_distinct(F.concat("base_labels", "matches.label", "wrapped.label")))
     share = F.coalesce(F.array_max(F.concat("matches.containment", "wrapped.containment")), F.lit(0.0))
     return scanned.select(
@@ -183,15 +182,15 @@ def op2_license_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """Every line against every template, without filters."""
+    """Every line and every stretch of words over lines against every template, without filters."""
 
     def words(text: str) -> str:
         return "[" + ", ".join(f"'{word.decode()}'" for word in sorted(set(license_scan.words_of(text.encode())))) + "]"
 
-    prepared = license_scan.prepare(license_scan.TEMPLATES, license_scan.CONTAINMENT)
+    prepared = license_scan.prepare(license_scan.NOTICES, license_scan.CONTAINMENT)
     templates = ", ".join(
-        f"('{label}', {words(text)}, {t.needed})"
-        for (label, text), t in zip(license_scan.TEMPLATES, prepared, strict=True)
+        f"({i}, '{label}', {words(text)}, {t.needed}, {t.span})"
+        for i, ((label, text), t) in enumerate(zip(license_scan.NOTICES, prepared, strict=True))
     )
     phrases = ", ".join(
         f"('{label}', [{', '.join(repr(word) for word in phrase.split())}])"
@@ -200,7 +199,7 @@ def _license_sql() -> str:
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     pattern = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     return f"""
-WITH templates (label, words, needed) AS (VALUES {templates}),
+WITH templates (t, label, words, needed, span) AS (VALUES {templates}),
 phrases (label, words) AS (VALUES {phrases}),
 texts AS (SELECT doc_id, {lower} AS text FROM documents),
 worded AS (SELECT doc_id, regexp_extract_all(text, {pattern}) AS words FROM texts),
@@ -211,11 +210,45 @@ base AS (
     FROM starts JOIN phrases p ON starts.words[place + 1 : place + len(p.words)] = p.words
     GROUP BY doc_id
 ),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts),
-sets AS (SELECT doc_id, list_distinct(regexp_extract_all(line, {pattern})) AS words FROM lines),
+lines AS (
+    SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line_no, unnest(string_split(text, chr(10))) AS line
+    FROM texts
+),
+placed AS (
+    SELECT doc_id, line_no, words, sum(len(words)) OVER before - len(words) AS start,
+        count(*) FILTER (len(words) = 0) OVER before AS paragraph
+    FROM (SELECT doc_id, line_no, regexp_extract_all(line, {pattern}) AS words FROM lines)
+    WINDOW before AS (PARTITION BY doc_id ORDER BY line_no)
+),
+sets AS (SELECT doc_id, line_no, list_distinct(words) AS words FROM placed),
+whole AS (
+    SELECT doc_id, line_no, t, label, len(list_intersect(s.words, m.words)) / len(m.words) AS share
+    FROM sets s JOIN templates m ON len(list_intersect(s.words, m.words)) >= m.needed
+),
+every AS (
+    SELECT doc_id, line_no, paragraph, start + unnest(range(len(words))) AS place, unnest(words) AS word FROM placed
+),
+hits AS (
+    SELECT doc_id, line_no, paragraph, place, word, t, span, needed
+    FROM every JOIN (SELECT t, span, needed, unnest(words) AS word FROM templates) USING (word)
+),
+stretches AS (
+    SELECT a.doc_id, a.t, a.paragraph, a.place AS low, b.place AS high, a.line_no AS first, b.line_no AS last, a.needed
+    FROM hits a JOIN hits b ON a.doc_id = b.doc_id AND a.t = b.t AND a.paragraph = b.paragraph AND a.line_no < b.line_no
+        AND b.place < a.place + a.span AND b.place >= a.place + a.needed - 1
+),
+wrapped AS (
+    SELECT s.doc_id, s.t, s.first, s.last, count(DISTINCT h.word) AS n
+    FROM stretches s JOIN hits h ON h.doc_id = s.doc_id AND h.t = s.t AND h.place BETWEEN s.low AND s.high
+    GROUP BY s.doc_id, s.t, s.first, s.last, s.low, s.high, s.needed HAVING count(DISTINCT h.word) >= s.needed
+),
 met AS (
-    SELECT doc_id, label, len(list_intersect(s.words, t.words)) / len(t.words) AS share
-    FROM sets s JOIN templates t ON len(list_intersect(s.words, t.words)) >= t.needed
+    SELECT doc_id, label, share FROM whole
+    UNION ALL
+    SELECT w.doc_id, m.label, w.n / len(m.words) FROM wrapped w JOIN templates m USING (t)
+    WHERE NOT EXISTS (
+        FROM whole l WHERE l.doc_id = w.doc_id AND l.t = w.t AND l.line_no BETWEEN w.first AND w.last
+    )
 ),
 found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share FROM met GROUP BY doc_id)
 SELECT w.doc_id, len(w.words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
