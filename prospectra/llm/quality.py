@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prospectra.llm.batches import slices, text_bytes
 from prospectra.sources.scratch import materialize
@@ -82,7 +83,11 @@ def _add_contexts(total: np.ndarray, index: np.ndarray, rows: np.ndarray) -> Non
 
 
 def context_sums(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """The summed context vectors of all rows of the model, over all documents."""
+    """The summed context vectors of all rows of the model, over all documents.
+
+    Repeated rows count each time; null and empty texts add nothing, and an empty table gives zeros. A context does not
+    reach over the end of a portion, which only texts of more than `PORTION` * 8 bytes have.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, index, rows = np.zeros((ROWS, DIMENSIONS), np.int64), index_vectors(), _Rows()
@@ -235,8 +240,9 @@ def fit(
     """Word vectors from all documents, the network from at most `max_labelled` labelled ones.
 
     Rows with `held_out` ids are never learned from. Ids that are labelled several times take the smallest
-    label; null labels and null ids are left out. Without both classes the score is the share of label 1 (0.5
-    without any label).
+    label; null labels and null ids are left out. Of the texts of a repeated id the one whose description is the smallest,
+    byte by byte, is learned. Null and empty texts are described by zeros. Without both classes, also for
+    empty tables, the score is the share of label 1 (0.5 without any label).
     """
     vectors = word_vectors(context_sums(docs, text_col))
     known = (
@@ -258,8 +264,9 @@ def fit(
             )
 
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
-    described = chosen.mapInArrow(features, "id bigint, label double, features binary").dropDuplicates(["id"])
-    rows = sorted((r.id, r.label, bytes(r.features)) for r in described.collect())
+    described = chosen.mapInArrow(features, "id bigint, label double, features binary")
+    single = described.groupBy("id").agg(F.min(F.struct("label", "features")).alias("one"))
+    rows = sorted((r.id, r.one.label, bytes(r.one.features)) for r in single.collect())
     x = np.array([np.frombuffer(r[2]) for r in rows]).reshape(-1, FEATURES)
     y = np.array([r[1] for r in rows])
     flat = [np.zeros((FEATURES, 1)), np.zeros(1), np.zeros(1), np.zeros(1)]
@@ -296,4 +303,5 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataF
                 [piece.column(0), pa.array(shared.value.probabilities(found), pa.float64())], ["row", "score"]
             )
 
-    return packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, score double")
+    # a schema in words could not hold columns whose names need quoting
+    return packed.mapInArrow(run, T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())]))

@@ -54,3 +54,22 @@ def test_edges(spark):
     long = ("word " * 10_000 + "é $ ").encode() * 30
     rows = quality._Rows()
     assert sum(map(len, quality._portions(long, rows))) == 30 * 10_002
+
+
+def test_columns_whose_names_need_quoting(spark):
+    schema = "doc_id bigint, text string, `my col` string, score double, `row` int, `a.b` struct<`x y`: int>"
+    docs = spark.createDataFrame([(1, "good words", "m", 0.5, 3, (4,)), (2, None, None, None, None, None)], schema)
+    model = quality.fit(docs, spark.createDataFrame([], "doc_id bigint, quality int"))
+    scored = quality.score(docs, model)
+    assert scored.columns == ["row", "score"]
+    assert [tuple(r) for r in scored.select("row.*").orderBy("doc_id").collect()] == [tuple(r) for r in docs.orderBy("doc_id").collect()]
+
+
+def test_repeated_ids_give_one_model(spark):
+    rows = [(i % 40, f"text {'good' if i % 2 else 'bad'} {i}") for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    models = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string").repartition(5)
+        models.append(quality.fit(docs, labels, epochs=2))
+    assert all((a == b).all() for a, b in zip(models[0].weights, models[1].weights, strict=True))
