@@ -2,9 +2,13 @@
 
 Documents are described by four transformed statistics. Each language and source gets a minimum-covariance-
 determinant estimate: concentration steps keep the half of its documents nearest to the centre, by Mahalanobis
-distance, and estimate centre and covariance anew from them. A document is rejected if its distance from the
-final, reweighted estimate is too large. Groups too small for an estimate of their own are pooled by language,
-and if that is too small as well, all together.
+distance, and estimate centre and covariance anew from them. They start from the medians and from the estimate of
+the level above, and the result with the smaller determinant counts. A document is rejected if its distance from the
+final, reweighted estimate is too large.
+
+An estimate of few documents says little. So each is shrunk: the moments of the level above (all documents, then
+the language) are added as if a fixed number of documents had them. A group goes over from its language's estimate to its
+own as it grows, without a size at which that changes at once.
 
 A step is one aggregate over the statistics, by group and bin of distance: the nearest half is made of whole
 bins, so no group is sorted or gathered. Statistics are whole numbers (thousandths), so that their sums do not
@@ -24,17 +28,18 @@ SYMBOLS = "#*$%&|<>"
 #: Fixed values of the base rules.
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 
-#: Documents of a group below which it is pooled.
-MIN_GROUP = 200
+#: Documents that the moments of the level above count for.
+PRIOR = 100.0
 #: Share of a group that a concentration step keeps, and the number of steps.
 KEPT_SHARE, STEPS = 0.5, 5
 #: Squared distance beyond which a document is an outlier, and beyond which it is left out of the final
-#: estimate (the 0.975 quantile of the chi-square distribution of four degrees).
+#: estimate: the quantiles 1 - 2.9e-12 and 0.975 of the chi-square distribution of four degrees. The statistics of
+#: ordinary documents have longer tails than normally distributed ones, so the first is far out.
 CUTOFF, REWEIGHT = 60.0, 11.143
 #: Covariance of normally distributed statistics over that of their nearest half: 0.5 / 0.2371.
 CONSISTENCY = 2.109
 #: Least standard deviation of each transformed statistic: differences below it say nothing of quality.
-FLOORS = {"x1": 400.0, "x2": 40.0, "x3": 60.0, "x4": 60.0}
+FLOORS = {"x1": 100.0, "x2": 40.0, "x3": 60.0, "x4": 60.0}
 FEATURES = list(FLOORS)
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Bins of distance per doubling, and the last one.
@@ -171,21 +176,61 @@ def _with(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return rows.join(estimates, "group").withColumn("distance", _distance())
 
 
-def _groups(rows: DataFrame, lang_col: str, source_col: str, min_group: int) -> DataFrame:
-    """`lang_col`, `source_col`, `group`: the number of the group each language and source belongs to.
+#: Moments per document, by which a level is shrunk towards the one above.
+_MOMENTS = _SUMS[1:]
+
+
+def _fit(rows: DataFrame, above: DataFrame | None) -> DataFrame:
+    """Estimates and moments per document (`p_...`) of each `group`, with those of its `parent` as the prior.
 
-    Small ones are pooled by language, and small pools in one for all.
+    `rows` have `group`, `parent` and the statistics; `above` is the result for the level above, or None at the top.
     """
-    sizes = rows.groupBy(lang_col, source_col).agg(F.sum(F.when(~F.col("failed"), 1).otherwise(0)).alias("n"))
-    name = F.to_json(F.struct(F.col(lang_col).alias("l"), F.col(source_col).alias("s")))
-    pool = F.to_json(F.struct(F.col(lang_col).alias("l"), F.lit(True).alias("pooled")))
-    small = sizes.withColumn("group", F.when(F.col("n") >= min_group, name))
-    pooled = F.sum(F.when(F.col("group").isNull(), F.col("n"))).over(Window.partitionBy(lang_col))
-    return small.select(
-        F.col(lang_col).alias("of_lang"),
-        F.col(source_col).alias("of_source"),
-        F.coalesce("group", F.when(pooled >= min_group, pool), F.lit("all")).alias("group"),
-    )
+    prior = None
+    if above is not None:
+        above = above.withColumnRenamed("group", "parent")
+        prior = rows.select("group", "parent").distinct().join(above, "parent").drop("parent")
+        prior = materialize(prior, "priors")
+    started = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1)) if prior is not None else F.array(F.lit(0))).alias("start"))
+    grouped = started.select(F.struct("group", "start").alias("group"), *FEATURES)
+    estimates = _start(rows).withColumn("start", F.lit(0))
+    if prior is not None:
+        of_parent = prior.select(*[c for c in estimates.columns if c != "start"]).withColumn("start", F.lit(1))
+        estimates = estimates.unionByName(of_parent)
+        priors = prior.select("group", *(F.col(f"p_{name}") for name in _MOMENTS))
+        both = priors.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
+        priors = both.select(F.struct("group", "start").alias("group"), *(f"p_{name}" for name in _MOMENTS))
+    else:
+        priors = None
+    estimates = materialize(_keyed(estimates), "estimates")
+    for _ in range(STEPS):
+        sums = _shrunk(_nearest_sums(grouped, estimates), priors)
+        estimates = materialize(_estimate(sums, "group"), "estimates")
+    determinant = sum((F.log(F.col(f"d_{x}")) for x in FEATURES), F.lit(0.0))
+    rank = Window.partitionBy("group.group").orderBy("determinant", "group.start")
+    best = estimates.withColumn("determinant", determinant).withColumn("rank", F.row_number().over(rank))
+    chosen = materialize(best.where("rank = 1").drop("determinant", "rank"), "estimates")
+    near = _with(grouped, chosen).where(F.col("distance") <= REWEIGHT * CONSISTENCY)
+    # a start that was not chosen has no estimate; a group whose rows are all far keeps its prior
+    counted = near.groupBy("group").agg(*_sums())
+    empty = chosen.select("group", *(F.lit(0.0).alias(name) for name in _SUMS))
+    counted = counted.unionByName(empty).groupBy("group").agg(*(F.sum(name).alias(name) for name in _SUMS))
+    sums = _shrunk(counted, priors).where("n > 0")
+    final = _estimate(sums, "group").join(sums.select("group", *((F.col(x) / F.col("n")).alias(f"p_{x}") for x in _MOMENTS)), "group")
+    return materialize(final.withColumn("group", F.col("group.group")), "estimates")
+
+
+def _keyed(estimates: DataFrame) -> DataFrame:
+    columns = [c for c in estimates.columns if c not in ("group", "start")]
+    return estimates.select(F.struct("group", "start").alias("group"), *columns)
+
+
+def _shrunk(sums: DataFrame, priors: DataFrame | None) -> DataFrame:
+    """The sums with those of `PRIOR` documents of the level above; all sums are taken about the same zero."""
+    if priors is None:
+        return sums
+    joined = sums.join(priors, "group")
+    added = [(F.col(name) + PRIOR * F.col(f"p_{name}")).alias(name) for name in _MOMENTS]
+    return joined.select("group", (F.col("n") + PRIOR).alias("n"), *added)
 
 
 def judge(
@@ -193,7 +238,6 @@ def judge(
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
-    min_group: int = MIN_GROUP,
     cutoff: float = CUTOFF,
     columns: list[str] | None = None,
 ) -> DataFrame:
@@ -216,15 +260,18 @@ def judge(
         base_failed().alias("failed"),
     )
     counted = materialize(counted.select("*", *(x.alias(name) for name, x in transformed().items())), "statistics")
-    numbers = counted.select("lang", "source", "failed", *FEATURES)
-    groups = materialize(_groups(numbers, "lang", "source", min_group), "groups")
-    grouped = _in_group(numbers.where("NOT failed"), groups).select("group", *FEATURES)
-    estimates = materialize(_start(grouped), "estimates")
-    for _ in range(STEPS):
-        estimates = materialize(_concentrate(grouped, estimates), "estimates")
-    near = _with(grouped, estimates).where(F.col("distance") <= REWEIGHT * CONSISTENCY)
-    final = materialize(_estimate(near.groupBy("group").agg(*_sums()), "group"), "estimates")
-    judged = _in_group(counted, groups).join(final, "group", "left").withColumn("distance", _distance())
+    group = {
+        "all": F.lit("all"),
+        "lang": F.to_json(F.struct(F.col("lang").alias("l"))),
+        "source": F.to_json(F.struct(F.col("lang").alias("l"), F.col("source").alias("s"))),
+    }
+    sound = counted.where("NOT failed")
+    estimates, parent = None, None
+    for level, name in group.items():
+        rows = sound.select(name.alias("group"), (group[parent] if parent else F.lit("")).alias("parent"), *FEATURES)
+        estimates, parent = _fit(rows, estimates), level
+    judged = counted.withColumn("group", group["source"]).join(estimates, "group", "left")
+    judged = judged.withColumn("distance", _distance())
     distance = F.when(~F.col("failed"), F.col("distance"))
     return judged.select(
         "row",
@@ -235,11 +282,6 @@ def judge(
     )
 
 
-def _in_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    same = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
-    return rows.join(groups, same).drop("of_lang", "of_source")
-
-
 def _start(grouped: DataFrame) -> DataFrame:
     """Medians as the centre, quartile ranges as the spread, no covariance."""
     quartiles = grouped.groupBy("group").agg(
@@ -254,8 +296,8 @@ def _start(grouped: DataFrame) -> DataFrame:
     )
 
 
-def _concentrate(grouped: DataFrame, estimates: DataFrame) -> DataFrame:
-    """One step: the estimate of the bins of distance that hold the nearest share of each group."""
+def _nearest_sums(grouped: DataFrame, estimates: DataFrame) -> DataFrame:
+    """One step: the sums of the bins of distance that hold the nearest share of each group."""
     place = F.floor(F.log2(F.col("distance") + 1) * _BINS)
     binned = (
         _with(grouped, estimates)
@@ -270,5 +312,4 @@ def _concentrate(grouped: DataFrame, estimates: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n").over(upto), F.lit(0.0)).alias("before"),
         F.sum("n").over(all_rows).alias("all"),
     ).where(F.col("before") < F.ceil(F.col("all") * KEPT_SHARE))
-    sums = nearest.groupBy("group").agg(*(F.sum(name).alias(name) for name in _SUMS))
-    return _estimate(sums, "group")
+    return nearest.groupBy("group").agg(*(F.sum(name).alias(name) for name in _SUMS))

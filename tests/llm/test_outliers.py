@@ -61,7 +61,7 @@ def documents(n, seed):
 def test_junk_is_rejected_and_clean_text_kept(spark):
     rows = documents(900, 4) + [(-1, None, None, None, None), (-2, "few words", "en", "s1", 0.0), (5, "a " * 99, "en", "s1", 0.0)]
     schema = "doc_id long, text string, lang string, source string, distance double"
-    judged = outliers.judge(spark.createDataFrame(rows, schema).repartition(5), min_group=60).collect()
+    judged = outliers.judge(spark.createDataFrame(rows, schema).repartition(5)).collect()
     assert len(judged) == len(rows)
     for r in judged:
         bad = r.row.doc_id < 0 or r.row.text.startswith("a a ") or "$$#" in r.row.text
@@ -83,3 +83,74 @@ def test_whole_table(spark):
     judged = outliers.judge(docs, columns=["doc_id"]).where("NOT base_failed").select("row.doc_id", "kept")
     good = judged.join(labels.where("quality = 1"), "doc_id").agg(F.avg(F.col("kept").cast("int"))).first()[0]
     assert good > 0.98
+
+
+def numpy_estimate(values, prior, starts):
+    """The steps in numpy: centre, covariance and moments of the start with the smaller determinant, reweighted."""
+    floors = np.diag([f**2 for f in outliers.FLOORS.values()])
+
+    def moments(x):
+        n, total, products = len(x), x.sum(axis=0), x.T @ x
+        if prior is not None:
+            n, total, products = n + outliers.PRIOR, total + outliers.PRIOR * prior[0], products + outliers.PRIOR * prior[1]
+        return total / n, products / n
+
+    def of(x):
+        mean, products = moments(x)
+        return mean, products - np.outer(mean, mean) + floors
+
+    def distance(centre, cov):
+        return np.einsum("ij,ij->i", (values - centre) @ np.linalg.inv(cov), values - centre)
+
+    best = None
+    for centre, cov in starts:
+        for _ in range(outliers.STEPS):
+            bins = np.minimum(np.floor(np.log2(distance(centre, cov) + 1) * 16), 512)
+            order = np.sort(bins)
+            centre, cov = of(values[bins <= order[int(np.ceil(len(values) / 2)) - 1]])
+        if best is None or np.linalg.det(cov) < np.linalg.det(best[1]) * (1 - 1e-9):
+            best = centre, cov
+    near = values[distance(*best) <= outliers.REWEIGHT * outliers.CONSISTENCY]
+    return *of(near), moments(near)
+
+
+def test_steps_and_verdicts_against_numpy(spark):
+    """Centres, distances and `kept` by level, with groups of two kinds of text and of very different sizes."""
+    rows = documents(500, 6) + [(1000 + i, t.replace(" ", " mmmmmmmmmmmm "), "en", "s9", 0.0) for i, t, *_ in documents(30, 7)[1:]]
+    schema = "doc_id long, text string, lang string, source string, distance double"
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    judged = {r.row.doc_id: r for r in outliers.judge(docs).collect()}
+    statistics = outliers.document_statistics(docs).select("row.doc_id", "row.lang", "row.source", outliers.base_failed().alias("f"), *[v.alias(k) for k, v in outliers.transformed().items()])
+    data = [r for r in statistics.collect() if not r.f]
+    of = lambda test: np.array([[r.x1, r.x2, r.x3, r.x4] for r in data if test(r)])
+
+    def medians(values):
+        low, mid, high = (np.sort(values, axis=0)[np.maximum(0, np.ceil(q * len(values)).astype(int) - 1)] for q in (0.25, 0.5, 0.75))
+        return mid, np.diag(((high - low) / 1.349) ** 2 + np.array(list(outliers.FLOORS.values())) ** 2)
+
+    top = numpy_estimate(of(lambda r: True), None, [medians(of(lambda r: True))])
+    checked = 0
+    for lang in ("en", "de"):
+        values = of(lambda r: r.lang == lang)  # noqa: B023
+        middle = numpy_estimate(values, top[2], [medians(values), top[:2]])
+        for source in {r.source for r in data if r.lang == lang}:
+            rows_of = [r for r in data if (r.lang, r.source) == (lang, source)]
+            values = of(lambda r: (r.lang, r.source) == (lang, source))  # noqa: B023
+            centre, cov, _ = numpy_estimate(values, middle[2], [medians(values), middle[:2]])
+            for r, x in zip(rows_of, values, strict=True):
+                expected = (x - centre) @ np.linalg.inv(cov) @ (x - centre)
+                assert np.isclose(judged[r.doc_id].distance, expected, rtol=1e-6, atol=1e-6)
+                assert judged[r.doc_id].kept == (expected <= outliers.CUTOFF)
+                checked += 1
+    assert checked == len(data) > 400
+
+
+def test_words_of_one_letter_are_rejected_and_small_groups_judged(spark):
+    rng = random.Random(8)
+    rows = documents(400, 9)
+    rows.append((5000, " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400)), "en", "s1", 0.0))
+    rows.append((5001, rows[1][1], "en", "alone", 0.0))  # the only one of its source
+    rows.append((5002, rows[0][1], "fr", "alone", 0.0))  # of its language as well, with symbols
+    judged = outliers.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, distance double"))
+    kept = {r.row.doc_id: r.kept for r in judged.collect()}
+    assert not kept[5000] and kept[5001] and not kept[5002]
