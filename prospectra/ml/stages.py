@@ -2,7 +2,7 @@
 
 All fitted state is a few numbers or names per column and lives in Params, so the stages are saved
 and loaded with the `PipelineModel` that holds them. The one exception, the categories of
-`EncodeCategorical`, can be many and stays a table.
+`EncodeCategorical`, can be many and is a table; up to a size it is also held with the model.
 """
 
 from __future__ import annotations
@@ -297,8 +297,15 @@ class ImputeMissingModel(_Stage, Model):
         return dataset.withColumns(filled) if filled else dataset
 
 
+#: Bytes of categories up to which a model holds them itself and looks them up in every task.
+HELD_BYTES = 16 << 20
+
+
 class EncodeCategorical(_Stage, Estimator):
-    """Text to the index of its value among the training values, in value order; else -1."""
+    """Text to the index of its value among the training values, in value order; else -1.
+
+    Categories of up to `HELD_BYTES` are held by the model, which then needs no table and moves no rows.
+    """
 
     inputCols = _strings(Params._dummy(), "inputCols", "text columns; all if not set")
     excludeCols = _strings(Params._dummy(), "excludeCols", "columns left as they are")
@@ -323,7 +330,7 @@ class EncodeCategorical(_Stage, Estimator):
         ranked = running_totals(counts, ["value"], ["one"], ["column"])
         index = (F.col("cum_one") - 1).cast("bigint").alias("index")
         table = materialize(ranked.select("column", "value", index), "categories")
-        return EncodeCategoricalModel(names, table.count(), table)
+        return EncodeCategoricalModel(names, table.count(), table).hold()
 
 
 class EncodeCategoricalModel(_Stage, Model):
@@ -340,12 +347,45 @@ class EncodeCategoricalModel(_Stage, Model):
     ):
         super().__init__()
         self.table = table
+        self.labels: dict[str, list[str]] | None = None
         self._take(inputCols=inputCols, categoryCount=categoryCount)
 
+    def hold(self) -> "EncodeCategoricalModel":
+        """Reads the categories into the model if they are small enough; one scan of the table."""
+        size = self.table.agg(F.sum(F.octet_length("value") + 64)).first()[0] or 0
+        if size <= HELD_BYTES:
+            labels: dict[str, list[str]] = {name: [] for name in self._value("inputCols")}
+            for row in self.table.orderBy("column", "index").toLocalIterator():
+                labels[row["column"]].append(row["value"])
+            self.labels = labels
+        return self
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        for name in self._value("inputCols"):
-            if name not in dataset.columns:
-                continue
+        names = [name for name in self._value("inputCols") if name in dataset.columns]
+        if self.labels is None:
+            return self._joined(dataset, names)
+        # Columns without categories have no index to look up.
+        known = [name for name in names if self.labels[name]]
+        indexed = dataset
+        if known:
+            texts = {f"_text_{i}": named(name).cast("string") for i, name in enumerate(known)}
+            indexer = StringIndexerModel.from_arrays_of_labels(
+                [self.labels[name] for name in known],
+                inputCols=list(texts),
+                outputCols=[f"_index_{i}" for i in range(len(known))],
+                handleInvalid="keep",  # NULL and unseen values get the index after the last
+            )
+            indexed = indexer.transform(dataset.withColumns(texts))
+        codes = {name: F.lit(-1) for name in names}
+        for i, name in enumerate(known):
+            index = F.col(f"_index_{i}")
+            codes[name] = F.when(index < len(self.labels[name]), index).otherwise(-1)
+        columns = [codes[c].cast("bigint").alias(c, metadata={}) if c in codes else named(c) for c in dataset.columns]
+        return indexed.select(*columns)
+
+    def _joined(self, dataset: DataFrame, names: Sequence[str]) -> DataFrame:
+        """By a join with the table for each column, where there are very many categories."""
+        for name in names:
             indexes = self.table.where(F.col("column") == name).select(
                 F.col("value").alias("_value"), F.col("index").alias("_index")
             )
@@ -369,7 +409,11 @@ class _CategoriesWriter(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
-        if self.instance.table is not None:
+        if self.instance.labels is not None:
+            rows = [(c, v, i) for c, values in self.instance.labels.items() for i, v in enumerate(values)]
+            table = self.sparkSession.createDataFrame(rows, "column string, value string, index bigint")
+            table.write.parquet(os.path.join(path, "categories"))
+        elif self.instance.table is not None:
             self.instance.table.write.parquet(os.path.join(path, "categories"))
 
 
@@ -383,6 +427,7 @@ class _CategoriesReader(MLReader):
         if model._value("inputCols"):
             spark = SparkSession.active()
             model.table = spark.read.parquet(os.path.join(path, "categories"))
+            model.hold()
         return model
 
 

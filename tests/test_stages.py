@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import functions as F
 
+from prospectra.ml import stages
 from prospectra.ml.stages import (
     AssembleFeatures,
     EncodeCategorical,
@@ -12,6 +14,7 @@ from prospectra.ml.stages import (
     ScaleFeatures,
 )
 from prospectra.plans.training import TrainingConfig, feature_stages
+from prospectra.sources.scratch import materialize, scratch_run
 
 INDUSTRY = "id bigint, INDUSTRY string"
 
@@ -230,3 +233,39 @@ def test_assemble_reads_by_name(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0)], "id bigint, b double, a double")
     model = AssembleFeatures(["id"]).fit(df)
     assert model.transform(df.select("a", "id", "b")).first()["features"].toArray().tolist() == [2.0, 3.0]
+
+
+def encode_frame(spark):
+    rows = [("b", "x y", None, "hot"), ("a", "", None, "hot"), (None, "x y", None, "hot"), ("b", "ü", None, None)]
+    return spark.createDataFrame(rows, "`my col` string, `a.b` string, nothing string, h string").repartition(3)
+
+
+@pytest.mark.parametrize("held", [0, stages.HELD_BYTES])
+def test_categories_held_or_joined(spark, monkeypatch, tmp_path, held):
+    monkeypatch.setattr(stages, "HELD_BYTES", held)
+    df = encode_frame(spark)
+    model = EncodeCategorical().fit(df)
+    assert (model.labels is None) == (held == 0)
+    other = spark.createDataFrame([("a", "ü", "z", "hot"), ("c", None, None, "cold")], df.schema)
+    for data, expected in (
+        (df, [(-1, 1, -1, 0), (0, 0, -1, 0), (1, 1, -1, 0), (1, 2, -1, -1)]),
+        (other, [(-1, -1, -1, -1), (0, 2, -1, 0)]),
+    ):
+        encoded = model.transform(data)
+        assert encoded.dtypes == [(c, "bigint") for c in df.columns]
+        assert sorted(map(tuple, encoded.collect())) == expected
+    model.write().overwrite().save(f"{tmp_path}/model")
+    again = stages.EncodeCategoricalModel.load(f"{tmp_path}/model")
+    assert sorted(map(tuple, again.transform(other).collect())) == [(-1, -1, -1, -1), (0, 2, -1, 0)]
+
+
+@pytest.mark.parametrize("n", [2, 20])
+def test_held_categories_move_no_rows_and_outlive_their_table(spark, tmp_path, n):
+    df = spark.range(200).select(*[F.concat(F.lit("v"), F.col("id") % (i + 2)).alias(f"c{i}") for i in range(n)])
+    scratch = materialize(df, "texts")
+    with scratch_run(spark):
+        model = EncodeCategorical().fit(scratch)
+    encoded = model.transform(scratch)  # what the fit wrote is gone
+    plan = encoded._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("FileScan") == 1
+    assert encoded.agg(F.max("c0")).first()[0] == 1 and encoded.count() == 200
