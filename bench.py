@@ -37,6 +37,7 @@ HEADLINE = [
     "scale_standard",
     "scale_robust",
     "feature_stages",
+    "feature_stages_all_inputs",
     "split_stratified",
     "classification_report",
     "roc_auc",

@@ -21,7 +21,6 @@ from prospectra.operators.quantiles import mode_value
 from prospectra.operators.ranking import join_predictions, top_prospects
 from prospectra.operators.requests import check_requests
 from prospectra.operators.runs import all_metrics, metrics_table
-from prospectra.operators.split import split_by_hash
 from prospectra.operators.usage import (
     STAT_FEATURES,
     USAGE_FEATURES,
@@ -42,7 +41,6 @@ from prospectra.sources import (
     write_predictions,
     write_quarantine,
     write_removed_rows,
-    write_splits,
 )
 
 _COMPANY = "id, CLOSEDATE, MRR, ALEXA_RANK, EMPLOYEE_RANGE, INDUSTRY"
@@ -146,19 +144,6 @@ def sink_removed_rows(spark, d):
     return read_customers(spark, path).select(*CUSTOMERS.fieldNames())
 
 
-_SPLIT = "CASE WHEN substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8) < '33333333' THEN 'test' ELSE 'train' END"
-
-
-@query(
-    "sink_splits",
-    sql(f"SELECT id, is_customer AS target, {_SPLIT} AS split FROM companies", "companies"),
-)
-def sink_splits(spark, d):
-    path = new_scratch_path(spark, "splits")
-    write_splits(split_by_hash(companies(spark, d)), path)
-    return spark.read.parquet(path).select("id", "target", "split")
-
-
 RUNS = {"run_a": ("2024-01-01 08:00:00", 0.3), "run_b": ("2024-01-02 08:00:00", 0.5), "run_c": ("2024-01-03 08:00:00", 0.7)}
 
 

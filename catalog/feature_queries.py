@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog.data_queries import companies, prepared
 from catalog.function_queries import RANGE_CASE
 from catalog.registry import query, rounded
-from catalog.roles import SEGMENTS, sql
+from catalog.roles import SEGMENTS, USAGE_FEATURES, sql
 from prospectra.ml.stages import EncodeCategorical, ImputeMissing, OneHotFrequent, ScaleFeatures
 from prospectra.operators.split import split_by_hash, split_stratified
 from prospectra.plans.training import feature_stages
@@ -176,26 +176,19 @@ def scale_exclude(spark, d):
 
 # All stages together ----------------------------------------------------------------------------
 
-MODEL_INPUTS = [
-    "ALEXA_RANK",
-    "EMPLOYEE_RANGE",
-    "INDUSTRY",
-    "total_actions",
-    "total_users",
-    "days_active",
-    "activity_frequency",
-]
+MODEL_INPUTS = ["ALEXA_RANK", "EMPLOYEE_RANGE", "INDUSTRY", *USAGE_FEATURES]
+_REQUEST_MEASURES = ["ALEXA_RANK", "total_actions", "total_users", "days_active", "activity_frequency"]
 
 
-def split_inputs(spark, d):
-    """Key, label, split and the inputs that a scoring request has as well."""
-    return split_by_hash(prepared(spark, d)).select("id", "is_customer", "split", *MODEL_INPUTS)
+def split_inputs(spark, d, inputs=MODEL_INPUTS):
+    """Key, label, split and inputs."""
+    return split_by_hash(prepared(spark, d)).select("id", "is_customer", "split", *inputs)
 
 
-_STAGED = ["ALEXA_RANK", "total_actions", "total_users", "days_active", "activity_frequency"]
+_STAGED = ["ALEXA_RANK", *USAGE_FEATURES]
 _STAGED_ALL = [*_STAGED, "employee_range_ordinal"]
-_FEATURE_STAGES_EXTRA = (
-    f"inputs AS (SELECT id, {SPLIT_SQL} AS split, {', '.join(_STAGED)}, INDUSTRY, "
+FEATURE_STAGES_EXTRA = (
+    f"inputs AS (SELECT id, is_customer, {SPLIT_SQL} AS split, {', '.join(_STAGED)}, INDUSTRY, "
     f"{RANGE_CASE} AS employee_range_ordinal FROM prepared), "
     "filled AS (SELECT * REPLACE (COALESCE(CAST(ALEXA_RANK AS DOUBLE), (SELECT "
     "median(CAST(ALEXA_RANK AS DOUBLE)) FROM inputs WHERE split = 'train')) AS ALEXA_RANK) FROM inputs), "
@@ -204,34 +197,50 @@ _FEATURE_STAGES_EXTRA = (
     + " FROM filled WHERE split = 'train')"
 )
 
+# Name of an input -> SQL of its value after all stages.
+STAGED_SQL = {
+    c: f"(({c} - c_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END)" for c in _STAGED_ALL
+} | {f"industry_{s}": f"CASE WHEN INDUSTRY = '{s}' THEN 1 ELSE 0 END" for s in SEGMENTS} | {
+    "industry_Other": "CASE WHEN COALESCE(INDUSTRY, 'Other') = 'Other' THEN 1 ELSE 0 END"
+}
 
-@query(
-    "feature_stages",
-    sql(
-        "SELECT id, split, "
-        + ", ".join(
-            f"round(({c} - c_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}"
-            for c in _STAGED_ALL
-        )
-        + ", "
-        + ", ".join(
-            f"CASE WHEN INDUSTRY = '{s}' THEN 1 ELSE 0 END AS industry_{s}" for s in SEGMENTS
-        )
-        + ", CASE WHEN COALESCE(INDUSTRY, 'Other') = 'Other' THEN 1 ELSE 0 END AS \"industry_Other\" "
-        "FROM filled, fitted",
-        "prepared",
-        extra=_FEATURE_STAGES_EXTRA,
-    ),
-)
-def feature_stages_query(spark, d):
-    rows = materialize(split_inputs(spark, d), "inputs")  # every stage reads it
-    train = rows.where("split = 'train'")
-    fitted = Pipeline(stages=feature_stages(train)).fit(train)
+
+def staged_sql(columns: str, left_out: set[str] = frozenset()) -> str:
+    """`columns` and the inputs after all stages."""
+    inputs = ", ".join(
+        f"round({value}, 6) AS {c}" if c in _STAGED_ALL else f'{value} AS "{c}"'
+        for c, value in STAGED_SQL.items()
+        if c not in left_out
+    )
+    select = f"SELECT {columns}, {inputs} FROM filled, fitted"
+    return sql(select, "prepared", extra=FEATURE_STAGES_EXTRA)
+
+
+def with_onehot_columns(fitted, staged):
+    """The one-hot vector as a column per category."""
     onehot = fitted.stages[1]
     slots = vector_to_array(onehot.output_column())
     hot = [slots[i].cast("int").alias(name) for i, name in enumerate(onehot.slot_names())]
-    staged = fitted.transform(rows).select("*", *hot)
-    return rounded(staged.drop("features", "is_customer", onehot.output_column()))
+    return staged.select("*", *hot).drop(onehot.output_column())
+
+
+def _staged(spark, d, inputs):
+    rows = materialize(split_inputs(spark, d, inputs), "inputs")  # every stage reads it
+    train = rows.where("split = 'train'")
+    fitted = Pipeline(stages=feature_stages(train)).fit(train)
+    staged = fitted.transform(rows).drop("features", "is_customer")
+    return rounded(with_onehot_columns(fitted, staged))
+
+
+@query("feature_stages", staged_sql("id, split", {*_STAGED} - {*_REQUEST_MEASURES}))
+def feature_stages_query(spark, d):
+    """Over the inputs that a scoring request has as well."""
+    return _staged(spark, d, [*_REQUEST_MEASURES, "EMPLOYEE_RANGE", "INDUSTRY"])
+
+
+@query("feature_stages_all_inputs", staged_sql("id, split"))
+def feature_stages_all_inputs(spark, d):
+    return _staged(spark, d, MODEL_INPUTS)
 
 
 # Splits -----------------------------------------------------------------------------------------

@@ -21,13 +21,21 @@ from catalog.data_queries import (
     metrics_of_runs,
     prepared,
 )
-from catalog.feature_queries import HASH_SQL, SPLIT_SQL, split_inputs
+from catalog.feature_queries import (
+    FEATURE_STAGES_EXTRA,
+    HASH_SQL,
+    SPLIT_SQL,
+    STAGED_SQL,
+    split_inputs,
+    staged_sql,
+    with_onehot_columns,
+)
 from catalog.function_queries import RANGE_CASE
 from catalog.registry import query, rounded
 from catalog.roles import role, sql
 from prospectra.ml.evaluation import cross_validate
 from prospectra.ml.foreign import FunctionModel
-from prospectra.ml.models import MODEL_TYPES, create_model, feature_importance
+from prospectra.ml.models import MODEL_TYPES, create_model, feature_importance, logistic_optimality
 from prospectra.ml.stages import AssembleFeatures, OneHotFrequent, RangeOrdinal
 from prospectra.operators.curves import average_precision, pr_curve, roc_auc, roc_curve
 from prospectra.operators.metrics import (
@@ -50,9 +58,9 @@ from prospectra.plans.scoring import (
     predict_with_ids,
     score_requests,
 )
-from prospectra.plans.training import feature_stages
+from prospectra.plans.training import feature_stages, processed_splits
 from prospectra.sources.scratch import materialize, new_scratch_path
-from prospectra.sources.writers import write_importance
+from prospectra.sources.writers import write_importance, write_splits
 from prospectra.streaming import read_request_stream, score_stream
 
 _FITTED: dict[tuple[str, str, str], PipelineModel] = {}
@@ -427,6 +435,41 @@ def train_boosted(spark, d):
     return rounded(rates, 4)
 
 
+# Trees of two flags have a leaf per cell; their root splits on the flag that explains more of the
+# residuals, both its children on the other one.
+_SPLITS = f"""flags AS (SELECT is_customer AS y, CASE WHEN total_actions > 0 THEN 1 ELSE 0 END AS has_usage,
+        CASE WHEN ALEXA_RANK < 500000 THEN 1 ELSE 0 END AS low_rank FROM prepared),
+    ratio AS (SELECT sum(1 - y) / CAST(sum(y) AS DOUBLE) AS w FROM flags),
+    cells AS (SELECT has_usage, low_rank, sum(CASE WHEN y = 1 THEN w ELSE 1 END) AS t,
+        sum(w * y) / sum(CASE WHEN y = 1 THEN w ELSE 1 END) AS r FROM flags, ratio GROUP BY ALL),
+    round1 AS (SELECT *, 2 * r - 1 AS f1 FROM cells),
+    round2 AS (SELECT *, {_RESIDUAL.format('f1')} AS m2, f1 + 0.1 * {_RESIDUAL.format('f1')} AS f2 FROM round1),
+    residuals AS (SELECT 1 AS tree, has_usage, low_rank, t, f1 AS m FROM round1
+        UNION ALL SELECT 2, has_usage, low_rank, t, m2 FROM round2
+        UNION ALL SELECT 3, has_usage, low_rank, t, {_RESIDUAL.format('f2')} FROM round2),
+    explained AS (SELECT tree, feature, sum(s * s / n) AS gain FROM (
+        SELECT tree, 'has_usage' AS feature, sum(t * m) AS s, sum(t) AS n FROM residuals GROUP BY tree, has_usage
+        UNION ALL SELECT tree, 'low_rank', sum(t * m), sum(t) FROM residuals GROUP BY tree, low_rank)
+        GROUP BY tree, feature)"""
+
+
+@query(
+    "split_importance",
+    sql(
+        "SELECT feature, CAST(sum(place) AS DOUBLE) AS importance FROM (SELECT feature, "
+        "row_number() OVER (PARTITION BY tree ORDER BY gain DESC, feature) AS place FROM explained) GROUP BY feature",
+        "prepared",
+        extra=_SPLITS,
+    ),
+)
+def split_importance(spark, d):
+    def fit():
+        stages = [AssembleFeatures(["id", "is_customer"])]
+        return _fit(materialize(_flag_rows(spark, d), "flags"), stages, "lightgbm", **_SATURATED["lightgbm"])
+
+    return feature_importance(_fitted(spark, d, "flag-trees", fit), "split")
+
+
 @query(
     "model_factory",
     sql(
@@ -459,16 +502,53 @@ def model_factory(spark, d):
     return classes
 
 
-@query("train_logistic_all_stages")
-def train_logistic_all_stages(spark, d):
-    """Importances of the standard model over all stages; SQL has no way to minimise its loss."""
+# All inputs -----------------------------------------------------------------------------------
+
+_STANDARD = {"C": 1.0, "class_weight": "balanced", "tol": 1e-12}
+
+
+def _standard_model(spark, d) -> PipelineModel:
+    """The standard model over all stages and inputs."""
 
     def fit():
         rows = materialize(split_inputs(spark, d).where("split = 'train'"), "train")
-        settings = {"C": 1.0, "class_weight": "balanced"}
-        return _fit(rows, feature_stages(rows), "logistic_regression", **settings)
+        return _fit(rows, feature_stages(rows), "logistic_regression", **_STANDARD)
+
+    return _fitted(spark, d, "standard", fit)
+
+
+# Balanced classes have half of the weight each, so a moment is half of the customers' mean.
+_MOMENTS = ", ".join(f"avg({value}) / 2 AS \"{name}\"" for name, value in STAGED_SQL.items())
 
-    return feature_importance(_fitted(spark, d, "standard", fit))
+
+@query(
+    "train_logistic_all_stages",
+    sql(
+        "SELECT feature, round(moment, 6) AS moment, CAST(0 AS DOUBLE) AS slope FROM ("
+        f"UNPIVOT (SELECT {_MOMENTS}, CAST(0.5 AS DOUBLE) AS intercept FROM filled, fitted "
+        "WHERE split = 'train' AND is_customer = 1) ON COLUMNS(*) INTO NAME feature VALUE moment)",
+        "prepared",
+        extra=FEATURE_STAGES_EXTRA,
+    ),
+)
+def train_logistic_all_stages(spark, d):
+    """Per input the data's side of the model's equations, and how far the model is from solving it.
+
+    SQL cannot minimise the loss, but it knows what holds at the minimum: every slope is zero.
+    """
+    rows = split_inputs(spark, d).where("split = 'train'")
+    classifier = create_model("logistic_regression", _STANDARD)
+    found = logistic_optimality(_standard_model(spark, d), classifier, rows)
+    slope = F.round("slope", 4) + F.lit(0.0)  # no minus sign on a zero
+    return found.select("feature", F.round("moment", 6).alias("moment"), slope.alias("slope"))
+
+
+@query("sink_splits", staged_sql("id, is_customer AS target, split"))
+def sink_splits(spark, d):
+    """The rows as the classifier saw them, written and read back."""
+    path, model = new_scratch_path(spark, "splits"), _standard_model(spark, d)
+    write_splits(processed_splits(model, split_inputs(spark, d)), path)
+    return rounded(with_onehot_columns(model, spark.read.parquet(path)))
 
 
 # A model from outside Spark ------------------------------------------------------------------

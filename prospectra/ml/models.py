@@ -13,13 +13,16 @@ import math
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prospectra.functions import named
 from prospectra.ml.stages import OneHotVectorModel, _Stage, _string
 from prospectra.operators.cleaning import LABEL
+from prospectra.sources.scratch import new_scratch_path
 
 _WEIGHT = "_weight"
 _MAX_DEPTH = 30  # Spark's limit
@@ -136,15 +139,19 @@ class ConversionClassifier(_Stage, Estimator):
     def settings(self) -> dict:
         return _DEFAULTS[self._value("modelType")] | json.loads(self._value("hyperparameters"))
 
-    def _fit(self, dataset: DataFrame) -> Model:
+    def weighted(self, dataset: DataFrame) -> tuple[DataFrame, float]:
+        """`dataset` with the weight of each row by its class, and the sum of the weights."""
         label, given = named(self._value("labelCol")), self.settings()
         counts = dataset.agg(
             F.count_if(label == 0).alias("neg"), F.count_if(label == 1).alias("pos")
         ).first()
         weights = _class_weights(given, counts["neg"], counts["pos"])
-        weighted = dataset.withColumn(_WEIGHT, _weight_column(label, weights))
         total = counts["neg"] * weights[0] + counts["pos"] * weights[1]
-        classifier = self._classifier(given, total)
+        return dataset.withColumn(_WEIGHT, _weight_column(label, weights)), total
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        weighted, total = self.weighted(dataset)
+        classifier = self._classifier(self.settings(), total)
         classifier.setParams(
             labelCol=self._value("labelCol"),
             featuresCol=self._value("featuresCol"),
@@ -255,17 +262,86 @@ def classifier_of(fitted: Model) -> Model:
     return fitted.stages[-1]
 
 
-def importances(fitted: Model) -> list[tuple[str, float]]:
-    """(feature, importance) in input order: absolute coefficients, or the trees' importances."""
+IMPORTANCES = ("gain", "split")
+
+
+def importance_kind(model_type: str) -> str:
+    """What the library a type is named after reports by default."""
+    return "split" if model_type == "lightgbm" else "gain"
+
+
+def importances(fitted: Model, kind: str = "gain") -> list[tuple[str, float]]:
+    """(feature, importance) in input order.
+
+    `gain` is what the splits on a feature gained, as shares of one, and `split` their number over
+    all trees. A linear model has absolute coefficients, whichever is asked for.
+    """
+    if kind not in IMPORTANCES:
+        raise ValueError(f"Unknown importance: {kind}; use one of {', '.join(IMPORTANCES)}")
     model, names = classifier_of(fitted), input_columns(fitted)
-    if hasattr(model, "featureImportances"):
-        values = model.featureImportances.toArray()
-    else:
+    if not hasattr(model, "featureImportances"):
         values = abs(model.coefficients.toArray())
+    elif kind == "split":
+        counts = {row["feature"]: row["n"] for row in _splits_by_feature(model).collect()}
+        values = [counts.get(i, 0) for i in range(len(names))]
+    else:
+        values = model.featureImportances.toArray()
     return [(name, float(value)) for name, value in zip(names, values, strict=True)]
 
 
-def feature_importance(fitted: Model) -> DataFrame:
-    """Importances as a table, one row per model input."""
+def _splits_by_feature(model: Model) -> DataFrame:
+    """(feature, n): inner nodes per input number, from the node table that Spark saves of the trees."""
+    path = new_scratch_path(SparkSession.active(), "trees")
+    model.write().save(path)
+    nodes = SparkSession.active().read.parquet(f"{path}/data").select("nodeData.*")
+    inner = nodes.where("leftChild >= 0").select(F.col("split.featureIndex").alias("feature"))
+    return inner.groupBy("feature").agg(F.count("*").alias("n"))
+
+
+def feature_importance(fitted: Model, kind: str = "gain") -> DataFrame:
+    """Importances as a table, one row per model input; see `importances`."""
     spark = SparkSession.active()
-    return spark.createDataFrame(importances(fitted), "feature string, importance double")
+    return spark.createDataFrame(importances(fitted, kind), "feature string, importance double")
+
+
+def logistic_optimality(
+    fitted: Model, classifier: ConversionClassifier, rows: DataFrame
+) -> DataFrame:
+    """How far a fitted logistic model is from the least loss over `rows`, its training rows.
+
+    `fitted` holds the feature stages and the model that `classifier` fitted. A row per input, and
+    one for the intercept if the model has one: `moment`, the weighted mean of label times input (1
+    for the intercept), and `slope`, the derivative of the penalised mean loss by the coefficient.
+    The loss is convex, so the model is the best there is if and only if every slope is zero. An L1
+    part has no derivative where a coefficient is zero; `slope` is then what the rest exceeds it by.
+    One aggregation, whose result is as long as the coefficients; `rows` need both classes.
+    """
+    model, names = classifier_of(fitted), input_columns(fitted)
+    weighted, total = classifier.weighted(fitted.transform(rows))
+    observed = F.col(_WEIGHT) * named(model.getLabelCol())
+    expected = F.col(_WEIGHT) * vector_to_array(model.getProbabilityCol())[1]
+    inputs = F.col(model.getFeaturesCol())
+    sums = weighted.agg(
+        F.sum(observed).alias("y"),
+        F.sum(expected).alias("p"),
+        Summarizer.mean(inputs, observed).alias("mean_y"),
+        Summarizer.mean(inputs, expected).alias("mean_p"),
+    ).first()
+    moments = sums["mean_y"].toArray() * sums["y"] / total
+    slopes = sums["mean_p"].toArray() * sums["p"] / total - moments
+    strength, mix = model.getRegParam(), model.getElasticNetParam()
+    table = [
+        (name, float(moment), _penalised(float(slope), float(b), strength * (1 - mix), strength * mix))
+        for name, moment, slope, b in zip(names, moments, slopes, model.coefficients.toArray(), strict=True)
+    ]
+    if model.getFitIntercept():
+        table.append(("intercept", sums["y"] / total, (sums["p"] - sums["y"]) / total))
+    return SparkSession.active().createDataFrame(table, "feature string, moment double, slope double")
+
+
+def _penalised(slope: float, coefficient: float, ridge: float, lasso: float) -> float:
+    """The slope of the loss with its penalty; of the one-sided ones at zero, what keeps them from it."""
+    slope += ridge * coefficient
+    if coefficient:
+        return slope + math.copysign(lasso, coefficient)
+    return math.copysign(max(abs(slope) - lasso, 0.0), slope)

@@ -11,10 +11,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prospectra.functions import confidence_band, confidence_score, named, round4
+from prospectra.functions import confidence_band, confidence_score, named, numeric_columns, round4
 from prospectra.ml.models import classifier_of, importances, input_columns
 from prospectra.operators.ranking import top_prospects
-from prospectra.operators.requests import rejected_requests, valid_requests
+from prospectra.operators.requests import check_requests, valid_requests
+from prospectra.schemas import EMPLOYEE_RANGES
 
 # Names that models and the functions below write; in input rows they are stale and dropped.
 _OUTPUTS = ("features", "rawPrediction", "probability", "prediction", "confidence")
@@ -55,36 +56,57 @@ def score_requests(model: PipelineModel, requests: DataFrame) -> DataFrame:
 
     `rejected_requests` has the others, with the rules they break.
     """
-    scored = _scored(model, valid_requests(requests))
-    return scored.select(
-        F.col("id").alias("company_id"),
-        round4(F.col("_p")).alias("conversion_probability"),
-        F.col("_y").alias("prediction"),
-        confidence_band(F.col("_p")).alias("confidence"),
-    )
+    return _scored(model, valid_requests(requests)).select(*_response())
 
 
 def answer_requests(model: PipelineModel, requests: DataFrame) -> DataFrame:
     """A row per request, on a batch or a stream: the response to a valid one, `status` "answered",
-    or the rules that the request breaks, `status` "refused"."""
-    answered = score_requests(model, requests).withColumn(
-        "failed_rules", F.array().cast("array<string>")
-    )
-    refused = rejected_requests(requests).select(F.col("id").alias("company_id"), "failed_rules")
-    return answered.withColumn("status", F.lit("answered")).unionByName(
-        refused.withColumn("status", F.lit("refused")), allowMissingColumns=True
+    or the rules that the request breaks, `status` "refused".
+
+    The requests are read once: the model sees stand-ins for the inputs of a refused one, whose
+    response is NULL.
+    """
+    refused = F.size("failed_rules") > 0
+    checked = check_requests(requests)
+    scored = _scored(model, checked.withColumns(_stand_ins(requests, refused)))
+    identity, *response = _response()
+    return scored.select(
+        identity,
+        *[F.when(~refused, column).alias(name) for name, column in zip(_RESPONSE[1:], response)],
+        "failed_rules",
+        F.when(refused, "refused").otherwise("answered").alias("status"),
     )
 
 
+_RESPONSE = ("company_id", "conversion_probability", "prediction", "confidence")
+
+
+def _response() -> list[Column]:
+    values = [F.col("id"), round4(F.col("_p")), F.col("_y"), confidence_band(F.col("_p"))]
+    return [value.alias(name) for value, name in zip(values, _RESPONSE, strict=True)]
+
+
+def _stand_ins(requests: DataFrame, refused: Column) -> dict[str, Column]:
+    """The inputs, where a request is refused replaced by values that any model takes."""
+    inputs = {c: F.lit(1).cast(requests.schema[c].dataType) for c in numeric_columns(requests) if c != "id"}
+    inputs |= {"EMPLOYEE_RANGE": F.lit(EMPLOYEE_RANGES[0]), "INDUSTRY": F.lit("Other")}
+    return {c: F.when(refused, value).otherwise(named(c)) for c, value in inputs.items()}
+
+
 def explain_rows(
-    model: PipelineModel, rows: DataFrame, n: int = 10, id_column: str = "id"
+    model: PipelineModel,
+    rows: DataFrame,
+    n: int = 10,
+    id_column: str = "id",
+    importance: str = "gain",
 ) -> DataFrame:
     """Prediction and the `n` most important features of the model, for every row.
 
+    `importance` is as in `feature_importance`.
     A linear model also tells per row which inputs moved its score: coefficient times value, the `n`
     largest by size.
     """
-    ranked = sorted(importances(model), key=lambda pair: (-pair[1], pair[0]))[:n]
+    ranked = sorted(importances(model, importance), key=lambda pair: (-pair[1], pair[0]))[:n]
     top = F.array(
         *[
             F.struct(F.lit(name).alias("feature"), F.lit(value).alias("importance"))

@@ -11,7 +11,7 @@ from pyspark.storagelevel import StorageLevel
 
 from prospectra.functions import named, numeric_columns
 from prospectra.ml.evaluation import cross_validate
-from prospectra.ml.models import create_model, feature_importance
+from prospectra.ml.models import create_model, feature_importance, importance_kind
 from prospectra.ml.stages import (
     AssembleFeatures,
     EncodeCategorical,
@@ -111,7 +111,7 @@ def train(dataset: DataFrame, config: TrainingConfig | None = None) -> TrainingR
         rows=rows,
         predictions=predictions,
         evaluation=evaluate(predictions, config.threshold),
-        importance=feature_importance(model),
+        importance=feature_importance(model, importance_kind(config.model_type)),
         cross_validation=folds,
     )
 

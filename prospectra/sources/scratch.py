@@ -14,7 +14,7 @@ _RUN: ContextVar[str | None] = ContextVar("scratch_run", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder of `spark.checkpoint.dir`, else one below the warehouse; every executor reaches both."""
+    """The folder of `spark.checkpoint.dir`, else one below the warehouse; a cluster shares at least one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -6,9 +8,10 @@ from pyspark.sql import functions as F
 
 from prospectra.ml.evaluation import cross_validate
 from prospectra.ml.foreign import FunctionModel
-from prospectra.ml.models import MODEL_TYPES, create_model, importances
+from prospectra.ml.models import MODEL_TYPES, create_model, importances, logistic_optimality
 from prospectra.operators.metrics import classification_metrics
 from prospectra.plans.scoring import (
+    answer_requests,
     explain_rows,
     predict,
     predict_batch,
@@ -241,3 +244,85 @@ def test_requests_batch_and_stream_agree(spark, result, tmp_path):
     # After a restart only the new requests are answered.
     good.withColumn("id", F.col("id") + 5000).write.mode("append").parquet(str(tmp_path / "in"))
     assert run().count() == 120
+
+
+def test_stream_reads_its_source_once(spark, result, tmp_path):
+    requests_frame(spark, 3).select(REQUESTS.fieldNames()).write.parquet(str(tmp_path / "in"))
+    stream = read_request_stream(spark, str(tmp_path / "in"))
+    plan = answer_requests(result.model, stream)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("StreamingRelation") == 1
+
+
+def test_refused_requests_never_reach_the_model(spark, result):
+    """Not even with values that the assembler rejects; every rule is named, in any mixture."""
+    rows = [
+        (1, 5.0, "1", "a", 1.0, 1.0, 1.0, 0.5),
+        (None, None, None, None, None, None, None, None),
+        (3, float("nan"), "1", "a", -1.0, 1.0, 1.0, 0.5),
+        (4, 5.0, "many", "never seen", 1.0, 1.0, 1.0, 0.5),
+        (5, 5.0, "1", "never seen", 1.0, 1.0, 1.0, 0.5),
+    ]
+    requests = spark.createDataFrame(rows, REQUESTS)
+    answers = {r["company_id"]: r for r in answer_requests(result.model, requests).collect()}
+    assert len(answers[None]["failed_rules"]) == 8 and answers[4]["failed_rules"] == ["range_known"]
+    assert answers[3]["failed_rules"] == ["total_actions_nonneg"]
+    for key, row in answers.items():
+        refused = key in (None, 3, 4)
+        assert row["status"] == ("refused" if refused else "answered")
+        assert (row["conversion_probability"] is None) == (row["prediction"] is None) == (row["confidence"] is None) == refused
+    kept = score_requests(result.model, requests).collect()
+    assert {r["company_id"]: r["conversion_probability"] for r in kept} == {
+        key: row["conversion_probability"] for key, row in answers.items() if row["status"] == "answered"
+    }
+
+
+def test_a_half_written_batch_is_answered_once(spark, result, tmp_path):
+    requests_frame(spark, 60).select(REQUESTS.fieldNames()).repartition(3).write.parquet(str(tmp_path / "in"))
+
+    def run():
+        stream = read_request_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+        out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+        score_stream(result.model, stream, out, progress, once=True).awaitTermination()
+        return spark.read.parquet(out)
+
+    before = sorted(r["company_id"] for r in run().collect())
+    # As after a crash: files of the last batch are there, neither sink nor checkpoint know of them.
+    for log in (tmp_path / "out/_spark_metadata/2", tmp_path / "progress/commits/2"):
+        log.unlink()
+        (log.parent / f".{log.name}.crc").unlink(missing_ok=True)
+    assert run().count() == 60 and sorted(r["company_id"] for r in run().collect()) == before
+
+
+@pytest.mark.parametrize("model_type", ["random_forest", "xgboost", "lightgbm"])
+def test_split_importance_counts_nodes(spark, model_type):
+    settings = {"n_estimators": 4, "max_depth": 3}
+    found = train(requests_frame(spark), TrainingConfig(model_type, settings, folds=0))
+    counted = importances(found.model, "split")
+    nodes = re.findall(r"If \(feature (\d+) ", found.model.stages[-1].toDebugString)
+    assert [n for _, n in counted] == [nodes.count(str(i)) for i in range(len(counted))]
+    assert sum(n for _, n in counted) > 4 and any(n == 0 for _, n in counted)
+    reported = {r["feature"]: r["importance"] for r in found.importance.collect()}
+    assert reported == dict(counted if model_type == "lightgbm" else importances(found.model))
+    explained = explain_rows(found.model, requests_frame(spark, 2), 3, importance="split").first()
+    assert explained["top_features"][0]["importance"] == max(n for _, n in counted)
+    with pytest.raises(ValueError, match="Unknown importance"):
+        importances(found.model, "cover")
+
+
+@pytest.mark.parametrize("penalty", ["l2", "l1", "elasticnet", None])
+def test_optimality_of_a_logistic_model(spark, result, penalty):
+    rows = materialize(result.rows.where("split = 'train'"), "train")
+    stages = list(result.model.stages[:-1])
+    settings = {"penalty": penalty, "C": 0.05, "class_weight": "balanced", "tol": 1e-12, "max_iter": 5000}
+    classifier = create_model("logistic_regression", settings)
+    model = PipelineModel(stages=[*stages, classifier.fit(PipelineModel(stages=stages).transform(rows))])
+    table = {r["feature"]: r for r in logistic_optimality(model, classifier, rows).collect()}
+    assert list(table) == [name for name, _ in importances(model)] + ["intercept"]
+    assert table["intercept"]["moment"] == pytest.approx(0.5)
+    assert max(abs(r["slope"]) for r in table.values()) < 1e-5
+    # The moments are of the data alone; a model stopped early is told from the best.
+    early = create_model("logistic_regression", settings | {"max_iter": 1})
+    stopped = PipelineModel(stages=[*stages, early.fit(PipelineModel(stages=stages).transform(rows))])
+    worse = {r["feature"]: r for r in logistic_optimality(stopped, early, rows).collect()}
+    assert max(abs(r["slope"]) for r in worse.values()) > 1e-3
+    assert {k: r["moment"] for k, r in worse.items()} == pytest.approx({k: r["moment"] for k, r in table.items()})
