@@ -1,6 +1,8 @@
 """Evaluation of binary predictions: rows hold a 0/1 label and a 0/1 prediction or a score.
 
-Everything that depends on the confusion matrix needs one aggregation with four counters.
+Everything that depends on the confusion matrix needs one aggregation with four counters. The functions
+named `..._of_counts` start from its row, those named `..._of_tally` from (score, pos, neg) rows: one per
+prediction, or one per distinct score.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ LABEL, PREDICTION, SCORE = "y_true", "y_pred", "y_proba"
 _STEPS = 99
 # The score histogram has 50 bins.
 _BINS = 50
+# Names of the classes in reports.
+_CLASS_NAMES = ("Non-Customer", "Customer")
 
 
 def threshold_predictions(scored: DataFrame, threshold: float = 0.5, score: str = SCORE) -> DataFrame:
@@ -37,9 +41,27 @@ def confusion_counts(df: DataFrame, label: str = LABEL, prediction: str = PREDIC
     )
 
 
+def counts_at(tally: DataFrame, threshold: float) -> DataFrame:
+    """`confusion_counts` of predictions at a threshold, from a tally without NULL or NaN scores."""
+    yes, zero = F.col("score") >= threshold, F.lit(0).cast("bigint")
+
+    def total(column: str, hit: Column) -> Column:
+        return F.coalesce(F.sum(F.when(hit, F.col(column))), zero)
+
+    return tally.agg(
+        total("neg", ~yes).alias("tn"),
+        total("neg", yes).alias("fp"),
+        total("pos", ~yes).alias("fn"),
+        total("pos", yes).alias("tp"),
+    )
+
+
 def confusion_matrix(df: DataFrame, label: str = LABEL, prediction: str = PREDICTION) -> DataFrame:
     """One row per true class: predicted_0, predicted_1."""
+    return matrix_of_counts(confusion_counts(df, label, prediction))
+
 
+def matrix_of_counts(counts: DataFrame) -> DataFrame:
     def row(actual: int, no: str, yes: str) -> Column:
         return F.struct(
             F.lit(actual).alias("actual"),
@@ -47,7 +69,6 @@ def confusion_matrix(df: DataFrame, label: str = LABEL, prediction: str = PREDIC
             F.col(yes).alias("predicted_1"),
         )
 
-    counts = confusion_counts(df, label, prediction)
     return counts.select(F.inline(F.array(row(0, "tn", "fp"), row(1, "fn", "tp"))))
 
 
@@ -67,8 +88,12 @@ def classification_metrics(
     df: DataFrame, label: str = LABEL, prediction: str = PREDICTION
 ) -> DataFrame:
     """One row: accuracy, precision, recall, f1; an empty denominator gives 0."""
+    return metrics_of_counts(confusion_counts(df, label, prediction))
+
+
+def metrics_of_counts(counts: DataFrame) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    return confusion_counts(df, label, prediction).select(
+    return counts.select(
         safe_ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         _precision(tp, fp).alias("precision"),
         _recall(tp, fn).alias("recall"),
@@ -80,9 +105,13 @@ def classification_report(
     df: DataFrame,
     label: str = LABEL,
     prediction: str = PREDICTION,
-    names: tuple[str, str] = ("Non-Customer", "Customer"),
+    names: tuple[str, str] = _CLASS_NAMES,
 ) -> DataFrame:
     """Precision, recall, f1 and support per class, then accuracy, macro and weighted averages."""
+    return report_of_counts(confusion_counts(df, label, prediction), names)
+
+
+def report_of_counts(counts: DataFrame, names: tuple[str, str] = _CLASS_NAMES) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
 
     def line(name: str, precision: Column, recall: Column, f1: Column, support: Column) -> Column:
@@ -109,7 +138,7 @@ def classification_report(
         line("macro avg", *macro, total),
         line("weighted avg", *weighted, total),
     ]
-    return confusion_counts(df, label, prediction).select(F.inline(F.array(*lines)))
+    return counts.select(F.inline(F.array(*lines)))
 
 
 def business_metrics(
@@ -120,9 +149,15 @@ def business_metrics(
     contact_cost: float = 1.0,
 ) -> DataFrame:
     """One row: contacts, conversions and what they earn and cost."""
+    return business_of_counts(confusion_counts(df, label, prediction), conversion_value, contact_cost)
+
+
+def business_of_counts(
+    counts: DataFrame, conversion_value: float = 100.0, contact_cost: float = 1.0
+) -> DataFrame:
     contacts, hits, missed = F.col("fp") + F.col("tp"), F.col("tp"), F.col("fn")
     revenue, cost = hits * F.lit(conversion_value), contacts * F.lit(contact_cost)
-    return confusion_counts(df, label, prediction).select(
+    return counts.select(
         contacts.alias("total_contacts"),
         hits.alias("successful_conversions"),
         missed.alias("missed_conversions"),
@@ -135,13 +170,31 @@ def business_metrics(
     )
 
 
+def tally_rows(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
+    """Predictions as a tally, one row each; a label other than 0 and 1 counts for nothing."""
+    y = named(label)
+    return scored.select(
+        named(score).alias("score"),
+        F.coalesce((y == 1).cast("bigint"), F.lit(0)).alias("pos"),
+        F.coalesce((y == 0).cast("bigint"), F.lit(0)).alias("neg"),
+    )
+
+
 def threshold_scores(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
     """f1, precision and recall at each of the 100 thresholds, from one pass over the rows.
 
+    A NULL score reaches no threshold.
+    """
+    return thresholds_of_tally(tally_rows(scored, label, score))
+
+
+def thresholds_of_tally(tally: DataFrame) -> DataFrame:
+    """`threshold_scores` of a tally.
+
     Each row falls into the cell of the highest threshold it reaches. The cells, 101 at most, are
     then summed from the top: the window below sees no more rows than that.
     """
-    p, step = named(score), F.lit(1.0 / _STEPS)
+    p, step = F.col("score"), F.lit(1.0 / _STEPS)
     guess = F.floor(F.least(F.greatest(p * _STEPS, F.lit(-1.0)), F.lit(float(_STEPS)))).cast("int")
 
     def point(i: Column) -> Column:
@@ -153,10 +206,8 @@ def threshold_scores(scored: DataFrame, label: str = LABEL, score: str = SCORE)
         .when((guess < _STEPS) & (p >= point(guess + 1)), guess + 1)
         .otherwise(guess)
     )
-    cells = scored.groupBy(cell.alias("cell")).agg(
-        F.count_if(named(label) == 1).alias("pos"), F.count_if(named(label) == 0).alias("neg")
-    )
-    grid = scored.sparkSession.range(-1, _STEPS + 1, numPartitions=1)
+    cells = tally.groupBy(cell.alias("cell")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    grid = tally.sparkSession.range(-1, _STEPS + 1, numPartitions=1)
     grid = grid.select(F.col("id").cast("int").alias("cell"))
     from_top = Window.partitionBy(F.lit(0)).orderBy(F.desc("cell"))
     counted = (
@@ -188,6 +239,11 @@ def optimal_thresholds(
 ) -> DataFrame:
     """(metric, threshold, value): per metric the threshold with the best value, the lowest of equals;
     (0.5, 0) if none is above 0. One pass over the rows for all metrics."""
+    return best_thresholds(threshold_scores(scored, label, score), metrics)
+
+
+def best_thresholds(thresholds: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
+    """`optimal_thresholds` of a table of `threshold_scores`."""
     bests = []
     for metric in metrics:
         rank = F.struct(F.col(metric).alias("value"), (-F.col("threshold")).alias("low"))
@@ -199,7 +255,7 @@ def optimal_thresholds(
                 F.coalesce(best["value"], F.lit(0.0)).alias("value"),
             )
         )
-    return threshold_scores(scored, label, score).agg(F.array(*bests).alias("bests")).select(F.inline("bests"))
+    return thresholds.agg(F.array(*bests).alias("bests")).select(F.inline("bests"))
 
 
 def optimal_threshold(
@@ -216,9 +272,15 @@ def score_histogram(scored: DataFrame, label: str = LABEL, score: str = SCORE) -
 
     The last bin includes its upper end. A class with a single score gets a range of width 1.
     """
-    rows = scored.select(named(label).alias("actual"), named(score).alias("score")).where(
-        F.col("actual").isin(0, 1) & F.col("score").isNotNull()
-    )
+    return histogram_of_tally(tally_rows(scored, label, score))
+
+
+def histogram_of_tally(tally: DataFrame) -> DataFrame:
+    classes = [
+        F.struct(F.lit(actual).alias("actual"), F.col(column).alias("n"))
+        for actual, column in enumerate(("neg", "pos"))
+    ]
+    rows = tally.where(F.col("score").isNotNull()).select("score", F.inline(F.array(*classes))).where("n > 0")
     p, low, high = F.col("score"), F.col("low"), F.col("high")
     ends = rows.groupBy("actual").agg(F.min(p).alias("low"), F.max(p).alias("high"))
     half = F.when(low == high, 0.5).otherwise(0.0)
@@ -235,8 +297,8 @@ def score_histogram(scored: DataFrame, label: str = LABEL, score: str = SCORE) -
         .otherwise(guess)
     )
     # `ends` has one row per class, two at most.
-    placed = rows.join(F.broadcast(ends), "actual").select("actual", bin_.alias("bin"))
-    counts = placed.groupBy("actual", "bin").agg(F.count("*").alias("n"))
+    placed = rows.join(F.broadcast(ends), "actual").select("actual", bin_.alias("bin"), "n")
+    counts = placed.groupBy("actual", "bin").agg(F.sum("n").alias("n"))
     bins = ends.select(
         "actual", "low", "high", F.explode(F.sequence(F.lit(0), F.lit(_BINS - 1))).alias("bin")
     )

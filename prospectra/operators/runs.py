@@ -22,11 +22,14 @@ def all_metrics(
 ) -> DataFrame:
     """One row with all of `RUN_METRICS`; the threshold applies to the score."""
     predicted = threshold_predictions(scored, threshold, score)
-    areas = area_metrics(scored, label, score).select(F.struct("*").alias("areas"))
-    return (
-        classification_metrics(predicted, label)
-        .withColumn("_areas", areas.scalar())
-        .select("accuracy", "precision", "recall", "f1", "_areas.*")
+    return with_areas(classification_metrics(predicted, label), area_metrics(scored, label, score))
+
+
+def with_areas(metrics: DataFrame, areas: DataFrame) -> DataFrame:
+    """Two tables of one row each as one."""
+    areas = areas.select(F.struct("*").alias("areas"))
+    return metrics.withColumn("_areas", areas.scalar()).select(
+        "accuracy", "precision", "recall", "f1", "_areas.*"
     )
 
 

@@ -7,16 +7,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from prospectra.operators.cleaning import LABEL
-from prospectra.operators.curves import pr_curve, roc_curve
+from prospectra.operators.curves import (
+    areas_of_steps,
+    pr_of_steps,
+    roc_of_steps,
+    score_counts,
+    with_running_totals,
+)
 from prospectra.operators.metrics import (
-    business_metrics,
-    classification_report,
-    confusion_matrix,
-    optimal_threshold,
-    score_histogram,
-    threshold_predictions,
+    best_thresholds,
+    business_of_counts,
+    counts_at,
+    histogram_of_tally,
+    matrix_of_counts,
+    metrics_of_counts,
+    report_of_counts,
+    thresholds_of_tally,
 )
-from prospectra.operators.runs import all_metrics
+from prospectra.operators.runs import with_areas
 from prospectra.sources.scratch import materialize
 
 
@@ -42,20 +50,21 @@ def evaluate(
 ) -> Evaluation:
     """Metrics at a threshold, curves, histogram and the best threshold by f1.
 
-    Label and score are written to scratch first, so the model scores each row once and not once per
-    table.
+    The predictions are read once, so the model scores each row once: classes are counted per
+    distinct score, running totals added, and all tables follow from this one, which is in scratch.
+    Rows whose score is NULL or NaN are left out of all of them.
     """
-    scored = materialize(predictions.select(label, score), "scored")
-    predicted = threshold_predictions(scored, threshold, score)
+    tally = materialize(score_counts(predictions, label, score), "score-counts")
+    steps = materialize(with_running_totals(tally), "score-steps")
+    found = counts_at(steps, threshold)
+    counts = predictions.sparkSession.createDataFrame(found.collect(), found.schema)  # four numbers
     return Evaluation(
-        metrics=all_metrics(scored, threshold, label, score),
-        confusion=confusion_matrix(predicted, label),
-        report=classification_report(predicted, label),
-        business=business_metrics(
-            predicted, label, conversion_value=conversion_value, contact_cost=contact_cost
-        ),
-        best_threshold=optimal_threshold(scored, "f1", label, score),
-        roc=roc_curve(scored, label, score),
-        precision_recall=pr_curve(scored, label, score),
-        histogram=score_histogram(scored, label, score),
+        metrics=with_areas(metrics_of_counts(counts), areas_of_steps(steps)),
+        confusion=matrix_of_counts(counts),
+        report=report_of_counts(counts),
+        business=business_of_counts(counts, conversion_value, contact_cost),
+        best_threshold=best_thresholds(thresholds_of_tally(steps), ["f1"]).drop("metric"),
+        roc=roc_of_steps(steps),
+        precision_recall=pr_of_steps(steps),
+        histogram=histogram_of_tally(steps),
     )

@@ -26,6 +26,7 @@ from prospectra.operators.prefix import dense_number, running_totals
 from prospectra.operators.quantiles import column_modes, column_quantiles
 from prospectra.operators.runs import all_metrics, best_run, metrics_table, run_comparison
 from prospectra.operators.split import split_by_hash, split_stratified, with_folds
+from prospectra.plans.evaluation import evaluate
 
 FEW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 SCORED = "y_true int, y_proba double"
@@ -326,3 +327,50 @@ def test_folds_hold_even_parts_of_each_class(spark):
     for y, size in ((1, 9), (0, 193)):
         assert sorted(counts[y, fold] for fold in range(5)) == sorted(size // 5 + (i < size % 5) for i in range(5))
     assert sum(counts.values()) == 203
+
+
+@pytest.mark.parametrize("case", ["ties", "distinct", "one class", "empty"])
+def test_evaluation_from_steps_equals_each_metric_from_rows(spark, case):
+    rows = {
+        "ties": [(i % 3 % 2, round((i * 37 % 101) / 100, 1)) for i in range(300)] + [(None, 0.5), (1, None), (0, 1.0)],
+        "distinct": [(int(i * 7919 % 97 > 40), (i * 31 % 199) / 199) for i in range(199)],
+        "one class": [(1, 0.2), (1, 0.7), (1, 0.7)],
+        "empty": [],
+    }[case]
+    df = spark.createDataFrame(rows, "is_customer int, probability double").repartition(3)
+    found, names = evaluate(df, 0.4), ("is_customer", "probability")
+    df = df.where("probability IS NOT NULL")  # the row without a score is left out of every table
+    predicted = threshold_predictions(df, 0.4, "probability")
+    expected = {
+        "metrics": all_metrics(df, 0.4, *names),
+        "confusion": confusion_matrix(predicted, "is_customer"),
+        "report": classification_report(predicted, "is_customer"),
+        "business": business_metrics(predicted, "is_customer"),
+        "best_threshold": optimal_threshold(df, "f1", *names),
+        "roc": roc_curve(df, *names),
+        "precision_recall": pr_curve(df, *names),
+        "histogram": score_histogram(df, *names),
+    }
+    for name, table in expected.items():
+        other = getattr(found, name)
+        assert other.columns == table.columns, name
+        left, right = (sorted(map(tuple, t.collect()), key=repr) for t in (other, table))
+        assert len(left) == len(right), name
+        for a, b in zip(left, right):
+            assert a == pytest.approx(b), name
+
+
+def test_evaluation_reads_the_predictions_once(spark):
+    """Every pass over the predictions calls the function once per row."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(i):
+        seen.add(1)
+        return i / 50.0
+
+    df = spark.range(50).select((F.col("id") % 2).cast("int").alias("is_customer"), score("id").alias("probability"))
+    found = evaluate(df)
+    for table in vars(found).values():
+        table.collect()
+    assert seen.value == 50
