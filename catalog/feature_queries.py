@@ -186,20 +186,20 @@ def split_inputs(spark, d, inputs=MODEL_INPUTS):
 
 
 _STAGED = ["ALEXA_RANK", *USAGE_FEATURES]
-_STAGED_ALL = [*_STAGED, "employee_range_ordinal"]
+STAGED_ALL = [*_STAGED, "employee_range_ordinal"]
 FEATURE_STAGES_EXTRA = (
     f"inputs AS (SELECT id, is_customer, {SPLIT_SQL} AS split, {', '.join(_STAGED)}, INDUSTRY, "
     f"{RANGE_CASE} AS employee_range_ordinal FROM prepared), "
     "filled AS (SELECT * REPLACE (COALESCE(CAST(ALEXA_RANK AS DOUBLE), (SELECT "
     "median(CAST(ALEXA_RANK AS DOUBLE)) FROM inputs WHERE split = 'train')) AS ALEXA_RANK) FROM inputs), "
     "fitted AS (SELECT "
-    + ", ".join(f"avg({c}) AS c_{c}, stddev_pop({c}) AS s_{c}" for c in _STAGED_ALL)
+    + ", ".join(f"avg({c}) AS c_{c}, stddev_pop({c}) AS s_{c}" for c in STAGED_ALL)
     + " FROM filled WHERE split = 'train')"
 )
 
 # Name of an input -> SQL of its value after all stages.
 STAGED_SQL = {
-    c: f"(({c} - c_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END)" for c in _STAGED_ALL
+    c: f"(({c} - c_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END)" for c in STAGED_ALL
 } | {f"industry_{s}": f"CASE WHEN INDUSTRY = '{s}' THEN 1 ELSE 0 END" for s in SEGMENTS} | {
     "industry_Other": "CASE WHEN COALESCE(INDUSTRY, 'Other') = 'Other' THEN 1 ELSE 0 END"
 }
@@ -208,7 +208,7 @@ STAGED_SQL = {
 def staged_sql(columns: str, left_out: set[str] = frozenset()) -> str:
     """`columns` and the inputs after all stages."""
     inputs = ", ".join(
-        f"round({value}, 6) AS {c}" if c in _STAGED_ALL else f'{value} AS "{c}"'
+        f"round({value}, 6) AS {c}" if c in STAGED_ALL else f'{value} AS "{c}"'
         for c, value in STAGED_SQL.items()
         if c not in left_out
     )

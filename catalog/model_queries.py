@@ -8,7 +8,9 @@ unbagged forest over a single input predicts the majority per value.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.param.shared import HasInputCols
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
 from catalog.data_queries import (
@@ -25,6 +27,7 @@ from catalog.feature_queries import (
     FEATURE_STAGES_EXTRA,
     HASH_SQL,
     SPLIT_SQL,
+    STAGED_ALL,
     STAGED_SQL,
     split_inputs,
     staged_sql,
@@ -36,7 +39,7 @@ from catalog.roles import role, sql
 from prospectra.ml.evaluation import cross_validate
 from prospectra.ml.foreign import FunctionModel
 from prospectra.ml.models import MODEL_TYPES, create_model, feature_importance, logistic_optimality
-from prospectra.ml.stages import AssembleFeatures, OneHotFrequent, RangeOrdinal
+from prospectra.ml.stages import AssembleFeatures, OneHotFrequent, RangeOrdinal, ScaleFeatures, ScaleFeaturesModel
 from prospectra.operators.curves import average_precision, pr_curve, roc_auc, roc_curve
 from prospectra.operators.metrics import (
     business_metrics,
@@ -551,6 +554,62 @@ def sink_splits(spark, d):
     return rounded(with_onehot_columns(model, spark.read.parquet(path)))
 
 
+@query(
+    "fitted_parameters",
+    sql(
+        "SELECT feature, round(center, 6) AS center, round(spread, 6) AS spread FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, c_{c} AS center, CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END AS spread FROM fitted"
+            for c in STAGED_ALL
+        )
+        + ")",
+        "prepared",
+        extra=FEATURE_STAGES_EXTRA,
+    ),
+)
+def fitted_parameters(spark, d):
+    """What a stage learned, read from the parameters of the fitted, saved and reloaded model."""
+    path = new_scratch_path(spark, "parameters")
+    _standard_model(spark, d).write().save(path)
+    scaler = next(s for s in PipelineModel.load(path).stages if isinstance(s, ScaleFeaturesModel))
+    learned = {param.name: value for param, value in scaler.extractParamMap().items()}
+    table = zip(learned["inputCols"], learned["centers"], learned["spreads"], strict=True)
+    return rounded(spark.createDataFrame(list(table), "feature string, center double, spread double"))
+
+
+class Logarithms(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """A stage of a user's own: the logarithm of one more than the value."""
+
+    def _transform(self, dataset):
+        return dataset.withColumns({c: F.log1p(F.col(c).cast("double")) for c in self.getInputCols()})
+
+
+_LOGGED = ["total_actions", "total_users", "days_active"]
+
+
+@query(
+    "custom_transformer",
+    sql(
+        "SELECT id, "
+        + ", ".join(
+            f"round((l_{c} - avg(l_{c}) OVER ()) / CASE WHEN stddev_pop(l_{c}) OVER () = 0 THEN 1 "
+            f"ELSE stddev_pop(l_{c}) OVER () END, 6) AS {c}"
+            for c in _LOGGED
+        )
+        + f" FROM (SELECT id, {', '.join(f'ln(1 + CAST({c} AS DOUBLE)) AS l_{c}' for c in _LOGGED)} FROM prepared)",
+        "prepared",
+    ),
+)
+def custom_transformer(spark, d):
+    """A user's stage before one of the library's, fitted, saved and reloaded with it."""
+    logarithms = Logarithms()
+    logarithms.set(logarithms.inputCols, _LOGGED)
+    rows = materialize(prepared(spark, d).select("id", *_LOGGED), "logged")
+    path = new_scratch_path(spark, "custom-transformer")
+    Pipeline(stages=[logarithms, ScaleFeatures("standard", _LOGGED)]).fit(rows).write().save(path)
+    return rounded(PipelineModel.load(path).transform(rows))
+
+
 # A model from outside Spark ------------------------------------------------------------------
 
 
