@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prospectra.functions import named
+from prospectra.ml.boosting import Growth, fit_boosted
 from prospectra.ml.stages import OneHotVectorModel, _Stage, _string
 from prospectra.operators.cleaning import LABEL
 from prospectra.sources.scratch import new_scratch_path
@@ -63,6 +64,12 @@ _DEFAULTS = {
         "gamma": 0.0,
         "scale_pos_weight": 1.0,
         "max_bins": 64,
+        "trees": "spark",
+        "reg_lambda": 1.0,
+        "reg_alpha": 0.0,
+        "min_child_weight": 1.0,
+        "max_leaves": 0,
+        "base_score": 0.5,
         "random_state": 42,
     },
     "lightgbm": {
@@ -78,11 +85,17 @@ _DEFAULTS = {
         "is_unbalance": False,
         "class_weight": None,
         "max_bins": 64,
+        "trees": "spark",
+        "reg_lambda": 0.0,
+        "reg_alpha": 0.0,
+        "min_child_weight": 1e-3,
         "random_state": 42,
     },
 }
 
 MODEL_TYPES = tuple(_DEFAULTS)
+# Settings that Spark's own boosted trees, of first order and grown by level, do not know.
+_SECOND_ORDER = {"reg_lambda", "reg_alpha", "min_child_weight", "max_leaves", "base_score"}
 
 
 def create_model(model_type: str, hyperparameters: dict | None = None) -> "ConversionClassifier":
@@ -92,6 +105,11 @@ def create_model(model_type: str, hyperparameters: dict | None = None) -> "Conve
     unknown = set(given) - set(_DEFAULTS[model_type]) - _NO_EFFECT
     if unknown:
         raise ValueError(f"Unknown hyperparameters of {model_type}: {', '.join(sorted(unknown))}")
+    trees = given.get("trees", "spark")
+    if trees not in ("spark", "second_order"):
+        raise ValueError(f"Unknown trees: {trees}; use spark or second_order")
+    if "trees" in _DEFAULTS[model_type] and trees == "spark" and _SECOND_ORDER & set(given):
+        raise ValueError(f"Only trees of second order have {', '.join(sorted(_SECOND_ORDER & set(given)))}")
     return ConversionClassifier(modelType=model_type, hyperparameters=json.dumps(given))
 
 
@@ -151,6 +169,10 @@ class ConversionClassifier(_Stage, Estimator):
 
     def _fit(self, dataset: DataFrame) -> Model:
         weighted, total = self.weighted(dataset)
+        if self.settings().get("trees") == "second_order":
+            label, features = self._value("labelCol"), self._value("featuresCol")
+            model = fit_boosted(weighted, label, features, _WEIGHT, _growth(self._value("modelType"), self.settings()))
+            return model._set(labelCol=label, featuresCol=features)
         classifier = self._classifier(self.settings(), total)
         classifier.setParams(
             labelCol=self._value("labelCol"),
@@ -211,6 +233,25 @@ class ConversionClassifier(_Stage, Estimator):
         )
 
 
+def _growth(kind: str, given: dict) -> Growth:
+    """Trees of second order: `xgboost` splits whole levels, `lightgbm` the leaf that gains most."""
+    shared = {
+        "trees": given["n_estimators"],
+        "rate": given["learning_rate"],
+        "max_depth": max(given["max_depth"], 0),
+        "l1": given["reg_alpha"],
+        "l2": given["reg_lambda"],
+        "min_hessian": given["min_child_weight"],
+        "row_share": given["subsample"],
+        "column_share": given["colsample_bytree"],
+        "max_bins": given["max_bins"],
+        "seed": given["random_state"],
+    }
+    if kind == "xgboost":
+        return Growth(**shared, min_gain=given["gamma"], max_leaves=given["max_leaves"], base_score=given["base_score"])
+    return Growth(**shared, min_gain=given["min_split_gain"], max_leaves=given["num_leaves"], min_rows=given["min_child_samples"])
+
+
 def _allowed(depth: int) -> int:
     """A tree depth that Spark can build; a deeper one is refused, not cut."""
     if depth > _MAX_DEPTH:
