@@ -438,6 +438,98 @@ def train_boosted(spark, d):
     return rounded(rates, 4)
 
 
+# Trees of second order ---------------------------------------------------------------------------
+
+_SECOND_ORDER = {
+    "xgboost": {"trees": "second_order", "n_estimators": 2, "learning_rate": 0.3, "max_depth": 2, "scale_pos_weight": 1.5},
+    "lightgbm": {"trees": "second_order", "n_estimators": 2, "learning_rate": 0.1, "num_leaves": 4, "min_child_samples": 5},
+}
+_INPUTS = ["employee_range_ordinal", *_FLAGS]
+
+
+def _tree_sql(kind: str, number: int, steps: int, per_node: bool, l2: float, least: str, rate: float) -> str:
+    """Tables of one tree: each step splits every leaf, or the one that gains most; `{kind}_{number}` has the scores."""
+    name = f"{kind}_{number}"
+    parts = [
+        f"{name}_0 AS MATERIALIZED (SELECT *, '' AS node, w * pos * (p - 1) + neg * p AS g, "
+        f"(w * pos + neg) * p * (1 - p) AS h FROM (SELECT *, 1 / (1 + exp(-f)) AS p FROM {kind}_{number - 1}))"
+    ]
+    for step in range(1, steps + 1):
+        before = f"{name}_{step - 1}"
+        sums = " UNION ALL ".join(
+            f"SELECT node, {i} AS input, {c} AS x, sum(g) AS g, sum(h) AS h, sum(n) AS n FROM {before} GROUP BY node, {c}"
+            for i, c in enumerate(_INPUTS)
+        )
+        upto = ", ".join(f"sum({c}) OVER (PARTITION BY node, input ORDER BY x) AS l{c}" for c in "ghn")
+        whole = ", ".join(f"sum({c}) OVER (PARTITION BY node, input) AS t{c}" for c in "ghn")
+        value = "CASE input " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(_INPUTS)) + " END"
+        parts.append(
+            f"{name}_{step}_splits AS MATERIALIZED (SELECT node AS split_node, input, x FROM (SELECT node, input, x, "
+            f"lg * lg / (lh + {l2}) + (tg - lg) * (tg - lg) / (th - lh + {l2}) - tg * tg / (th + {l2}) AS gain "
+            f"FROM (SELECT node, input, x, {upto}, {whole} FROM ({sums})) WHERE ln < tn AND {least}) WHERE gain > 1e-6 "
+            f"QUALIFY row_number() OVER ({'PARTITION BY node ' if per_node else ''}ORDER BY gain DESC, node, input, x) = 1)"
+        )
+        parts.append(
+            f"{name}_{step} AS MATERIALIZED (SELECT b.* REPLACE (CASE WHEN split_node IS NULL THEN node WHEN {value} <= x "
+            f"THEN node || 'L' ELSE node || 'R' END AS node) FROM {before} b LEFT JOIN {name}_{step}_splits ON node = split_node)"
+        )
+    parts.append(
+        f"{name} AS MATERIALIZED (SELECT {', '.join(_INPUTS)}, n, pos, neg, w, "
+        f"f - {rate} * sum(g) OVER (PARTITION BY node) / (sum(h) OVER (PARTITION BY node) + {l2}) AS f FROM {name}_{steps})"
+    )
+    return ", ".join(parts)
+
+
+_SECOND_ORDER_SQL = ", ".join(
+    [
+        f"""cells AS MATERIALIZED (SELECT {RANGE_CASE} AS employee_range_ordinal,
+        CASE WHEN total_actions > 0 THEN 1 ELSE 0 END AS has_usage,
+        CASE WHEN ALEXA_RANK < 500000 THEN 1 ELSE 0 END AS low_rank, CAST(count(*) AS DOUBLE) AS n,
+        CAST(sum(is_customer) AS DOUBLE) AS pos, CAST(sum(1 - is_customer) AS DOUBLE) AS neg FROM prepared GROUP BY 1, 2, 3)""",
+        "xgboost_0 AS MATERIALIZED (SELECT *, CAST(1.5 AS DOUBLE) AS w, CAST(0 AS DOUBLE) AS f FROM cells)",
+        "lightgbm_0 AS MATERIALIZED (SELECT *, CAST(1 AS DOUBLE) AS w, ln(sum(pos) OVER () / sum(neg) OVER ()) AS f FROM cells)",
+        *(_tree_sql("xgboost", k, 2, True, 1.0, "lh >= 1 AND th - lh >= 1", 0.3) for k in (1, 2)),
+        *(
+            _tree_sql("lightgbm", k, 3, False, 0.0, "ln >= 5 AND tn - ln >= 5 AND lh >= 1e-3 AND th - lh >= 1e-3", 0.1)
+            for k in (1, 2)
+        ),
+    ]
+)
+
+
+@query(
+    "train_boosted_second_order",
+    sql(
+        " UNION ALL ".join(
+            f"SELECT '{kind}' AS model_type, {', '.join(_INPUTS)}, CAST(n AS BIGINT) AS n, "
+            f"round(1 / (1 + exp(-f)), 5) AS probability FROM {kind}_2"
+            for kind in _SECOND_ORDER
+        ),
+        "prepared",
+        extra=_SECOND_ORDER_SQL,
+    ),
+)
+def train_boosted_second_order(spark, d):
+    """Depth-limited and leaf-limited trees of three inputs: the probability of every cell."""
+    used = F.when(F.col("total_actions") > 0, 1).otherwise(0)
+    low = F.when(F.col("ALEXA_RANK") < 500_000, 1).otherwise(0)
+    chosen = prepared(spark, d).select("id", "is_customer", "EMPLOYEE_RANGE", used.alias(_FLAGS[0]), low.alias(_FLAGS[1]))
+    rows = materialize(chosen, "boosted")
+    cells = None
+    for kind, settings in _SECOND_ORDER.items():
+
+        def fit(kind=kind, settings=settings):
+            stages = [RangeOrdinal(), AssembleFeatures(["id", "is_customer"])]
+            return _fit(rows, stages, kind, **settings)
+
+        scored = RangeOrdinal().transform(predict(_fitted(spark, d, f"second-order-{kind}", fit), rows))
+        cell = scored.groupBy(*[F.col(c).cast("int").alias(c) for c in _INPUTS])
+        cell = cell.agg(F.count("*").alias("n"), F.round(F.max("probability"), 5).alias("probability"))
+        cell = cell.withColumn("model_type", F.lit(kind))
+        cells = cell if cells is None else cells.unionByName(cell)
+    return cells
+
+
 # Trees of two flags have a leaf per cell; their root splits on the flag that explains more of the
 # residuals, both its children on the other one.
 _SPLITS = f"""flags AS (SELECT is_customer AS y, CASE WHEN total_actions > 0 THEN 1 ELSE 0 END AS has_usage,

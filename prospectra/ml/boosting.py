@@ -112,24 +112,25 @@ class Tree:
         return [self.left[node], self.right[node]]
 
     def advance(self, growth: Growth) -> list[int]:
-        """Split leaves by gain as far as histograms are known; the nodes whose histograms are needed to go on."""
-        self.chosen, leaves = [], 1
+        """Split leaves by gain; the nodes whose histograms must be known before these splits are certain.
+
+        A leaf whose children are not known yet is split as if these gained nothing. Whatever they gain, the
+        leaves split in the end are among those split here and what comes below the unknown children.
+        """
+        self.chosen, wanted = [], []
         ready = [(-self.best[0].gain, 0)] if self.best[0] else []
-        while ready and (not growth.max_leaves or leaves < growth.max_leaves):
+        while ready and (not growth.max_leaves or len(self.chosen) + 1 < growth.max_leaves):
             _, node = heapq.heappop(ready)
             self.chosen.append(node)
-            leaves += 1
-            children = self._children(node, growth)
-            if all(self.known[child] for child in children):
-                for child in children:
-                    if self.best[child]:
-                        heapq.heappush(ready, (-self.best[child].gain, child))
-            elif not growth.max_leaves or leaves < growth.max_leaves:
-                left = growth.max_leaves - leaves if growth.max_leaves else len(ready)
-                for _, other in heapq.nsmallest(left, ready):
-                    children = children + self._children(other, growth)
-                return [child for child in children if not self.known[child]]
-        return []
+            for child in self._children(node, growth):
+                if not self.known[child]:
+                    wanted.append(child)
+                elif self.best[child]:
+                    heapq.heappush(ready, (-self.best[child].gain, child))
+        last = growth.max_leaves and len(self.chosen) + 1 == growth.max_leaves
+        if last and wanted and min(wanted) == self.left[self.chosen[-1]]:
+            return []  # only children of the last split are unknown, and none of them will be split
+        return wanted
 
     def arrays(self, only_chosen: bool) -> "Routes":
         split = [
