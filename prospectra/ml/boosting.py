@@ -133,9 +133,8 @@ class Tree:
         return wanted
 
     def arrays(self, only_chosen: bool) -> "Routes":
-        split = [
-            self.left[i] >= 0 and (not only_chosen or i in set(self.chosen)) for i in range(len(self.sums))
-        ]
+        chosen = set(self.chosen)
+        split = [self.left[i] >= 0 and (not only_chosen or i in chosen) for i in range(len(self.sums))]
         return Routes(
             np.array([self.best[i].feature if s else -1 for i, s in enumerate(split)]),
             np.array([self.best[i].bin if s else 0 for i, s in enumerate(split)]),
