@@ -106,8 +106,8 @@ def _histogram(codes: np.ndarray, counts: np.ndarray, lows: np.ndarray, highs: n
     """Codes in ascending order, added up by cell: number, smallest and largest code."""
     cells = codes >> shift
     starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-    ends = np.append(starts[1:], len(cells)) - 1
-    return cells[starts], np.add.reduceat(counts, starts), lows[starts], highs[ends]
+    # stretches overlap, so the last to begin need not be the one that ends last
+    return cells[starts], np.add.reduceat(counts, starts), lows[starts], np.maximum.reduceat(highs, starts)
 
 
 def _pass(df: DataFrame, cells: list[_Cell]) -> pa.Table:

@@ -99,6 +99,16 @@ def test_quantiles_by_many_passes(spark, monkeypatch, fetched):
     check_quantiles(spark, quantile_frame(), [0.0, 0.25, 0.5, 0.999, 1.0])
 
 
+def test_quantiles_of_batches_that_overlap(spark):
+    """Of one cell, a batch that begins later may end earlier; what lies between must not get lost."""
+    step = F.when(F.col("id") < 10_000, F.col("id")).otherwise(5_000)
+    df = spark.range(0, 20_000, 1, 1).select((1 + step / 1e6).alias("x"))
+    values = pd.Series([1 + (i if i < 10_000 else 5_000) / 1e6 for i in range(20_000)])
+    probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    found = column_quantiles(df, ["x"], probabilities).first()["quantiles"]
+    assert found == pytest.approx(values.quantile(probabilities).tolist(), abs=1e-12)
+
+
 def test_quantiles_of_any_double(spark):
     values = [-0.0, 0.0, 5e-324, -5e-324, 1e308, -1e308, float("inf"), float("-inf"), 1.0, -1.0, float("nan"), None]
     df = spark.createDataFrame([(v, 1, "x") for v in values], "`my col` double, n int, s string")
