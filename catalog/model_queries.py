@@ -579,14 +579,13 @@ def split_importance(spark, d):
 )
 def model_factory(spark, d):
     """Predicted class per industry, by every type of model."""
-    rows = companies(spark, d).select("id", "is_customer", "INDUSTRY")
+    rows = materialize(companies(spark, d).select("id", "is_customer", "INDUSTRY"), "industries")
     classes = None
     for model_type in MODEL_TYPES:
 
         def fit(model_type=model_type):
             stages = [OneHotFrequent(), AssembleFeatures(["id", "is_customer"])]
-            train = materialize(rows, "industries")
-            return _fit(train, stages, model_type, **_SATURATED[model_type])
+            return _fit(rows, stages, model_type, **_SATURATED[model_type])
 
         scored = predict(_fitted(spark, d, f"industry-{model_type}", fit), rows)
         found = scored.groupBy(F.coalesce("INDUSTRY", F.lit("Other")).alias("industry")).agg(

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -18,6 +20,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from prospectra.functions import named
 from prospectra.ml.boosting import Growth, fit_boosted
@@ -26,6 +29,8 @@ from prospectra.operators.cleaning import LABEL
 from prospectra.sources.scratch import new_scratch_path
 
 _WEIGHT = "_weight"
+#: Rows that a fit, which caches its rows and reads them many times, takes in one partition.
+TASK_ROWS = 500_000
 _MAX_DEPTH = 30  # Spark's limit
 _NO_EFFECT = {"n_jobs", "verbose", "verbosity", "use_label_encoder", "eval_metric", "solver"}
 
@@ -179,7 +184,8 @@ class ConversionClassifier(_Stage, Estimator):
             featuresCol=self._value("featuresCol"),
             weightCol=_WEIGHT,
         )
-        return classifier.fit(weighted)
+        with _spread(weighted, [self._value("labelCol"), self._value("featuresCol"), _WEIGHT]) as rows:
+            return classifier.fit(rows)
 
     def _classifier(self, given: dict, total_weight: float) -> Estimator:
         kind = self._value("modelType")
@@ -233,6 +239,26 @@ class ConversionClassifier(_Stage, Estimator):
         )
 
 
+@contextmanager
+def _spread(rows: DataFrame, columns: list[str]) -> Iterator[DataFrame]:
+    """`rows` for a fit; their `columns` over more partitions if one holds more than `TASK_ROWS`.
+
+    Partitions of files follow the bytes, and few bytes can hold very many rows. The dealt rows are kept for the block,
+    as a fit starts from them several times.
+    """
+    partitions = rows.groupBy(F.spark_partition_id().alias("_partition")).agg(F.count("*").alias("n"))
+    found = partitions.agg(F.max("n").alias("largest"), F.sum("n").alias("n"), F.count("*").alias("partitions")).first()
+    if (found["largest"] or 0) <= TASK_ROWS:
+        yield rows
+        return
+    count = max(math.ceil(found["n"] / TASK_ROWS), found["partitions"])
+    dealt = rows.select(*[named(c) for c in columns]).repartition(count).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield dealt
+    finally:
+        dealt.unpersist()
+
+
 def _growth(kind: str, given: dict) -> Growth:
     """Trees of second order: `xgboost` splits whole levels, `lightgbm` the leaf that gains most."""
     shared = {

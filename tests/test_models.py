@@ -6,9 +6,10 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+import prospectra.ml.models as models
 from prospectra.ml.evaluation import cross_validate
 from prospectra.ml.foreign import FunctionModel
-from prospectra.ml.models import MODEL_TYPES, create_model, importances, logistic_optimality
+from prospectra.ml.models import MODEL_TYPES, ConversionClassifier, create_model, importances, logistic_optimality
 from prospectra.operators.metrics import classification_metrics
 from prospectra.plans.scoring import (
     answer_requests,
@@ -106,6 +107,36 @@ def test_model_factory_translates_settings(spark):
     assert (spark_logistic.getRegParam(), spark_logistic.getElasticNetParam()) == (0.005, 1.0)
 
 
+@pytest.mark.parametrize("model_type", MODEL_TYPES)
+def test_a_fit_takes_few_rows_per_task(spark, model_type, monkeypatch):
+    """One file is one partition, however many rows it holds; the fit deals them out and learns the same."""
+    rows = spark.range(0, 2000, 1, 1).select((F.col("id") % 4).cast("double").alias("x"), (F.col("id") % 4 > 1).cast("int").alias("is_customer"))
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    taken = []
+    builder = ConversionClassifier._classifier
+
+    def watched(self, *given):
+        classifier = builder(self, *given)
+        fit = classifier.fit
+
+        def fitted(train):
+            taken.append([len(part) for part in train.select("is_customer").rdd.glom().collect()])
+            return fit(train)
+
+        classifier.fit = fitted
+        return classifier
+
+    monkeypatch.setattr(ConversionClassifier, "_classifier", watched)
+    settings = {} if model_type == "logistic_regression" else {"n_estimators": 2}
+    whole = create_model(model_type, settings).fit(rows)
+    monkeypatch.setattr(models, "TASK_ROWS", 300)
+    dealt = create_model(model_type, settings).fit(rows)
+    assert taken[0] == [2000]
+    assert sum(taken[1]) == 2000 and max(taken[1]) <= 300
+    classes = [[r["prediction"] for r in m.transform(rows).orderBy("x").collect()] for m in (whole, dealt)]
+    assert classes[0] == classes[1] == [0.0] * 1000 + [1.0] * 1000
+
+
 @pytest.mark.parametrize("model_type", MODEL_TYPES)
 def test_every_type_learns(spark, model_type):
     small = {} if model_type == "logistic_regression" else {"n_estimators": 5, "max_depth": 3}
