@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -24,6 +22,7 @@ from pyspark.storagelevel import StorageLevel
 
 from prospectra.functions import named
 from prospectra.ml.boosting import Growth, fit_boosted
+from prospectra.ml.newton import MAX_WIDTH, fit_newton
 from prospectra.ml.stages import OneHotVectorModel, _Stage, _string
 from prospectra.operators.cleaning import LABEL
 from prospectra.sources.scratch import new_scratch_path
@@ -164,28 +163,47 @@ class ConversionClassifier(_Stage, Estimator):
 
     def weighted(self, dataset: DataFrame) -> tuple[DataFrame, float]:
         """`dataset` with the weight of each row by its class, and the sum of the weights."""
+        rows, classes, _ = self._weighted(dataset)
+        return rows, classes[0] + classes[1]
+
+    def _weighted(self, dataset: DataFrame) -> tuple[DataFrame, tuple[float, float], int]:
+        """`dataset` with the weight of each row, the sum of the weights of either class, and the rows of both."""
         label, given = named(self._value("labelCol")), self.settings()
         counts = dataset.agg(
             F.count_if(label == 0).alias("neg"), F.count_if(label == 1).alias("pos")
         ).first()
         weights = _class_weights(given, counts["neg"], counts["pos"])
-        total = counts["neg"] * weights[0] + counts["pos"] * weights[1]
-        return dataset.withColumn(_WEIGHT, _weight_column(label, weights)), total
+        classes = counts["neg"] * weights[0], counts["pos"] * weights[1]
+        return dataset.withColumn(_WEIGHT, _weight_column(label, weights)), classes, counts["neg"] + counts["pos"]
 
     def _fit(self, dataset: DataFrame) -> Model:
-        weighted, total = self.weighted(dataset)
+        weighted, classes, n = self._weighted(dataset)
         if self.settings().get("trees") == "second_order":
             label, features = self._value("labelCol"), self._value("featuresCol")
             model = fit_boosted(weighted, label, features, _WEIGHT, _growth(self._value("modelType"), self.settings()))
             return model._set(labelCol=label, featuresCol=features)
-        classifier = self._classifier(self.settings(), total)
+        classifier = self._classifier(self.settings(), classes[0] + classes[1])
         classifier.setParams(
             labelCol=self._value("labelCol"),
             featuresCol=self._value("featuresCol"),
             weightCol=_WEIGHT,
         )
-        with _spread(weighted, [self._value("labelCol"), self._value("featuresCol"), _WEIGHT]) as rows:
-            return classifier.fit(rows)
+        columns = [self._value("labelCol"), self._value("featuresCol"), _WEIGHT]
+        # A loss that is strictly convex has one minimum, whoever finds it.
+        convex = isinstance(classifier, LogisticRegression) and classifier.getRegParam() > 0 and not classifier.getElasticNetParam()
+        if convex and n > TASK_ROWS and min(classes) > 0:
+            width = weighted.select(named(self._value("featuresCol"))).first()[0].size
+            if width <= MAX_WIDTH:
+                rows = _spread(weighted, columns) or weighted
+                return fit_newton(rows, classifier, width, sum(classes), classes[1])
+        dealt = _spread(weighted, columns)
+        if dealt is None:
+            return classifier.fit(weighted)
+        dealt.persist(StorageLevel.MEMORY_AND_DISK)  # a fit starts from its rows several times
+        try:
+            return classifier.fit(dealt)
+        finally:
+            dealt.unpersist()
 
     def _classifier(self, given: dict, total_weight: float) -> Estimator:
         kind = self._value("modelType")
@@ -239,24 +257,16 @@ class ConversionClassifier(_Stage, Estimator):
         )
 
 
-@contextmanager
-def _spread(rows: DataFrame, columns: list[str]) -> Iterator[DataFrame]:
-    """`rows` for a fit; their `columns` over more partitions if one holds more than `TASK_ROWS`.
+def _spread(rows: DataFrame, columns: list[str]) -> DataFrame | None:
+    """`columns` of `rows` over more partitions if one holds more than `TASK_ROWS`, else nothing.
 
-    Partitions of files follow the bytes, and few bytes can hold very many rows. The dealt rows are kept for the block,
-    as a fit starts from them several times.
+    Partitions of files follow the bytes, and few bytes can hold very many rows.
     """
     partitions = rows.groupBy(F.spark_partition_id().alias("_partition")).agg(F.count("*").alias("n"))
     found = partitions.agg(F.max("n").alias("largest"), F.sum("n").alias("n"), F.count("*").alias("partitions")).first()
     if (found["largest"] or 0) <= TASK_ROWS:
-        yield rows
-        return
-    count = max(math.ceil(found["n"] / TASK_ROWS), found["partitions"])
-    dealt = rows.select(*[named(c) for c in columns]).repartition(count).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield dealt
-    finally:
-        dealt.unpersist()
+        return None
+    return rows.select(*[named(c) for c in columns]).repartition(max(math.ceil(found["n"] / TASK_ROWS), found["partitions"]))
 
 
 def _growth(kind: str, given: dict) -> Growth:

@@ -3,10 +3,12 @@ import re
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 import prospectra.ml.models as models
+import prospectra.ml.newton as newton_steps
 from prospectra.ml.evaluation import cross_validate
 from prospectra.ml.foreign import FunctionModel
 from prospectra.ml.models import MODEL_TYPES, ConversionClassifier, create_model, importances, logistic_optimality
@@ -107,6 +109,44 @@ def test_model_factory_translates_settings(spark):
     assert (spark_logistic.getRegParam(), spark_logistic.getElasticNetParam()) == (0.005, 1.0)
 
 
+@pytest.mark.parametrize(("intercept", "balanced", "scale"), [(True, True, 1.0), (False, False, 1.0), (True, False, 1e5)])
+def test_logistic_of_many_rows_needs_few_passes(spark, monkeypatch, intercept, balanced, scale):
+    """Inputs that depend on each other: the same model as of Spark's solver, by a handful of jobs."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1200, 3)) * [1.0, 2.0, scale]
+    x = np.column_stack([x, x[:, 0] + x[:, 1], (x[:, 2] > 0).astype(float), (x[:, 2] <= 0).astype(float)])
+    y = (x[:, 0] + x[:, 2] / scale + rng.normal(size=1200) > 0.7).astype(int)
+    names = [f"x{i}" for i in range(6)]
+    df = spark.createDataFrame([(*map(float, r), int(t)) for r, t in zip(x, y)], ", ".join(f"{n} double" for n in names) + ", is_customer int")
+    rows = VectorAssembler(inputCols=names, outputCol="features").transform(df)
+    settings = {"C": 1.0, "tol": 1e-14, "fit_intercept": intercept, "class_weight": "balanced" if balanced else None}
+    classifier = create_model("logistic_regression", settings)
+    expected = classifier.fit(rows)
+    passes = []
+    counted = newton_steps._sums
+    monkeypatch.setattr(newton_steps, "_sums", lambda *given: passes.append(1) or counted(*given))
+    monkeypatch.setattr(models, "TASK_ROWS", 500)
+    found = classifier.fit(rows)
+    assert 0 < len(passes) <= 12
+    ours, theirs = ([r["probability"][1] for r in m.transform(rows).select("probability").collect()] for m in (found, expected))
+    assert ours == pytest.approx(theirs, abs=1e-4)
+    assert (found.getRegParam(), found.getLabelCol(), found.numFeatures) == (expected.getRegParam(), "is_customer", 6)
+    slopes = logistic_optimality(PipelineModel(stages=[VectorAssembler(inputCols=names, outputCol="features"), found]), classifier, df)
+    assert max(abs(r["slope"]) for r in slopes.collect()) < 1e-7 * scale
+
+
+def test_logistic_of_many_rows_is_saved_and_refuses_bad_labels(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(models, "TASK_ROWS", 50)
+    df = spark.range(200).select((F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 3 == 0).cast("int").alias("is_customer"))
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    model = create_model("logistic_regression").fit(rows)
+    model.write().save(f"{tmp_path}/model")
+    again = LogisticRegressionModel.load(f"{tmp_path}/model")
+    assert again.coefficients == model.coefficients and again.intercept == model.intercept
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        create_model("logistic_regression").fit(rows.withColumn("is_customer", F.expr("CASE WHEN x < 6 THEN is_customer ELSE 2 END")))
+
+
 @pytest.mark.parametrize("model_type", MODEL_TYPES)
 def test_a_fit_takes_few_rows_per_task(spark, model_type, monkeypatch):
     """One file is one partition, however many rows it holds; the fit deals them out and learns the same."""
@@ -132,6 +172,8 @@ def test_a_fit_takes_few_rows_per_task(spark, model_type, monkeypatch):
     monkeypatch.setattr(models, "TASK_ROWS", 300)
     dealt = create_model(model_type, settings).fit(rows)
     assert taken[0] == [2000]
+    if model_type == "logistic_regression":
+        dealt = create_model(model_type, {"penalty": None, "max_iter": 20}).fit(rows)
     assert sum(taken[1]) == 2000 and max(taken[1]) <= 300
     classes = [[r["prediction"] for r in m.transform(rows).orderBy("x").collect()] for m in (whole, dealt)]
     assert classes[0] == classes[1] == [0.0] * 1000 + [1.0] * 1000
