@@ -601,12 +601,17 @@ def model_factory(spark, d):
 _STANDARD = {"C": 1.0, "class_weight": "balanced", "tol": 1e-12}
 
 
-def _standard_model(spark, d) -> PipelineModel:
-    """The standard model over all stages and inputs."""
+def _standard_rows(spark, d):
+    """The inputs of the standard model, prepared and written once for all that reads them."""
+    return materialize(split_inputs(spark, d), "inputs")
+
+
+def _standard_model(spark, d, rows=None) -> PipelineModel:
+    """The standard model over all stages and inputs, fitted on the train rows of `_standard_rows`."""
 
     def fit():
-        rows = materialize(split_inputs(spark, d).where("split = 'train'"), "train")
-        return _fit(rows, feature_stages(rows), "logistic_regression", **_STANDARD)
+        train = (_standard_rows(spark, d) if rows is None else rows).where("split = 'train'")
+        return _fit(train, feature_stages(train), "logistic_regression", **_STANDARD)
 
     return _fitted(spark, d, "standard", fit)
 
@@ -630,9 +635,9 @@ def train_logistic_all_stages(spark, d):
 
     SQL cannot minimise the loss, but it knows what holds at the minimum: every slope is zero.
     """
-    rows = split_inputs(spark, d).where("split = 'train'")
+    rows = _standard_rows(spark, d)
     classifier = create_model("logistic_regression", _STANDARD)
-    found = logistic_optimality(_standard_model(spark, d), classifier, rows)
+    found = logistic_optimality(_standard_model(spark, d, rows), classifier, rows.where("split = 'train'"))
     slope = F.round("slope", 4) + F.lit(0.0)  # no minus sign on a zero
     return found.select("feature", F.round("moment", 6).alias("moment"), slope.alias("slope"))
 
@@ -640,8 +645,9 @@ def train_logistic_all_stages(spark, d):
 @query("sink_splits", staged_sql("id, is_customer AS target, split"))
 def sink_splits(spark, d):
     """The rows as the classifier saw them, written and read back."""
-    path, model = new_scratch_path(spark, "splits"), _standard_model(spark, d)
-    write_splits(processed_splits(model, split_inputs(spark, d)), path)
+    path, rows = new_scratch_path(spark, "splits"), _standard_rows(spark, d)
+    model = _standard_model(spark, d, rows)
+    write_splits(processed_splits(model, rows), path)
     return rounded(with_onehot_columns(model, spark.read.parquet(path)))
 
 
